@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import leakage, splitting, tokenizer
+from pagemill.llm import leakage, splitting, tokenizer, toxicity
 from pagemill.sources.tables import table
 
 
@@ -38,7 +38,24 @@ def p7_leaks_per_item(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks_per_item(_leaks(spark, d))
 
 
-QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item}
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    return toxicity.score_documents(documents, toxicity.train_lexicon(documents, table(spark, d, "labels")))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).where("is_toxic").select("doc_id").distinct()
+
+
+def p8_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d)
+
+
+def p8_rates_by_source(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.rates_by_source(_scored(spark, d))
+
+
+QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates_by_source": p8_rates_by_source}
 
 _SPACE = "[\\t-\\r\\x{{85}}\\p{{Z}}]"
 _LONG = "select distinct '{0}' src_table, doc_id, cast({1} as bigint) item_no from {0} where len(list_filter(string_split_regex(content, '" + _SPACE + "+'), lambda x: x <> '')) > 512"
