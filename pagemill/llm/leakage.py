@@ -18,7 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.arrow import Memo, map_batches
+from pagemill.llm.arrow import map_batches
+from pagemill.llm.words import word_code, word_codes
 
 #: Masks (1: hashed, 0: ignored). In every 20 words with at most two changed, one of them has a hit (tests/llm).
 MASKS = ("1101011", "11100101")
@@ -26,7 +27,6 @@ _WORD = regex.compile(r"[^\W_]+")
 _MARKS = regex.compile(r"\p{M}+|(?<=\w)['’ʼ`´](?=\w)|\p{Cf}+")
 _ASCII_WORD = re.compile("[a-z0-9]+").findall
 _QUESTION = regex.compile(r"^\s*question\s*:", regex.I)
-_M64 = (1 << 64) - 1
 
 
 def normal_words(text: str | None) -> list[str]:
@@ -38,15 +38,6 @@ def normal_words(text: str | None) -> list[str]:
     return _WORD.findall(_MARKS.sub("", unicodedata.normalize("NFKD", text)).casefold())
 
 
-def word_code(w: str) -> bytes:
-    """A 64-bit code of a word, the same in every process, as 8 bytes."""
-    h = 0xCBF29CE484222325
-    for b in w.encode("utf-8", "surrogatepass"):
-        h = ((h ^ b) * 0x100000001B3) & _M64
-    h ^= h >> 29
-    return ((h * 0xBF58476D1CE4E5B9) & _M64).to_bytes(8, "little")
-
-
 def seed_hashes(codes: np.ndarray, masks: tuple[str, ...] = MASKS) -> list[np.ndarray]:
     """Per mask, the hash at each place where the whole mask fits."""
     out = []
@@ -192,7 +183,7 @@ def leaked_items(documents: DataFrame, benchmark: DataFrame, least_words: int =
 
         def match(b: pa.RecordBatch, shipped=shipped) -> pa.RecordBatch | None:
             index = _index(shipped.value)
-            memo = _codes()
+            memo = word_codes()
             rows, take = [], []
             parts = [b"".join(map(memo.__getitem__, normal_words(text))) for text in b.column(1).to_pylist()]
             ends = np.cumsum([len(p) // 8 for p in parts])
@@ -212,11 +203,6 @@ def leaked_items(documents: DataFrame, benchmark: DataFrame, least_words: int =
     return out.distinct()
 
 
-@lru_cache(maxsize=1)
-def _codes() -> Memo:
-    return Memo(word_code)
-
-
 def leaks_per_item(leaks: DataFrame) -> DataFrame:
     """Per leaked item, the number of documents and the longest overlap."""
     return leaks.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("overlap_words").alias("longest_overlap"))

@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import leakage, splitting, tokenizer, toxicity
+from pagemill.llm import history, leakage, splitting, tokenizer, toxicity
 from pagemill.sources.tables import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    pair = lambda df, grain: df.select(F.lit(grain).alias("grain"), F.least("key", "accepted_key").alias("key_a"), F.greatest("key", "accepted_key").alias("key_b"))
+    files = history.repeated_files(table(spark, d, "records"))
+    contents = history.repeated_contents(table(spark, d, "chunks"), "chunk_id", "content", "batch_no")
+    return pair(files, "record").unionByName(pair(contents, "chunk")).distinct()
+
+
+def p2_refused_files(spark: SparkSession, d: str) -> DataFrame:
+    return history.repeated_files(table(spark, d, "records"))
+
+
 def _pieces(spark: SparkSession, d: str) -> DataFrame:
     part = lambda name, no, kind: splitting.split_oversized(table(spark, d, name), ["doc_id", no], "content", kind).select(F.lit(name).alias("src_table"), "doc_id", F.col(no).cast("bigint").alias("item_no"), "item_tokens", "piece_no", "n_pieces", "content", "n_tokens", "n_overlap")
     return part("chunks", "chunk_index", "chunk_type").unionByName(part("elements", "pos", "element_type"))
@@ -55,8 +66,14 @@ def p8_rates_by_source(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.rates_by_source(_scored(spark, d))
 
 
-QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates_by_source": p8_rates_by_source}
+QUERIES = {"p2_found": p2_found, "p2_refused_files": p2_refused_files, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates_by_source": p8_rates_by_source}
 
 _SPACE = "[\\t-\\r\\x{{85}}\\p{{Z}}]"
 _LONG = "select distinct '{0}' src_table, doc_id, cast({1} as bigint) item_no from {0} where len(list_filter(string_split_regex(content, '" + _SPACE + "+'), lambda x: x <> '')) > 512"
-ORACLES = {"p3_found": _LONG.format("chunks", "chunk_index") + " union " + _LONG.format("elements", "pos")}
+_FILES = """
+with v as (select distinct doc_id, version_no, batch_no, regexp_replace(regexp_replace(lower(trim(sha256)), '^sha-?256:', ''), '[^0-9a-f]', '', 'g') sha from records),
+f as (select doc_id, arg_min(batch_no, version_no) batch_no, arg_min(coalesce(sha, ''), version_no) sha from v group by doc_id),
+g as (select *, row_number() over w rn, first_value(doc_id) over w head from f where length(sha) = 64 and sha <> repeat('0', 64) and sha <> 'e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855' window w as (partition by sha order by batch_no, doc_id))
+select doc_id as "key", batch_no, head accepted_key from g where rn > 1
+"""
+ORACLES = {"p2_refused_files": _FILES, "p3_found": _LONG.format("chunks", "chunk_index") + " union " + _LONG.format("elements", "pos")}
