@@ -49,7 +49,7 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the executors once per application, so that they need no copy of their own."""
     app = spark.sparkContext.applicationId
-    if app in _shipped or spark.sparkContext.master.startswith("local["):
+    if app in _shipped:
         return
     root = Path(__file__).resolve().parents[1]
     out = os.path.join(tempfile.mkdtemp(prefix="pagemill-zip-"), "pagemill.zip")
