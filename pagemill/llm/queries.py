@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import history, leakage, splitting, tokenizer, toxicity
+from pagemill.llm import history, leakage, ocr, splitting, tokenizer, toxicity
 from pagemill.sources.tables import table
 
 
@@ -33,6 +33,14 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d)
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.scan_noise(table(spark, d, "elements")).distinct()
+
+
+def p4_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.repaired_paragraphs(table(spark, d, "elements"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode_corpus(tokenizer.one_row_per_id(table(spark, d, "documents")))
 
@@ -66,7 +74,7 @@ def p8_rates_by_source(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.rates_by_source(_scored(spark, d))
 
 
-QUERIES = {"p2_found": p2_found, "p2_refused_files": p2_refused_files, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates_by_source": p8_rates_by_source}
+QUERIES = {"p2_found": p2_found, "p2_refused_files": p2_refused_files, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates_by_source": p8_rates_by_source}
 
 _SPACE = "[\\t-\\r\\x{{85}}\\p{{Z}}]"
 _LONG = "select distinct '{0}' src_table, doc_id, cast({1} as bigint) item_no from {0} where len(list_filter(string_split_regex(content, '" + _SPACE + "+'), lambda x: x <> '')) > 512"
