@@ -5,10 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import history, leakage, ocr, splitting, tokenizer, toxicity
+from pagemill.llm import history, leakage, ocr, pii, splitting, tokenizer, toxicity
+from pagemill.functions.keys import canonical_uuid
 from pagemill.sources.tables import table
 
 
+def _personal_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Chunk contents and record titles, each distinct row once."""
+    key = lambda c: F.coalesce(canonical_uuid(F.col(c)), F.col(c))
+    chunks = table(spark, d, "chunks").select(F.lit("chunks").alias("src_table"), F.col("chunk_id").cast("string").alias("row_key"), F.col("content").alias("text"))
+    titles = table(spark, d, "records").select(F.lit("records").alias("src_table"), key("id").alias("row_key"), F.col("title").alias("text")).distinct()
+    return chunks.unionByName(titles)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    texts = _personal_texts(spark, d)
+    return pii.find_personal(texts, pii.learn_names(texts)).select("src_table", "row_key", "kind").distinct()
+
+
+def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
+    texts = _personal_texts(spark, d)
+    return pii.redact_texts(texts, pii.learn_names(texts)).distinct()
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     pair = lambda df, grain: df.select(F.lit(grain).alias("grain"), F.least("key", "accepted_key").alias("key_a"), F.greatest("key", "accepted_key").alias("key_b"))
     files = history.repeated_files(table(spark, d, "records"))
@@ -74,7 +93,7 @@ def p8_rates_by_source(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.rates_by_source(_scored(spark, d))
 
 
-QUERIES = {"p2_found": p2_found, "p2_refused_files": p2_refused_files, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates_by_source": p8_rates_by_source}
+QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_refused_files": p2_refused_files, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates_by_source": p8_rates_by_source}
 
 _SPACE = "[\\t-\\r\\x{{85}}\\p{{Z}}]"
 _LONG = "select distinct '{0}' src_table, doc_id, cast({1} as bigint) item_no from {0} where len(list_filter(string_split_regex(content, '" + _SPACE + "+'), lambda x: x <> '')) > 512"
