@@ -43,6 +43,9 @@ _AT = r"(?:\s?@\s?|\s?[\[({<]\s?at\s?[\])}>]\s?)"
 _DOT = r"(?:\.|\s?[\[({<]\s?dot\s?[\])}>]\s?|\s+dot\s+)"
 _EMAIL = re.compile(rf"(?<![\w.+-])[\w+-](?:[\w.+-]*[\w+-])?(?:{_AT}[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[a-z]{{2,24}}\b|\s+at\s+[\w-]+(?:\s+dot\s+[\w-]+)+)", re.I)
 
+#: What stands around the sign of an address, but not of a price or a decorator.
+_EMAIL_HINT = re.compile(r"\S@\s?\w|\S\s@\s?[A-Za-z][\w-]*[.\s]").search
+
 _DIGIT_WORD = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
 _SEP = r"[ \n.\-/]"
 _PHONE = re.compile(
@@ -76,8 +79,9 @@ _NOT_ID = re.compile(r"(?:ein|parcel|docket|invoice|case|v|account|tracking|ship
 _STREET = r"(?:street|st\.?|avenue|ave\.?|road|rd\.?|lane|ln\.?|drive|dr\.?|boulevard|blvd\.?|court|ct\.?|terrace|ter\.?|way|place|pl\.?|square|sq\.?|parkway|pkwy\.?|highway|hwy\.?|circle|close|crescent|row|walk)"
 _CAP = r"(?:[^\W\d_a-z][\w'\-]*)"
 _ADDRESS = re.compile(
-    rf"(?<![\w.,$\-/])(?:(?i:unit|apt\.?|suite|flat)\s+\w{{1,5}},\s+)?\d{{1,5}}[a-z]?\s+(?:[NSEW]{{1,2}}\.?\s+)?(?:{_CAP}\s+){{1,3}}(?i:{_STREET})(?!\w)(?:,?\s+(?i:apt\.?|unit|suite|flat|#)\s*\w{{1,5}})?(?:,\s+{_CAP}(?:\s{_CAP})?,\s+[A-Z]{{2}}\s+\d{{5}}|\s+{_CAP}\s+[A-Z]{{2}}\b)?"
+    rf"(?<![\w.,$\-/])\d{{1,5}}[a-z]?\s+(?:[NSEW]{{1,2}}\.?\s+)?(?:{_CAP}\s+){{1,3}}(?i:{_STREET})(?!\w)(?:,?\s+(?i:apt\.?|unit|suite|flat|#)\s*\w{{1,5}})?(?:,\s+{_CAP}(?:\s{_CAP})?,\s+[A-Z]{{2}}\s+\d{{5}}|\s+{_CAP}\s+[A-Z]{{2}}\b)?"
 )
+_UNIT_BEFORE = re.compile(r"\b(?:unit|apt\.?|suite|flat)\s+\w{1,5},\s+$", re.I)
 #: Hints in lower case and the pattern to try where one stands in the text.
 _OTHER_ADDRESSES = (
     (("straße", "strasse", "str.", "weg", "gasse", "allee", "platz", "ufer", "damm", "stieg"), re.compile(rf"\b{_CAP}(?:(?i:straße|strasse|str\.|weg|gasse|allee|platz|ufer|damm|stieg))\s+\d{{1,4}}\s?[a-z]?\b(?:,\s+\d{{5}}\s+{_CAP})?")),
@@ -214,12 +218,12 @@ class Disclosure:
         end = m.end
         if m.last in self.openers and m.first != m.last and m.shape != "reversed":
             end = m.start + len(text[m.start : m.end].rstrip(".").rpartition(" ")[0].rstrip())
-            if m.shape == "two" and not m.title and m.first in self.openers:
+            if not m.title and (m.first in self.openers or " " not in text[m.start : end].strip() and m.shape == "initial"):
                 return None
         return (m.start, end) if end > m.start else None
 
     def names_person(self, m: Mention) -> bool:
-        if m.shape in ("one", "initial") and not m.title and m.last in self.openers:
+        if m.shape == "one" and not m.title and m.first in self.openers:
             return False
         if m.title or m.shape == "initial":
             return True
@@ -247,7 +251,7 @@ def typed_spans(text: str) -> list[tuple[int, int, str]]:
             out.append((a, b, kind))
 
     low = text.lower()
-    if "@" in text or " dot " in low or "at]" in low or "at)" in low:
+    if ("@" in text and _EMAIL_HINT(text)) or " dot " in low or "at]" in low or "at)" in low:
         for m in _EMAIL.finditer(text):
             add(*m.span(), "email")
     if any(h in low for h in _ID_HINTS) or any(h in text for h in _ID_CAPITALS):
@@ -268,7 +272,8 @@ def typed_spans(text: str) -> list[tuple[int, int, str]]:
         for m in _SPOKEN.finditer(text):
             add(*m.span(), "phone")
     for m in _ADDRESS.finditer(text):
-        add(*m.span(), "street_address")
+        unit = _UNIT_BEFORE.search(text[max(0, m.start() - 16) : m.start()])
+        add(m.start() - (len(unit.group()) if unit else 0), m.end(), "street_address")
     for hints, pattern in _OTHER_ADDRESSES:
         if any(h in low for h in hints):
             for m in pattern.finditer(text):
