@@ -34,9 +34,12 @@ _PLAIN = str.maketrans(
 )
 
 
+_FOREIGN = re.compile("[" + re.escape("".join(map(chr, _PLAIN))) + "]").search
+
+
 def plain(text: str) -> str:
     """The text with look-alike letters, wide forms, special spaces and dashes as ASCII; every character keeps its place."""
-    return text if text.isascii() else text.translate(_PLAIN)
+    return text.translate(_PLAIN) if not text.isascii() and _FOREIGN(text) else text
 
 
 _AT = r"(?:\s?@\s?|\s?[\[({<]\s?at\s?[\])}>]\s?)"
