@@ -20,9 +20,10 @@ def canonical_uuid(c: Column) -> Column:
 
 def raw_or_canonical_uuid(c: Column) -> Column:
     """canonical_uuid, but a non-blank malformed value stays as its trimmed lower-case text (it is a key of its own that nothing carries)."""
+    usual = c.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$") & (c != NIL_UUID)  # spares the patterns below
     t = F.lower(F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
     nothing = F.regexp_replace(F.regexp_replace(t, r"^urn:uuid:", ""), r"[\s\p{Z}{}\-0]", "") == ""
-    return F.when(c.isNotNull() & ~nothing, F.coalesce(canonical_uuid(c), t))
+    return F.when(usual, c).when(c.isNotNull() & ~nothing, F.coalesce(canonical_uuid(c), t))
 
 
 #: Fixed value: SHA-256 of the empty file.
