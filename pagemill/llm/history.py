@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions.keys import canonical_sha256
 from pagemill.llm.arrow import map_batches
-from pagemill.llm.words import folded_words, word_codes
+from pagemill.llm.words import folded_words, word_code, word_codes
 from pagemill.plans.stages import salted_join, stored
 
 #: A paragraph begins at words whose code is 0 in this many, and has at least LEAST_WORDS words.
@@ -28,15 +28,15 @@ COVERAGE = 0.08
 _MUL = np.uint64(0x9FB21C651E98DF25)
 
 
-def paragraph_hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the content-defined runs of words, and of each run with the one that follows it.
+def paragraph_hashes(codes: np.ndarray) -> np.ndarray:
+    """Hashes of the content-defined runs of words.
 
     A run goes from a boundary word to the first boundary at least LEAST_WORDS later, so that an edit changes
-    only the runs that hold it; the ends of the text are boundaries. The second hash is 0 at the last run.
+    only the runs that hold it; the ends of the text are boundaries.
     """
     n = len(codes)
     if not n:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64)
     marks = np.flatnonzero((codes >> np.uint64(17)) % np.uint64(EVERY) == 0)
     marks = np.unique(np.concatenate([[0], marks, [n]]))
     after = np.minimum(np.searchsorted(marks, marks[:-1] + LEAST_WORDS, "left"), len(marks) - 1)
@@ -48,35 +48,30 @@ def paragraph_hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         shift = np.cumprod(np.full(n + 1, inverse, np.uint64))
         h = (sums[end] - sums[begin]) * shift[begin]
         h = (h ^ (h >> np.uint64(29))) * _MUL + (end - begin).astype(np.uint64)
-        place = dict(zip(begin.tolist(), range(len(begin))))
-        follow = np.array([place.get(e, -1) for e in end.tolist()])
-        two = np.where(follow >= 0, (h * _MUL) ^ h[follow], np.uint64(0))
-    return h.view(np.int64), two.view(np.int64)
+    return h.view(np.int64)
 
 
 def hash_items(items: DataFrame, key: str, content: str, batch: str) -> DataFrame:
-    """(batch_no, key, content_hash, hashes, pairs): one row per row with any word; the others repeat nothing."""
+    """(batch_no, key, content_hash, hashes): one row per row with any word; the others repeat nothing."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         memo = word_codes()
-        take, contents, ones, twos = [], [], [], []
+        take, contents, ones = [], [], []
         for i, text in enumerate(b.column(2).to_pylist()):
             codes = np.frombuffer(b"".join(map(memo.__getitem__, folded_words(text))), np.uint64)
             if len(codes):
-                one, two = paragraph_hashes(codes)
                 with np.errstate(over="ignore"):
                     whole = (codes * np.cumprod(np.full(len(codes), _MUL | np.uint64(1), np.uint64))).sum() * _MUL + np.uint64(len(codes))
                 take.append(i)
                 contents.append(int(whole.view(np.int64)))
-                ones.append(one)
-                twos.append(two)
+                ones.append(paragraph_hashes(codes))
         offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ones])]).astype(np.int32), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64())) for x in (ones, twos)]
+        runs = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ones) if ones else np.empty(0, np.int64), pa.int64()))
         index = pa.array(take, pa.int32())
-        return pa.RecordBatch.from_arrays([b.column(0).take(index), b.column(1).take(index), pa.array(contents, pa.int64()), *lists], names=["batch_no", "key", "content_hash", "hashes", "pairs"])
+        return pa.RecordBatch.from_arrays([b.column(0).take(index), b.column(1).take(index), pa.array(contents, pa.int64()), runs], names=["batch_no", "key", "content_hash", "hashes"])
 
     picked = items.where(F.col(key).isNotNull()).select(F.col(batch).cast("int").alias("batch_no"), F.col(key).cast("bigint").alias("key"), F.col(content).alias("content"))
-    return map_batches(picked, run, "batch_no int, key bigint, content_hash bigint, hashes array<bigint>, pairs array<bigint>")
+    return map_batches(picked, run, "batch_no int, key bigint, content_hash bigint, hashes array<bigint>")
 
 
 def _order() -> Column:
@@ -90,44 +85,105 @@ def _listed(df: DataFrame, few: int = 200_000) -> DataFrame:
 
 
 def _bucket_pairs(rows: DataFrame, least_new: bool) -> DataFrame:
-    """All pairs (a, b, n_a, n_b) of each bucket h of (h, o, n_runs, old); the caller leaves only buckets of at most BUCKET rows.
+    """All pairs (a, b, n_a, n_b, n_hot) of each bucket h of (h, o, n_runs, n_hot, old), n_hot being the lesser; the caller leaves only buckets of at most BUCKET rows.
 
     With least_new only pairs of which one row at least isn't from the history.
     """
-    g = rows.groupBy("h").agg(F.collect_list(F.struct("o", "n_runs", "old")).alias("g")).where(F.size("g") > 1)
+    g = rows.groupBy("h").agg(F.collect_list(F.struct("o", "n_runs", "n_hot", "old")).alias("g")).where(F.size("g") > 1)
     pair = g.select(F.explode("g").alias("x"), "g").select("x", F.explode("g").alias("y")).where("x.o < y.o")
     if least_new:
         pair = pair.where("not (x.old and y.old)")
-    return pair.select(F.col("x.o").alias("a"), F.col("y.o").alias("b"), F.col("x.n_runs").alias("n_a"), F.col("y.n_runs").alias("n_b"))
+    return pair.select(F.col("x.o").alias("a"), F.col("y.o").alias("b"), F.col("x.n_runs").alias("n_a"), F.col("y.n_runs").alias("n_b"), F.least("x.n_hot", "y.n_hot").alias("n_hot"))
 
 
 def _hot(rows: DataFrame) -> DataFrame:
     """Buckets of more than BUCKET rows: at most one in BUCKET of all."""
-    return stored(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET).select("h"), "hot-buckets")
+    return stored(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET), "hot-buckets")
 
 
-def candidate_pairs(heads: DataFrame, hashed: DataFrame, least_new: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of distinct contents that share enough paragraphs, and the rows of buckets too hot for pairs.
+#: Bitmap of an item's words, 256 bits.
+_MAP = ["s0", "s1", "s2", "s3"]
 
-    heads: (o, hashes, old), hashed: (o, hashes, pairs, old) of the same items and maybe more; o is anything that orders items. A hash
-    that more than BUCKET items share is extended by the paragraph that follows it, which splits boilerplate by what comes after; the rows of
-    buckets that are still too large come back as (h, o) and are resolved leader by leader (see resolve_hot).
+
+def _may_repeat(x: str, y: str, share: float, least_new: bool = False) -> Column:
+    """Whether x is before y (prefixes of columns) and no fewer words of either than the share of the longer can stand in the other, judged by the bitmaps: true for all repeats."""
+    least = F.ceil(F.greatest(f"{x}n_words", f"{y}n_words") * share - 1e-9)
+    only = lambda p, q: sum((F.bit_count(F.col(f"{p}{m}").bitwiseAND(F.bitwise_not(f"{q}{m}"))) for m in _MAP), F.lit(0))
+    ok = (F.col(f"{x}o") < F.col(f"{y}o")) & (only(x, y) <= F.col(f"{x}n_words") - least) & (only(y, x) <= F.col(f"{y}n_words") - least)
+    return ok & ~(F.col(f"{x}old") & F.col(f"{y}old")) if least_new else ok
+
+
+def _hot_groups(runs: DataFrame, hot: DataFrame, texts: DataFrame, share: float) -> DataFrame:
+    """(h, o, old, n_words, s0, s1, s2, s3): the rows of hot buckets, with a bitmap of the words, split by rare words, such that no pair is lost that could be a repeat.
+
+    Items that share 8 % of the runs of the larger share one that isn't among the hottest 8 % of either, and of items under 8 % of hot runs no
+    pair shares hot runs only. Repeats share that part of all words, so they share one of the rarest of the rest (prefix filter).
+    """
+    by_item = runs.join(_listed(hot), "h").groupBy("o").agg(F.first("old").alias("old"), F.first("n_runs").alias("n_runs"), F.sort_array(F.collect_list(F.struct("n", "h")), False).alias("r"))
+    least = F.ceil(F.col("n_runs") * COVERAGE - 1e-9).cast("int")
+    need = stored(by_item.where(F.size("r") >= least).select("o", "old", F.array_distinct(F.slice(F.col("r.h"), least, F.size("r"))).alias("hs")).withColumn("key", _key_of(by_item)), "hot-items")
+    own = need.join(_texts_of_keys(texts, need.select("key")), "key")
+    # only the order of words by frequency comes from the sample; any order gives the same repeats
+    known = np.zeros(1 << 16, np.int64)
+    for (text,) in own.select(F.substring("content", 1, 4000)).limit(2000).collect():
+        for w in set(folded_words(text)):
+            known[int.from_bytes(word_code(w)[:2], "little")] += 1
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        memo, lists, sizes, maps = word_codes(), [], [], []
+        for text in b.column(1).to_pylist():
+            codes = np.frombuffer(b"".join(map(memo.__getitem__, folded_words(text))), np.uint64)
+            words, n = np.unique(codes, return_counts=True)
+            with np.errstate(over="ignore"):
+                times = np.arange(len(codes), dtype=np.uint64) - np.repeat(np.cumsum(n) - n, n).astype(np.uint64)
+                tokens = (np.repeat(words, n) + times) * _MUL
+            often = np.repeat(known[(words & np.uint64(0xFFFF)).astype(np.int64)], n)
+            first = len(codes) - int(np.ceil(share * len(codes) - 1e-9)) + 1
+            lists.append(tokens[np.lexsort((tokens, often))[:first]].view(np.int64))
+            sizes.append(len(codes))
+            bits = np.zeros(256, np.uint8)
+            bits[(words >> np.uint64(20)).astype(np.int64) & 255] = 1
+            maps.append(np.packbits(bits).view(np.int64))
+        offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32), pa.int32())
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(lists), pa.int64())), *(pa.array(m, pa.int64()) for m in np.array(maps).T)], names=["key", "n_words", "rare", *_MAP])
+
+    rare = map_batches(own.select("key", "content"), run, "key bigint, n_words int, rare array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    rows = need.join(rare, "key").select("o", "old", "n_words", *_MAP, "hs", F.explode("rare").alias("w")).select(F.explode("hs").alias("h"), "w", "o", "old", "n_words", *_MAP)
+    return stored(rows.select(F.xxhash64("h", "w").alias("h"), "o", "old", "n_words", *_MAP), "hot-groups")
+
+
+def candidate_pairs(heads: DataFrame, texts: DataFrame, share: float = 0.8, least_new: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of distinct contents that may share enough paragraphs, and the rows of groups too hot for pairs.
+
+    heads: (o, hashes, old); o is anything that orders items; texts: (key, content) of the same items and maybe more. Coverage is counted over
+    the buckets of at most BUCKET rows and, for pairs found there, over the hot ones. Pairs that share only hot runs
+    come from the buckets split by rare words (see _hot_groups); the rows of groups that are still too large come back as those of _hot_groups and are resolved leader by leader (see resolve_hot).
     """
     runs = heads.select("o", "old", F.size("hashes").alias("n_runs"), F.explode("hashes").alias("h"))
     hot = _hot(runs.select("h"))
-    listed = _listed(hot)
-    pairs = _bucket_pairs(runs.join(listed, "h", "left_anti"), least_new)
-    still = None
-    if hot.limit(1).count():
-        zipped = hashed.select("o", "old", F.size("hashes").alias("n_runs"), F.explode(F.arrays_zip("hashes", "pairs")).alias("r")).where("r.pairs <> 0")
-        long = zipped.select(F.col("r.hashes").alias("h"), F.col("r.pairs").alias("two"), "o", "old", "n_runs").join(listed, "h", "left_semi").join(heads.select("o"), "o", "left_semi")
-        long = stored(long.select(F.col("two").alias("h"), "o", "n_runs", "old"), "long-runs")
-        hotter = _hot(long.select("h"))
-        pairs = pairs.unionByName(_bucket_pairs(long.join(_listed(hotter), "h", "left_anti"), least_new))
-        still = long.join(_listed(hotter), "h", "left_semi").select("h", "o").distinct()
-    shared = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("n_a", "n_b")).alias("n"))
-    enough = shared.where(F.col("shared") >= F.col("n") * COVERAGE).select("a", "b")
-    return enough, still if still is not None else heads.select(F.lit(0).cast("bigint").alias("h"), "o").limit(0)
+    if not hot.limit(1).count():
+        return _covered(_bucket_pairs(runs.withColumn("n_hot", F.lit(0)), least_new)), heads.select(F.lit(0).cast("bigint").alias("h"), "o").limit(0)
+    listed = _listed(hot.select("h"))
+    counts = stored(runs.join(listed, "h", "left_semi").groupBy("o").agg(F.count(F.lit(1)).cast("int").alias("n_hot"), F.collect_set("h").alias("hs")), "hot-counts")
+    cold = heads.join(_listed(counts.select("o", "n_hot")), "o", "left").select("o", "old", F.size("hashes").alias("n_runs"), F.coalesce("n_hot", F.lit(0)).alias("n_hot"), F.explode("hashes").alias("h")).join(listed, "h", "left_anti")
+    groups = _hot_groups(runs, hot, texts, share)
+    hotter = _hot(groups.select("h"))
+    split = groups.join(_listed(hotter.select("h")), "h", "left_anti").groupBy("h").agg(F.collect_list(F.struct("o", "old", "n_words", *_MAP)).alias("g")).where(F.size("g") > 1)
+    split = split.select(F.explode("g").alias("x"), "g").select("x", F.explode("g").alias("y")).where(_may_repeat("x.", "y.", share, least_new))
+    pairs = _covered(_bucket_pairs(cold, least_new), counts).unionByName(split.select(F.col("x.o").alias("a"), F.col("y.o").alias("b"))).distinct()
+    return pairs, groups.join(_listed(hotter.select("h")), "h", "left_semi").distinct()
+
+
+def _covered(pairs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) whose shared runs, with the shared hot ones of (o, hs), are COVERAGE of the larger item's."""
+    shared = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("n_a", "n_b")).alias("n"), F.max("n_hot").alias("n_hot"))
+    least = F.col("n") * COVERAGE
+    if hot is None:
+        return shared.where(F.col("shared") >= least).select("a", "b")
+    shared = stored(shared.where(F.col("shared") + F.col("n_hot") >= least), "shared")
+    short = shared.where(F.col("shared") < least).join(hot.select(F.col("o").alias("a"), F.col("hs").alias("ha")), "a").join(hot.select(F.col("o").alias("b"), F.col("hs").alias("hb")), "b")
+    short = short.where(F.col("shared") + F.size(F.array_intersect("ha", "hb")) >= least)
+    return shared.where(F.col("shared") >= least).select("a", "b").unionByName(short.select("a", "b"))
 
 
 def common_words(a: list[str], b: list[str]) -> int:
@@ -225,6 +281,11 @@ def _spread(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
+def _key_of(df: DataFrame) -> Column:
+    """The key in o, compact or not."""
+    return F.col("o").bitwiseAND((1 << 40) - 1) if dict(df.dtypes)["o"] == "bigint" else F.col("o.key")
+
+
 def repeated_contents(items: DataFrame, key: str, content: str, batch: str, share: float = 0.8) -> DataFrame:
     """(key, batch_no, accepted_key) of every item that repeats an item accepted before it in the order (batch_no, key).
 
@@ -233,16 +294,15 @@ def repeated_contents(items: DataFrame, key: str, content: str, batch: str, shar
     word repeat nothing; a null batch comes last; a null key has no row; repeated rows of a key count once; very long texts are
     compared whole; other columns are ignored; an empty table gives an empty result.
     """
-    hashed = stored(hash_items(items, key, content, batch).withColumn("o", _order()), "hashed").select("content_hash", "o", "hashes", "pairs")
+    hashed = stored(hash_items(items, key, content, batch).withColumn("o", _order()), "hashed").select("content_hash", "o", "hashes")
     heads = stored(hashed.groupBy("content_hash").agg(F.min(F.struct("o", "hashes")).alias("f")).select("content_hash", "f.*", F.lit(False).alias("old")), "heads")
     texts = items.select(F.col(key).cast("bigint").alias("key"), F.col(content).alias("content"))
-    everything = hashed.withColumn("old", F.lit(False))
-    pairs, hot = candidate_pairs(_compact(heads), _compact(everything)) if _fits_number(hashed) else candidate_pairs(heads, everything)
+    pairs, hot = candidate_pairs(_compact(heads) if _fits_number(hashed) else heads, texts, share)
     pairs, hot = _spread(pairs, "a", "b"), _spread(hot, "o")
     pairs, hot = stored(pairs, "pairs"), stored(hot, "hot")
     near = verified(pairs, _texts_of(texts, pairs), share)
     if hot.limit(1).count():
-        more = resolve_hot(hot, _texts_of(texts, hot.select(F.col("o").alias("a"), F.col("o").alias("b"))), share)
+        more = resolve_hot(hot.select("h", "o"), _texts_of(texts, hot.select(F.col("o").alias("a"), F.col("o").alias("b"))), share)
         near = near.unionByName(more) if more is not None else near
     edges = stored(near.distinct(), "edges")
     links, refused = accepted_and_refused(edges)
@@ -259,7 +319,10 @@ def repeated_contents(items: DataFrame, key: str, content: str, batch: str, shar
 
 def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """One text per key that stands in pairs."""
-    keys = pairs.select(F.col("a.key").alias("key")).unionByName(pairs.select(F.col("b.key").alias("key"))).distinct()
+    return _texts_of_keys(texts, pairs.select(F.col("a.key").alias("key")).unionByName(pairs.select(F.col("b.key").alias("key"))).distinct())
+
+
+def _texts_of_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return texts.join(keys, "key", "left_semi").groupBy("key").agg(F.min("content").alias("content"))
 
 
@@ -278,7 +341,7 @@ def repeated_files(records: DataFrame) -> DataFrame:
 class HashHistory:
     """The history of accepted contents, in tables partitioned by hash bucket, for intake batch by batch.
 
-    ``contents`` has (bucket, content_hash, o), ``runs`` (bucket, h, o, n_runs, two) and ``texts`` (bucket, key, content); a batch reads
+    ``contents`` has (bucket, content_hash, o), ``runs`` (bucket, h, o, n_runs) and ``texts`` (bucket, key, content); a batch reads
     of each only the buckets that its own hashes fall into, never the whole history.
     """
 
@@ -302,27 +365,27 @@ class HashHistory:
         """
         order = "o struct<batch_no int, key bigint>"
         old_contents = self._read("contents", f"content_hash bigint, {order}")
-        old_runs = self._read("runs", f"h bigint, {order}, n_runs int, two bigint")
+        old_runs = self._read("runs", f"h bigint, {order}, n_runs int")
         old_texts = self._read("texts", "key bigint, content string")
         hashed = stored(hash_items(batch, key, content, batch_col).withColumn("o", _order()), "batch-hashed")
         copies = hashed.withColumn("bucket", self._bucket("content_hash")).join(old_contents, ["bucket", "content_hash"]).select(hashed["o"].alias("b"), old_contents["o"].alias("a"))
         copies = stored(copies, "batch-copies")
         fresh = hashed.join(copies.select(F.col("b").alias("o")).distinct(), "o", "left_anti")
-        heads = stored(fresh.groupBy("content_hash").agg(F.min_by(F.struct("o", "hashes", "pairs"), "o").alias("f")).select("content_hash", "f.*"), "batch-heads")
+        heads = stored(fresh.groupBy("content_hash").agg(F.min_by(F.struct("o", "hashes"), "o").alias("f")).select("content_hash", "f.*"), "batch-heads")
         touched = heads.select(F.explode("hashes").alias("h")).distinct().withColumn("bucket", self._bucket("h"))
         met = old_runs.join(touched, ["bucket", "h"], "left_semi").select(F.col("o.key").alias("key"), "o").distinct()
-        near_old = old_runs.join(touched, ["bucket", "h"], "left_semi").groupBy("o").agg(F.collect_list("h").alias("hashes"), F.collect_list("two").alias("pairs"), F.max("n_runs").alias("n"))
+        near_old = old_runs.join(touched, ["bucket", "h"], "left_semi").groupBy("o").agg(F.collect_list("h").alias("hashes"), F.max("n_runs").alias("n"))
         # the history side keeps its full number of paragraphs by padding, so that coverage is that of the whole item
         pad = F.transform(F.sequence(F.lit(1), F.greatest(F.col("n") - F.size("hashes"), F.lit(0)) + 1), lambda i: F.xxhash64(F.col("o.key"), i))
         filler = F.slice(pad, 2, F.greatest(F.col("n") - F.size("hashes"), F.lit(0)))
-        near_old = near_old.select("o", F.concat("hashes", filler).alias("hashes"), F.concat("pairs", F.transform(filler, lambda x: F.lit(0).cast("bigint"))).alias("pairs"), F.lit(True).alias("old"))
-        both = stored(heads.select("o", "hashes", "pairs", F.lit(False).alias("old")).unionByName(near_old), "batch-both")
-        pairs, hot = candidate_pairs(both, both, least_new=True)
-        pairs, hot = stored(pairs, "batch-pairs"), stored(hot, "batch-hot")
+        near_old = near_old.select("o", F.concat("hashes", filler).alias("hashes"), F.lit(True).alias("old"))
+        both = stored(heads.select("o", "hashes", F.lit(False).alias("old")).unionByName(near_old), "batch-both")
         texts = batch.select(F.col(key).cast("bigint").alias("key"), F.col(content).alias("content")).unionByName(old_texts.join(met.select("key"), "key", "left_semi").select("key", "content"))
+        pairs, hot = candidate_pairs(both, texts, self.share, least_new=True)
+        pairs, hot = stored(pairs, "batch-pairs"), stored(hot, "batch-hot")
         near = verified(pairs, _texts_of(texts, pairs), self.share)
         if hot.limit(1).count():
-            more = resolve_hot(hot, _texts_of(texts, hot.select(F.col("o").alias("a"), F.col("o").alias("b"))), self.share)
+            more = resolve_hot(hot.select("h", "o"), _texts_of(texts, hot.select(F.col("o").alias("a"), F.col("o").alias("b"))), self.share)
             near = near.unionByName(more) if more is not None else near
         edges = stored(near.distinct(), "batch-edges")
         links, refused = accepted_and_refused(edges)
@@ -333,7 +396,7 @@ class HashHistory:
         out = stored(out.unionByName(copies.select(F.col("b.key").alias("key"), F.col("a.key").alias("accepted_key"))).distinct(), "batch-refused")
         write = lambda df, name: df.write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{name}")
         write(kept.select("content_hash", "o", self._bucket("content_hash").alias("bucket")), "contents")
-        runs = kept.select("o", F.size("hashes").alias("n_runs"), F.explode(F.arrays_zip("hashes", "pairs")).alias("r")).select(F.col("r.hashes").alias("h"), "o", "n_runs", F.col("r.pairs").alias("two"))
+        runs = kept.select("o", F.size("hashes").alias("n_runs"), F.explode("hashes").alias("h")).select("h", "o", "n_runs")
         write(runs.withColumn("bucket", self._bucket("h")), "runs")
         own = texts.join(kept.select(F.col("o.key").alias("key")), "key", "left_semi").groupBy("key").agg(F.min("content").alias("content"))
         write(own.withColumn("bucket", self._bucket("key")), "texts")
