@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.keys import canonical_sha256
@@ -220,24 +220,38 @@ def verified(pairs: DataFrame, texts: DataFrame, share: float = 0.8) -> DataFram
     return map_batches(flat, run, "ab int, ak bigint, bb int, bk bigint").select(F.struct(F.col("ab").alias("batch_no"), F.col("ak").alias("key")).alias("a"), F.struct(F.col("bb").alias("batch_no"), F.col("bk").alias("key")).alias("b"))
 
 
-def resolve_hot(hot: DataFrame, texts: DataFrame, share: float = 0.8) -> DataFrame | None:
-    """Verified pairs of hot buckets without comparing everything with everything.
+def resolve_hot(hot: DataFrame, near: DataFrame, texts: DataFrame, share: float = 0.8, least_new: bool = False) -> DataFrame:
+    """Verified pairs of hot groups without comparing everything with everything; near has the verified pairs from elsewhere.
 
-    In rounds, the first item of each bucket (its leader) is compared with the others; repeats of the
-    leader leave the bucket, as they are refused and no later item can repeat them, and so does the leader. Each
-    round is linear in the rows left; it ends when no bucket has two.
+    In rounds, the first items of each group (its leaders, 1, then 4, 16 and so on) are compared with all later ones and leave. A
+    refused item leads no more, as nothing repeats it, but stays to be compared with other leaders, as it may repeat
+    several accepted items. An item counts as refused only once an item it repeats is known to be accepted: one that no earlier
+    item of its groups has yet to be compared with, and of which all items that it repeats are refused themselves.
     """
-    out = None
-    left = hot
+    left, edges, refused, n = hot, near.select("a", "b"), None, 1
     while True:
-        lead = left.groupBy("h").agg(F.min("o").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        pairs = stored(salted_join(left, lead.select("h", "a"), "h", F.col("o"), "inner").where("o > a").select("h", "a", F.col("o").alias("b")), "hot-pairs")
-        if pairs.limit(1).count() == 0:
-            return out
-        found = stored(verified(pairs.select("a", "b").distinct(), texts, share), "hot-found")
-        out = found if out is None else out.unionByName(found)
-        gone = found.select("a", "b").distinct()
-        left = stored(pairs.join(gone, ["a", "b"], "left_anti").select("h", F.col("b").alias("o")), "hot-left")
+        free = left if refused is None else left.join(refused, "o", "left_anti")
+        firsts = free.groupBy("h").agg(F.min("o").alias("first"))
+        waiting = stored(free.select("h", "o").join(firsts, "h").where("o > first").select("o").distinct(), "hot-waiting")
+        while True:
+            known = edges
+            if refused is not None:
+                known = known.join(refused.withColumnRenamed("o", "a"), "a", "left_anti").join(refused.withColumnRenamed("o", "b"), "b", "left_anti")
+            sure = known.join(known.select(F.col("b").alias("a")).distinct(), "a", "left_anti").join(waiting.withColumnRenamed("o", "a"), "a", "left_anti")
+            more = stored(sure.select(F.col("b").alias("o")).distinct(), "hot-refused")
+            if not more.limit(1).count():
+                break
+            refused = more if refused is None else refused.unionByName(more)
+        free = left if refused is None else left.join(refused, "o", "left_anti")
+        rank = F.row_number().over(Window.partitionBy("h").orderBy("o"))
+        lead = stored(free.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank"), "hot-leaders")
+        if not lead.limit(1).count():
+            return edges
+        x, y = (df.select("h", *(F.col(c).alias(p + c) for c in ["o", "old", "n_words", *_MAP])) for df, p in ((lead, "x_"), (left, "y_")))
+        pairs = salted_join(y, x, "h", F.col("y_o"), "inner").where(_may_repeat("x_", "y_", share, least_new))
+        pairs = pairs.select(F.col("x_o").alias("a"), F.col("y_o").alias("b")).distinct().join(edges, ["a", "b"], "left_anti")
+        edges = edges.unionByName(stored(verified(pairs, texts, share), "hot-found"))
+        left, n = stored(left.join(lead.select("h", "o"), ["h", "o"], "left_anti"), "hot-left"), n * 4
 
 
 def accepted_and_refused(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -302,8 +316,7 @@ def repeated_contents(items: DataFrame, key: str, content: str, batch: str, shar
     pairs, hot = stored(pairs, "pairs"), stored(hot, "hot")
     near = verified(pairs, _texts_of(texts, pairs), share)
     if hot.limit(1).count():
-        more = resolve_hot(hot.select("h", "o"), _texts_of(texts, hot.select(F.col("o").alias("a"), F.col("o").alias("b"))), share)
-        near = near.unionByName(more) if more is not None else near
+        near = resolve_hot(hot, stored(near, "near"), _texts_of_keys(texts, hot.select("o.key").distinct()), share)
     edges = stored(near.distinct(), "edges")
     links, refused = accepted_and_refused(edges)
     # classes of equal content: accepted heads that a class repeats, itself or others
@@ -385,8 +398,7 @@ class HashHistory:
         pairs, hot = stored(pairs, "batch-pairs"), stored(hot, "batch-hot")
         near = verified(pairs, _texts_of(texts, pairs), self.share)
         if hot.limit(1).count():
-            more = resolve_hot(hot.select("h", "o"), _texts_of(texts, hot.select(F.col("o").alias("a"), F.col("o").alias("b"))), self.share)
-            near = near.unionByName(more) if more is not None else near
+            near = resolve_hot(hot, stored(near, "near"), _texts_of_keys(texts, hot.select("o.key").distinct()), self.share, least_new=True)
         edges = stored(near.distinct(), "batch-edges")
         links, refused = accepted_and_refused(edges)
         kept = stored(heads.join(refused, "o", "left_anti"), "batch-kept")
