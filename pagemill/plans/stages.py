@@ -24,15 +24,45 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+class SharedFiles:
+    """Marks and folders in the file system that a path names, whichever Hadoop knows."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm, self.conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        p = self.jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.conf)
+
+    def names(self, path: str) -> list[str]:
+        """Names in a folder, none if it doesn't exist."""
+        p, fs = self._at(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def mark(self, path: str) -> None:
+        """Creates an empty file in one step; fails if it is there already."""
+        p, fs = self._at(path)
+        fs.create(p, False).close()
+
+    def remove(self, path: str) -> None:
+        p, fs = self._at(path)
+        fs.delete(p, True)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        SharedFiles(spark).remove(path)
     except Exception:  # the session may be gone already
         pass
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """The path of a new folder in the shared one, removed when the driver ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """Writes df to the shared folder and returns a scan of it.
 
@@ -40,10 +70,9 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = shared_folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:
