@@ -1,13 +1,17 @@
 """Deduplication of new batches against all that was accepted before.
 
-Method: every item has a hash of its normalised content and hashes of its paragraphs, here
-content-defined runs of words; both lie in tables bucketed by hash. A new item meets the history only in
-its own buckets: equal content hashes are full copies, shared paragraph hashes give the coverage
-by which near copies are chosen and then verified word by word. Hashes of accepted items are appended.
+Method: every item has a hash of its normalised content and hashes of its paragraphs, here content-defined runs of
+words. Both lie in tables bucketed by hash. An admission hashes only the new items, sends their hashes to the buckets
+and joins bucket by bucket: equal content hashes are full copies, shared paragraph hashes give the coverage by which
+near copies are chosen, which are then verified word by word. The hashes of accepted items are appended to the buckets;
+the history is neither hashed nor shuffled again.
 """
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,68 +19,114 @@ from pyspark.sql import functions as F
 
 from pagemill.functions.keys import canonical_sha256
 from pagemill.llm.arrow import map_batches
-from pagemill.llm.words import folded_words, word_code, word_codes
-from pagemill.plans.stages import salted_join, stored
+from pagemill.llm.words import folded_codes
+from pagemill.plans.stages import SharedFiles, salted_join, stored
 
 #: A paragraph begins at words whose code is 0 in this many, and has at least LEAST_WORDS words.
-EVERY, LEAST_WORDS = 4, 5
-#: Buckets up to this size give all their pairs; for larger ones see candidate_pairs.
+EVERY, LEAST_WORDS = 6, 5
+#: Buckets up to this size give all their pairs; larger ones are split by rare words, which loses no repeat.
 BUCKET = 64
 #: Least share of the larger item's paragraphs that near copies share. Of a text of which 15 % of the
 #: words changed at random about 23 % of the paragraphs are left.
 COVERAGE = 0.08
-_MUL = np.uint64(0x9FB21C651E98DF25)
+_MUL, _MUL2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
+_NO_BATCH = 1 << 22
+
+
+def sequence_hashes(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, mul: np.uint64 = _MUL) -> np.ndarray:
+    """A 64-bit hash of each stretch of codes; stretches follow one another and none is empty."""
+    if not len(starts):
+        return np.empty(0, np.int64)
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(int(sizes.max()) + 1, mul | np.uint64(1), np.uint64))
+        place = np.arange(len(codes)) - np.repeat(starts, sizes)
+        h = np.add.reduceat(codes * powers[place], starts) * mul + sizes.astype(np.uint64)
+        return (h ^ (h >> np.uint64(31))).view(np.int64)
 
 
-def paragraph_hashes(codes: np.ndarray) -> np.ndarray:
-    """Hashes of the content-defined runs of words.
+def paragraph_hashes(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the content-defined runs of the words of each stretch, each hash once per row.
 
     A run goes from a boundary word to the first boundary at least LEAST_WORDS later, so that an edit changes
     only the runs that hold it; the ends of the text are boundaries.
     """
     n = len(codes)
     if not n:
-        return np.empty(0, np.int64)
-    marks = np.flatnonzero((codes >> np.uint64(17)) % np.uint64(EVERY) == 0)
-    marks = np.unique(np.concatenate([[0], marks, [n]]))
-    after = np.minimum(np.searchsorted(marks, marks[:-1] + LEAST_WORDS, "left"), len(marks) - 1)
-    begin, end = marks[:-1], marks[after]
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    mixed = codes * _MUL2
+    marks = np.flatnonzero((mixed >> np.uint64(17)) % np.uint64(EVERY) == 0)
+    marks = np.unique(np.concatenate([starts, marks]))
+    row = np.searchsorted(starts, marks, "right") - 1
+    after = np.append(marks, n)[np.searchsorted(marks, marks + LEAST_WORDS, "left")]
+    end = np.minimum(after, (starts + sizes)[row])
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(n + 1, _MUL | np.uint64(1), np.uint64))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * powers[:n])])
-        inverse = np.uint64(pow(int(_MUL | np.uint64(1)), -1, 1 << 64))
-        shift = np.cumprod(np.full(n + 1, inverse, np.uint64))
-        h = (sums[end] - sums[begin]) * shift[begin]
-        h = (h ^ (h >> np.uint64(29))) * _MUL + (end - begin).astype(np.uint64)
-    return h.view(np.int64)
+        odd = _MUL | np.uint64(1)
+        powers = np.cumprod(np.full(n + 1, odd, np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers[:n])])
+        shift = np.cumprod(np.full(n + 1, np.uint64(pow(int(odd), -1, 1 << 64)), np.uint64))
+        h = (sums[end] - sums[marks]) * shift[marks]
+        h = ((h ^ (h >> np.uint64(29))) * _MUL + (end - marks).astype(np.uint64)).view(np.int64)
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.append(True, (row[1:] != row[:-1]) | (h[1:] != h[:-1]))
+    return row[new], h[new]
+
+
+def order_number(batch: Column, key: Column) -> Column:
+    """(batch, key) as one number that orders items, a null batch last: batches under 2**22, keys under 2**40, none negative.
+
+    Other values raise an error, as they would be mixed up.
+    """
+    batch, key = batch.cast("bigint"), key.cast("bigint")
+    fits = key.between(0, (1 << 40) - 1) & (batch.isNull() | batch.between(0, _NO_BATCH - 1))
+    number = F.shiftleft(F.coalesce(batch, F.lit(_NO_BATCH)), 40) + key
+    return F.when(fits | key.isNull(), number).otherwise(F.raise_error(F.lit("keys must lie in [0, 2**40), batches in [0, 2**22)")))
+
+
+def key_of(o: str) -> Column:
+    return F.col(o).bitwiseAND((1 << 40) - 1)
+
+
+def batch_of(o: str) -> Column:
+    return F.nullif(F.shiftright(o, 40).cast("int"), F.lit(_NO_BATCH))
+
 
+def hash_items(items: DataFrame) -> DataFrame:
+    """(o, content_hash, content_check, words) of (o, content): one row per row with any word; the others repeat nothing.
 
-def hash_items(items: DataFrame, key: str, content: str, batch: str) -> DataFrame:
-    """(batch_no, key, content_hash, hashes): one row per row with any word; the others repeat nothing."""
+    words has the low 32 bits of the code of each word; the two content hashes are those of the whole codes.
+    """
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        parts = list(map(folded_codes, b.column(1).to_pylist()))
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) >> 3
+        take = np.flatnonzero(sizes)
+        codes, sizes = np.frombuffer(b"".join(parts), np.uint64), sizes[take]
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        words = pa.array(codes.astype(np.uint32).view(np.int32), pa.int32())
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32), pa.int32()), words)
+        hashes = [pa.array(sequence_hashes(codes, starts, sizes, m), pa.int64()) for m in (_MUL, _MUL2)]
+        names = ["o", "content_hash", "content_check", "words"]
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(take, pa.int64())), *hashes, lists], names=names)
+
+    return map_batches(items.select("o", "content"), run, "o bigint, content_hash bigint, content_check bigint, words array<int>")
+
+
+def run_rows(hashed: DataFrame) -> DataFrame:
+    """(h, o, n_words, n_runs): one row per item and paragraph hash."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        memo = word_codes()
-        take, contents, ones = [], [], []
-        for i, text in enumerate(b.column(2).to_pylist()):
-            codes = np.frombuffer(b"".join(map(memo.__getitem__, folded_words(text))), np.uint64)
-            if len(codes):
-                with np.errstate(over="ignore"):
-                    whole = (codes * np.cumprod(np.full(len(codes), _MUL | np.uint64(1), np.uint64))).sum() * _MUL + np.uint64(len(codes))
-                take.append(i)
-                contents.append(int(whole.view(np.int64)))
-                ones.append(paragraph_hashes(codes))
-        offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ones])]).astype(np.int32), pa.int32())
-        runs = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ones) if ones else np.empty(0, np.int64), pa.int64()))
-        index = pa.array(take, pa.int32())
-        return pa.RecordBatch.from_arrays([b.column(0).take(index), b.column(1).take(index), pa.array(contents, pa.int64()), runs], names=["batch_no", "key", "content_hash", "hashes"])
-
-    picked = items.where(F.col(key).isNotNull()).select(F.col(batch).cast("int").alias("batch_no"), F.col(key).cast("bigint").alias("key"), F.col(content).alias("content"))
-    return map_batches(picked, run, "batch_no int, key bigint, content_hash bigint, hashes array<bigint>")
-
-
-def _order() -> Column:
-    """(batch_no, key), a null batch last."""
-    return F.struct(F.coalesce("batch_no", F.lit(2147483647)).alias("batch_no"), F.col("key").alias("key"))
+        lists = b.column(1)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        sizes = np.diff(offsets)
+        codes = lists.values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint32).astype(np.uint64)
+        row, h = paragraph_hashes(codes, offsets[:-1] - offsets[0], sizes)
+        number = np.bincount(row, minlength=len(sizes))[row]
+        cols = [pa.array(h, pa.int64()), b.column(0).take(pa.array(row, pa.int64())), pa.array(sizes[row], pa.int32()), pa.array(number, pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["h", "o", "n_words", "n_runs"])
+
+    return map_batches(hashed.select("o", "words"), run, "h bigint, o bigint, n_words int, n_runs int")
 
 
 def _listed(df: DataFrame, few: int = 200_000) -> DataFrame:
@@ -84,143 +134,144 @@ def _listed(df: DataFrame, few: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= few else df
 
 
-def _bucket_pairs(rows: DataFrame, least_new: bool) -> DataFrame:
-    """All pairs (a, b, n_a, n_b, n_hot) of each bucket h of (h, o, n_runs, n_hot, old), n_hot being the lesser; the caller leaves only buckets of at most BUCKET rows.
+def rarest_runs(rows: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """(h, o, n_words, old): of each item the paragraphs by which its near copies are looked for.
 
-    With least_new only pairs of which one row at least isn't from the history.
+    rows: (h, o, n_words, n_runs, old, n), n being the number of items with h, at least 2. Items that share ``coverage`` of the
+    paragraphs of the larger share one of the rarest of either: all but the last that many less one, in the
+    order of (n, h) (prefix filter, exact).
     """
-    g = rows.groupBy("h").agg(F.collect_list(F.struct("o", "n_runs", "n_hot", "old")).alias("g")).where(F.size("g") > 1)
-    pair = g.select(F.explode("g").alias("x"), "g").select("x", F.explode("g").alias("y")).where("x.o < y.o")
-    if least_new:
-        pair = pair.where("not (x.old and y.old)")
-    return pair.select(F.col("x.o").alias("a"), F.col("y.o").alias("b"), F.col("x.n_runs").alias("n_a"), F.col("y.n_runs").alias("n_b"), F.least("x.n_hot", "y.n_hot").alias("n_hot"))
+    least = F.greatest(F.ceil(F.col("n_runs") * coverage - 1e-9).cast("int"), F.lit(1))
+    g = rows.groupBy("o").agg(F.first("n_words").alias("n_words"), F.first("n_runs").alias("n_runs"), F.first("old").alias("old"), F.sort_array(F.collect_list(F.struct("n", "h"))).alias("r"))
+    g = g.where(F.size("r") >= least)
+    return g.select("o", "n_words", "old", F.explode(F.slice(F.col("r.h"), F.lit(1), F.size("r") - least + 1)).alias("h")).select("h", "o", "n_words", "old")
 
 
-def _hot(rows: DataFrame) -> DataFrame:
-    """Buckets of more than BUCKET rows: at most one in BUCKET of all."""
-    return stored(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET), "hot-buckets")
+def _may_repeat(x: str, y: str, share: float) -> Column:
+    """Whether x is before y, not both of the history, and their lengths allow a repeat (columns under prefixes)."""
+    shorter, longer = F.least(f"{x}n_words", f"{y}n_words"), F.greatest(f"{x}n_words", f"{y}n_words")
+    return (F.col(f"{x}o") < F.col(f"{y}o")) & ~(F.col(f"{x}old") & F.col(f"{y}old")) & (shorter >= longer * share - 1e-9)
 
 
 #: Bitmap of an item's words, 256 bits.
 _MAP = ["s0", "s1", "s2", "s3"]
 
 
-def _may_repeat(x: str, y: str, share: float, least_new: bool = False) -> Column:
-    """Whether x is before y (prefixes of columns) and no fewer words of either than the share of the longer can stand in the other, judged by the bitmaps: true for all repeats."""
+def _maps_allow(x: str, y: str, share: float) -> Column:
+    """_may_repeat, and by the bitmaps no fewer words of either than the share of the longer can stand in the other: true for all repeats."""
     least = F.ceil(F.greatest(f"{x}n_words", f"{y}n_words") * share - 1e-9)
     only = lambda p, q: sum((F.bit_count(F.col(f"{p}{m}").bitwiseAND(F.bitwise_not(f"{q}{m}"))) for m in _MAP), F.lit(0))
-    ok = (F.col(f"{x}o") < F.col(f"{y}o")) & (only(x, y) <= F.col(f"{x}n_words") - least) & (only(y, x) <= F.col(f"{y}n_words") - least)
-    return ok & ~(F.col(f"{x}old") & F.col(f"{y}old")) if least_new else ok
+    return _may_repeat(x, y, share) & (only(x, y) <= F.col(f"{x}n_words") - least) & (only(y, x) <= F.col(f"{y}n_words") - least)
+
 
+def _grouped_pairs(rows: DataFrame, allowed, *cols: str) -> DataFrame:
+    """Distinct pairs (a, b) within each group h that are allowed; the caller leaves only groups of at most BUCKET rows."""
+    g = rows.groupBy("h").agg(F.collect_list(F.struct("o", "n_words", "old", *cols)).alias("g")).where(F.size("g") > 1)
+    pair = g.select(F.explode("g").alias("x"), "g").select("x", F.explode("g").alias("y"))
+    return pair.where(allowed("x.", "y.")).select(F.col("x.o").alias("a"), F.col("y.o").alias("b")).distinct()
+
+
+def _hot(rows: DataFrame) -> DataFrame:
+    """Groups h of more than BUCKET rows: at most one in BUCKET of all rows."""
+    return stored(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET).select("h"), "hot-buckets")
 
-def _hot_groups(runs: DataFrame, hot: DataFrame, texts: DataFrame, share: float) -> DataFrame:
-    """(h, o, old, n_words, s0, s1, s2, s3): the rows of hot buckets, with a bitmap of the words, split by rare words, such that no pair is lost that could be a repeat.
 
-    Items that share 8 % of the runs of the larger share one that isn't among the hottest 8 % of either, and of items under 8 % of hot runs no
-    pair shares hot runs only. Repeats share that part of all words, so they share one of the rarest of the rest (prefix filter).
+def split_hot(rows: DataFrame, words: DataFrame, share: float) -> DataFrame:
+    """(h, o, old, n_words, s0, s1, s2, s3): the rows (h, o, n_words, old) of hot buckets split by rare words, with a bitmap of the words.
+
+    Repeats share that part of all words, so they share one of the rarest of the rest (prefix filter): no repeat is lost.
     """
-    by_item = runs.join(_listed(hot), "h").groupBy("o").agg(F.first("old").alias("old"), F.first("n_runs").alias("n_runs"), F.sort_array(F.collect_list(F.struct("n", "h")), False).alias("r"))
-    least = F.ceil(F.col("n_runs") * COVERAGE - 1e-9).cast("int")
-    need = stored(by_item.where(F.size("r") >= least).select("o", "old", F.array_distinct(F.slice(F.col("r.h"), least, F.size("r"))).alias("hs")).withColumn("key", _key_of(by_item)), "hot-items")
-    own = need.join(_texts_of_keys(texts, need.select("key")), "key")
-    # only the order of words by frequency comes from the sample; any order gives the same repeats
+    own = words.join(_listed(rows.select("o").distinct()), "o", "left_semi")
+    # only the order of words by frequency comes from this bounded sample; any order gives the same repeats
     known = np.zeros(1 << 16, np.int64)
-    for (text,) in own.select(F.substring("content", 1, 4000)).limit(2000).collect():
-        for w in set(folded_words(text)):
-            known[int.from_bytes(word_code(w)[:2], "little")] += 1
+    for (sample,) in own.select(F.slice("words", 1, 1000)).limit(2000).collect():
+        known[np.unique(np.array(sample, np.int32)) & 0xFFFF] += 1
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        memo, lists, sizes, maps = word_codes(), [], [], []
-        for text in b.column(1).to_pylist():
-            codes = np.frombuffer(b"".join(map(memo.__getitem__, folded_words(text))), np.uint64)
-            words, n = np.unique(codes, return_counts=True)
+        lists, maps = [], []
+        for ws in b.column(1).to_pylist():
+            codes = np.array(ws, np.int32)
+            distinct, n = np.unique(codes, return_counts=True)
+            times = np.arange(len(codes)) - np.repeat(np.cumsum(n) - n, n)
             with np.errstate(over="ignore"):
-                times = np.arange(len(codes), dtype=np.uint64) - np.repeat(np.cumsum(n) - n, n).astype(np.uint64)
-                tokens = (np.repeat(words, n) + times) * _MUL
-            often = np.repeat(known[(words & np.uint64(0xFFFF)).astype(np.int64)], n)
+                tokens = (np.repeat(distinct, n).astype(np.int64).view(np.uint64) + times.astype(np.uint64) * _MUL2) * _MUL
+            often = np.repeat(known[distinct & 0xFFFF], n)
             first = len(codes) - int(np.ceil(share * len(codes) - 1e-9)) + 1
             lists.append(tokens[np.lexsort((tokens, often))[:first]].view(np.int64))
-            sizes.append(len(codes))
             bits = np.zeros(256, np.uint8)
-            bits[(words >> np.uint64(20)).astype(np.int64) & 255] = 1
+            bits[(distinct >> 12) & 255] = 1
             maps.append(np.packbits(bits).view(np.int64))
-        offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32), pa.int32())
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(lists), pa.int64())), *(pa.array(m, pa.int64()) for m in np.array(maps).T)], names=["key", "n_words", "rare", *_MAP])
+        offsets = pa.array(np.cumsum([0, *map(len, lists)]).astype(np.int32), pa.int32())
+        rare = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(lists), pa.int64()))
+        return pa.RecordBatch.from_arrays([b.column(0), rare, *(pa.array(m, pa.int64()) for m in np.array(maps).T)], names=["o", "rare", *_MAP])
 
-    rare = map_batches(own.select("key", "content"), run, "key bigint, n_words int, rare array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
-    rows = need.join(rare, "key").select("o", "old", "n_words", *_MAP, "hs", F.explode("rare").alias("w")).select(F.explode("hs").alias("h"), "w", "o", "old", "n_words", *_MAP)
-    return stored(rows.select(F.xxhash64("h", "w").alias("h"), "o", "old", "n_words", *_MAP), "hot-groups")
+    rare = map_batches(own.select("o", "words"), run, "o bigint, rare array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    split = rows.join(rare, "o").select("h", "o", "old", "n_words", *_MAP, F.explode("rare").alias("w"))
+    return stored(split.withColumn("h", F.xxhash64("h", "w")).drop("w"), "hot-groups")
 
 
-def candidate_pairs(heads: DataFrame, texts: DataFrame, share: float = 0.8, least_new: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of distinct contents that may share enough paragraphs, and the rows of groups too hot for pairs.
+def candidate_pairs(rare: DataFrame, words: DataFrame, share: float) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs (a, b) of items that share one of their rarest paragraphs, and the rows of groups too hot for pairs, if any.
 
-    heads: (o, hashes, old); o is anything that orders items; texts: (key, content) of the same items and maybe more. Coverage is counted over
-    the buckets of at most BUCKET rows and, for pairs found there, over the hot ones. Pairs that share only hot runs
-    come from the buckets split by rare words (see _hot_groups); the rows of groups that are still too large come back as those of _hot_groups and are resolved leader by leader (see resolve_hot).
+    rare: (h, o, n_words, old), see rarest_runs. Hot buckets are split by rare words (split_hot); groups that are still
+    too large come back and are resolved leader by leader (resolve_hot).
     """
-    runs = heads.select("o", "old", F.size("hashes").alias("n_runs"), F.explode("hashes").alias("h"))
-    hot = _hot(runs.select("h"))
-    if not hot.limit(1).count():
-        return _covered(_bucket_pairs(runs.withColumn("n_hot", F.lit(0)), least_new)), heads.select(F.lit(0).cast("bigint").alias("h"), "o").limit(0)
-    listed = _listed(hot.select("h"))
-    counts = stored(runs.join(listed, "h", "left_semi").groupBy("o").agg(F.count(F.lit(1)).cast("int").alias("n_hot"), F.collect_set("h").alias("hs")), "hot-counts")
-    cold = heads.join(_listed(counts.select("o", "n_hot")), "o", "left").select("o", "old", F.size("hashes").alias("n_runs"), F.coalesce("n_hot", F.lit(0)).alias("n_hot"), F.explode("hashes").alias("h")).join(listed, "h", "left_anti")
-    groups = _hot_groups(runs, hot, texts, share)
-    hotter = _hot(groups.select("h"))
-    split = groups.join(_listed(hotter.select("h")), "h", "left_anti").groupBy("h").agg(F.collect_list(F.struct("o", "old", "n_words", *_MAP)).alias("g")).where(F.size("g") > 1)
-    split = split.select(F.explode("g").alias("x"), "g").select("x", F.explode("g").alias("y")).where(_may_repeat("x.", "y.", share, least_new))
-    pairs = _covered(_bucket_pairs(cold, least_new), counts).unionByName(split.select(F.col("x.o").alias("a"), F.col("y.o").alias("b"))).distinct()
-    return pairs, groups.join(_listed(hotter.select("h")), "h", "left_semi").distinct()
-
-
-def _covered(pairs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """The pairs (a, b) whose shared runs, with the shared hot ones of (o, hs), are COVERAGE of the larger item's."""
-    shared = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("n_a", "n_b")).alias("n"), F.max("n_hot").alias("n_hot"))
-    least = F.col("n") * COVERAGE
-    if hot is None:
-        return shared.where(F.col("shared") >= least).select("a", "b")
-    shared = stored(shared.where(F.col("shared") + F.col("n_hot") >= least), "shared")
-    short = shared.where(F.col("shared") < least).join(hot.select(F.col("o").alias("a"), F.col("hs").alias("ha")), "a").join(hot.select(F.col("o").alias("b"), F.col("hs").alias("hb")), "b")
-    short = short.where(F.col("shared") + F.size(F.array_intersect("ha", "hb")) >= least)
-    return shared.where(F.col("shared") >= least).select("a", "b").unionByName(short.select("a", "b"))
-
-
-def common_words(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, by bit vectors of b's length."""
+    hot = _hot(rare)
+    allowed = lambda x, y: _may_repeat(x, y, share)
+    if hot.isEmpty():
+        return _grouped_pairs(rare, allowed), None
+    listed = _listed(hot)
+    groups = split_hot(rare.join(listed, "h", "left_semi"), words, share)
+    hotter = _listed(_hot(groups))
+    pairs = _grouped_pairs(rare.join(listed, "h", "left_anti"), allowed)
+    pairs = pairs.unionByName(_grouped_pairs(groups.join(hotter, "h", "left_anti"), lambda x, y: _maps_allow(x, y, share), *_MAP)).distinct()
+    left = groups.join(hotter, "h", "left_semi").distinct()
+    return pairs, left
+
+
+def common_words(a: list, b: list) -> int:
+    """Length of the longest common subsequence, by bit vectors of the shorter's length."""
     if len(a) > len(b):
         a, b = b, a
-    where: dict[str, int] = {}
+    where: dict = {}
     for i, w in enumerate(a):
         where[w] = where.get(w, 0) | 1 << i
     full = (1 << len(a)) - 1
     v = full
     for w in b:
-        u = v & where.get(w, 0)
-        v = ((v + u) | (v - u)) & full
+        if m := where.get(w):
+            u = v & m
+            v = ((v + u) | (v - u)) & full
     return len(a) - v.bit_count()
 
 
-def is_repeat(a: list[str], b: list[str], share: float = 0.8) -> bool:
+def is_repeat(a: list, b: list, share: float = 0.8) -> bool:
     """Whether at least that share of the words of the longer stand in the other in the same order."""
     longer, shorter = max(len(a), len(b)), min(len(a), len(b))
-    return longer > 0 and shorter >= share * longer - 1e-9 and common_words(a, b) >= share * longer - 1e-9
-
-
-def verified(pairs: DataFrame, texts: DataFrame, share: float = 0.8) -> DataFrame:
-    """The pairs (a, b) whose texts (key, content) are repeats."""
-    t = texts.select(F.col("key").alias("k"), "content")
-    own = pairs.join(t.withColumnRenamed("content", "x"), F.col("a.key") == F.col("k")).drop("k").join(t.withColumnRenamed("content", "y"), F.col("b.key") == F.col("k")).drop("k")
+    least = share * longer - 1e-9
+    if not longer or shorter < least:
+        return False
+    x, y = set(a), set(b)
+    if len(x - y) > len(a) - least or len(y - x) > len(b) - least:
+        return False
+    return common_words(a, b) >= least
+
+
+def verified(pairs: DataFrame, words: DataFrame, share: float = 0.8) -> DataFrame:
+    """The pairs (a, b) whose word sequences (o, words) are repeats."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("o")).distinct()
+    w = words.join(_listed(ids, 1_000_000), "o", "left_semi")
+    side = lambda k: w.select(F.col("o").alias(k), F.col("words").alias(f"{k}_words"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_words", "b_words")
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        keep = [is_repeat(folded_words(x), folded_words(y), share) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
-        return pa.RecordBatch.from_arrays(b.columns[:4], names=["ab", "ak", "bb", "bk"]).filter(pa.array(keep, pa.bool_()))
+        keep = [is_repeat(x, y, share) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+        return pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    flat = own.select(F.col("a.batch_no").alias("ab"), F.col("a.key").alias("ak"), F.col("b.batch_no").alias("bb"), F.col("b.key").alias("bk"), "x", "y")
-    return map_batches(flat, run, "ab int, ak bigint, bb int, bk bigint").select(F.struct(F.col("ab").alias("batch_no"), F.col("ak").alias("key")).alias("a"), F.struct(F.col("bb").alias("batch_no"), F.col("bk").alias("key")).alias("b"))
+    return map_batches(both, run, "a bigint, b bigint")
 
 
-def resolve_hot(hot: DataFrame, near: DataFrame, texts: DataFrame, share: float = 0.8, least_new: bool = False) -> DataFrame:
+def resolve_hot(hot: DataFrame, near: DataFrame, words: DataFrame, share: float = 0.8) -> DataFrame:
     """Verified pairs of hot groups without comparing everything with everything; near has the verified pairs from elsewhere.
 
     In rounds, the first items of each group (its leaders, 1, then 4, 16 and so on) are compared with all later ones and leave. A
@@ -239,177 +290,231 @@ def resolve_hot(hot: DataFrame, near: DataFrame, texts: DataFrame, share: float
                 known = known.join(refused.withColumnRenamed("o", "a"), "a", "left_anti").join(refused.withColumnRenamed("o", "b"), "b", "left_anti")
             sure = known.join(known.select(F.col("b").alias("a")).distinct(), "a", "left_anti").join(waiting.withColumnRenamed("o", "a"), "a", "left_anti")
             more = stored(sure.select(F.col("b").alias("o")).distinct(), "hot-refused")
-            if not more.limit(1).count():
+            if more.isEmpty():
                 break
             refused = more if refused is None else refused.unionByName(more)
         free = left if refused is None else left.join(refused, "o", "left_anti")
         rank = F.row_number().over(Window.partitionBy("h").orderBy("o"))
         lead = stored(free.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank"), "hot-leaders")
-        if not lead.limit(1).count():
+        if lead.isEmpty():
             return edges
         x, y = (df.select("h", *(F.col(c).alias(p + c) for c in ["o", "old", "n_words", *_MAP])) for df, p in ((lead, "x_"), (left, "y_")))
-        pairs = salted_join(y, x, "h", F.col("y_o"), "inner").where(_may_repeat("x_", "y_", share, least_new))
-        pairs = pairs.select(F.col("x_o").alias("a"), F.col("y_o").alias("b")).distinct().join(edges, ["a", "b"], "left_anti")
-        edges = edges.unionByName(stored(verified(pairs, texts, share), "hot-found"))
+        pairs = salted_join(y, x, "h", F.col("y_o"), "inner").where(_maps_allow("x_", "y_", share))
+        pairs = stored(pairs.select(F.col("x_o").alias("a"), F.col("y_o").alias("b")).distinct().join(edges, ["a", "b"], "left_anti"), "hot-pairs")
+        edges = edges.unionByName(stored(verified(pairs, words, share), "hot-found"))
         left, n = stored(left.join(lead.select("h", "o"), ["h", "o"], "left_anti"), "hot-left"), n * 4
 
 
 def accepted_and_refused(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Goes through items in order: one that repeats an accepted item is refused, any other accepted.
 
-    edges: (a, b, decided) with a before b, decided being true where a is known to be accepted (history). Returns
-    the edges from accepted to refused items and the refused items. Each round decides the items that no
+    edges: (a, b) with a before b. Returns the edges from accepted to refused items and the refused items. Each round decides the items that no
     undecided earlier item is linked with, so there are as many rounds as the longest chain of repeats.
     """
-    left, done = edges.select("a", "b"), None
-    while left.limit(1).count():
+    left, done = edges.select("a", "b"), []
+    while not left.isEmpty():
         later = left.select(F.col("b").alias("a")).distinct()
         sure = left.join(later, "a", "left_anti")
         refused = stored(sure.select(F.col("b").alias("o")).distinct(), "refused")
-        done = refused if done is None else done.unionByName(refused)
+        done.append(refused)
         rest = left.join(refused.withColumnRenamed("o", "b"), "b", "left_anti")
         left = stored(rest.join(refused.withColumnRenamed("o", "a"), "a", "left_anti").select("a", "b"), "undecided")
-    if done is None:
-        done = edges.select(F.col("b").alias("o")).limit(0)
-    links = edges.select("a", "b").join(done.withColumnRenamed("o", "a"), "a", "left_anti").join(done.withColumnRenamed("o", "b"), "b", "left_semi")
-    return links.select("a", "b"), done
-
-
-def _fits_number(df: DataFrame) -> bool:
-    """Whether the order (batch, key) fits one number: batches under 2**22, keys under 2**40, neither negative."""
-    row = df.select(F.max(F.nullif("o.batch_no", F.lit(2147483647))).alias("b"), F.min("o.batch_no").alias("first"), F.max("o.key").alias("k"), F.min("o.key").alias("least")).first()
-    return row["k"] is not None and 0 <= row["least"] and row["k"] < 1 << 40 and 0 <= row["first"] and (row["b"] or 0) < 1 << 22
-
-
-def _compact(df: DataFrame) -> DataFrame:
-    """o as one number, a null batch as the last, which halves what the bucket shuffles move."""
-    return df.withColumn("o", F.shiftleft(F.least(F.col("o.batch_no"), F.lit(1 << 22)).cast("bigint"), 40) + F.col("o.key"))
-
-
-def _spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Undoes _compact."""
-    for c in cols:
-        if dict(df.dtypes)[c] == "bigint":
-            batch = F.shiftright(c, 40).cast("int")
-            df = df.withColumn(c, F.struct(F.when(batch == 1 << 22, 2147483647).otherwise(batch).alias("batch_no"), F.col(c).bitwiseAND((1 << 40) - 1).alias("key")))
-    return df
-
-
-def _key_of(df: DataFrame) -> Column:
-    """The key in o, compact or not."""
-    return F.col("o").bitwiseAND((1 << 40) - 1) if dict(df.dtypes)["o"] == "bigint" else F.col("o.key")
-
-
-def repeated_contents(items: DataFrame, key: str, content: str, batch: str, share: float = 0.8) -> DataFrame:
-    """(key, batch_no, accepted_key) of every item that repeats an item accepted before it in the order (batch_no, key).
-
-    Each full copy is represented by the first item of its content, so copies are never compared with
-    one another, however many there are. Null, empty and blank contents and those without a
-    word repeat nothing; a null batch comes last; a null key has no row; repeated rows of a key count once; very long texts are
-    compared whole; other columns are ignored; an empty table gives an empty result.
-    """
-    hashed = stored(hash_items(items, key, content, batch).withColumn("o", _order()), "hashed").select("content_hash", "o", "hashes")
-    heads = stored(hashed.groupBy("content_hash").agg(F.min(F.struct("o", "hashes")).alias("f")).select("content_hash", "f.*", F.lit(False).alias("old")), "heads")
-    texts = items.select(F.col(key).cast("bigint").alias("key"), F.col(content).alias("content"))
-    pairs, hot = candidate_pairs(_compact(heads) if _fits_number(hashed) else heads, texts, share)
-    pairs, hot = _spread(pairs, "a", "b"), _spread(hot, "o")
-    pairs, hot = stored(pairs, "pairs"), stored(hot, "hot")
-    near = verified(pairs, _texts_of(texts, pairs), share)
-    if hot.limit(1).count():
-        near = resolve_hot(hot, stored(near, "near"), _texts_of_keys(texts, hot.select("o.key").distinct()), share)
-    edges = stored(near.distinct(), "edges")
-    links, refused = accepted_and_refused(edges)
-    # classes of equal content: accepted heads that a class repeats, itself or others
-    head = heads.select("content_hash", F.col("o").alias("head"))
-    near_any = links.select("a", "b").unionByName(edges.join(refused.withColumnRenamed("o", "a"), "a", "left_semi").join(refused.withColumnRenamed("o", "b"), "b", "left_anti").select(F.col("b").alias("a"), F.col("a").alias("b")))
-    own = head.join(refused.withColumnRenamed("o", "head"), "head", "left_anti").select("content_hash", F.col("head").alias("accepted"))
-    other = head.join(near_any.withColumnRenamed("b", "head"), "head").select("content_hash", F.col("a").alias("accepted"))
-    targets = own.unionByName(other).groupBy("content_hash").agg(F.collect_set("accepted").alias("accepted"))
-    copies = hashed.select("content_hash", "o").distinct()
-    out = salted_join(copies, targets, "content_hash", F.col("o"), "inner").select("o", F.explode("accepted").alias("acc")).where("acc < o")
-    return out.select(F.col("o.key").alias("key"), F.nullif(F.col("o.batch_no"), F.lit(2147483647)).alias("batch_no"), F.col("acc.key").alias("accepted_key"))
-
-
-def _texts_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One text per key that stands in pairs."""
-    return _texts_of_keys(texts, pairs.select(F.col("a.key").alias("key")).unionByName(pairs.select(F.col("b.key").alias("key"))).distinct())
-
-
-def _texts_of_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    return texts.join(keys, "key", "left_semi").groupBy("key").agg(F.min("content").alias("content"))
-
-
-def repeated_files(records: DataFrame) -> DataFrame:
-    """(key, batch_no, accepted_key) of every record whose file was accepted before, by the hash of the first version.
-
-    Null, blank, all-zero and malformed hashes and that of the empty file prove nothing; records without a doc_id have no row; a null batch
-    comes last; repeated rows count once.
-    """
-    first = records.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("key")).agg(F.min_by(F.struct("batch_no", "sha256"), F.coalesce("version_no", F.lit(2147483647))).alias("v"))
-    r = first.select("key", F.col("v.batch_no").alias("batch_no"), canonical_sha256(F.col("v.sha256")).alias("sha")).where("sha is not null").withColumn("o", _order())
-    heads = r.groupBy("sha").agg(F.min("o").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "head")
-    return salted_join(r, heads, "sha", F.col("key"), "inner").where("o > head").select("key", "batch_no", F.col("head.key").alias("accepted_key"))
+    out = reduce(DataFrame.unionByName, done) if done else edges.select(F.col("b").alias("o")).limit(0)
+    links = edges.select("a", "b").join(out.withColumnRenamed("o", "a"), "a", "left_anti").join(out.withColumnRenamed("o", "b"), "b", "left_semi")
+    return links.select("a", "b"), out
 
 
 class HashHistory:
-    """The history of accepted contents, in tables partitioned by hash bucket, for intake batch by batch.
+    """The history of accepted items: tables bucketed by hash, to which each admission appends a generation.
 
-    ``contents`` has (bucket, content_hash, o), ``runs`` (bucket, h, o, n_runs) and ``texts`` (bucket, key, content); a batch reads
-    of each only the buckets that its own hashes fall into, never the whole history.
+    ``contents`` (content_hash, content_check, o) is bucketed by content_hash, ``runs`` (h, o, n_words, n_runs) by h, ``files`` (sha, o) by sha;
+    ``words`` (o, words) has the word sequences for verification, ``refused`` (b, a) the results. All are partitioned by
+    generation, and only generations with a commit mark, which is created in one step, are read: an admission that fails leaves
+    nothing behind, and one that is repeated under its label returns its result again. The number of buckets is fixed at creation.
     """
 
-    def __init__(self, spark: SparkSession, path: str, n_buckets: int = 64, share: float = 0.8):
-        self.spark, self.path, self.n_buckets, self.share = spark, path.rstrip("/"), n_buckets, share
-
-    def _read(self, name: str, schema: str) -> DataFrame:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        if p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-            return self.spark.read.schema(schema + ", bucket int").parquet(f"{self.path}/{name}")
-        return self.spark.createDataFrame([], schema + ", bucket int")
-
-    def _bucket(self, c: str):
-        return F.pmod(F.col(c), F.lit(self.n_buckets)).cast("int")
-
-    def admit(self, batch: DataFrame, key: str, content: str, batch_col: str) -> DataFrame:
-        """Refuses the items of a batch that repeat accepted ones and appends the hashes of the others.
-
-        Returns (key, accepted_key) of the refused; the rules are those of repeated_contents.
+    TABLES = {"contents": ("content_hash bigint, content_check bigint, o bigint", "content_hash"), "runs": ("h bigint, o bigint, n_words int, n_runs int", "h"), "files": ("sha string, o bigint", "sha")}
+
+    def __init__(self, spark: SparkSession, path: str, n_buckets: int | None = None, share: float = 0.8, coverage: float = COVERAGE):
+        self.spark, self.path, self.share, self.coverage = spark, path.rstrip("/"), share, coverage
+        self.files = SharedFiles(spark)
+        wanted = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        names = self.files.names(f"{self.path}/_buckets")
+        if not names:
+            self.files.mark(f"{self.path}/_buckets/{wanted}")
+        self.n_buckets = int(names[0]) if names else wanted
+
+    def _name(self, table: str) -> str:
+        return f"pagemill_{table}_{hashlib.md5(self.path.encode()).hexdigest()[:16]}"
+
+    def _table(self, table: str) -> str:
+        """The table's name, defined in this session over the files at the path."""
+        columns, by = self.TABLES[table.removesuffix("_new")]
+        name = self._name(table)
+        self.spark.sql(f"create table if not exists {name} ({columns}, gen int) using parquet partitioned by (gen) clustered by ({by}) into {self.n_buckets} buckets location '{self.path}/{table}'")
+        return name
+
+    def generations(self) -> dict[int, str]:
+        """Committed generations with their labels."""
+        return dict((int(n.split("-")[0]), n.partition("-")[2]) for n in self.files.names(f"{self.path}/_commits"))
+
+    def bucketed(self, table: str, gens: list[int]) -> DataFrame:
+        return self.spark.table(self._table(table)).where(F.col("gen").isin(gens)).drop("gen")
+
+    def _append(self, df: DataFrame, table: str, gen: int, in_place: bool = False) -> None:
+        """Writes a generation, one file per bucket; rows that come out of the same buckets (in_place) aren't shuffled for it."""
+        by = self.TABLES[table.removesuffix("_new")][1]
+        df = df if in_place else df.repartition(self.n_buckets, by)
+        df.withColumn("gen", F.lit(gen)).write.option("compression", "zstd").insertInto(self._table(table))
+        self.spark.catalog.refreshTable(self._name(table))
+
+    def _write(self, df: DataFrame, table: str, gen: int) -> None:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{table}/gen={gen}")
+
+    def _plain(self, table: str, schema: str, gens: list[int]) -> DataFrame:
+        paths = [f"{self.path}/{table}/gen={g}" for g in gens]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _begin(self, label: str | None) -> tuple[int, list[int], bool]:
+        """Number of the next generation, the committed ones, and whether the label is among them; clears what a failed admission left."""
+        done = self.generations()
+        if label is not None and label in done.values():
+            return next(g for g, x in done.items() if x == label), sorted(done), True
+        gen = max(done, default=0) + 1
+        for table in (*self.TABLES, "runs_new", "words", "refused"):
+            self.files.remove(f"{self.path}/{table}/gen={gen}")
+        return gen, sorted(done), False
+
+    def _result(self, gens: list[int]) -> DataFrame:
+        r = self._plain("refused", "b bigint, a bigint", gens)
+        return r.select(key_of("b").alias("key"), batch_of("b").alias("batch_no"), key_of("a").alias("accepted_key"))
+
+    def refused(self) -> DataFrame:
+        """(key, batch_no, accepted_key) of all admissions."""
+        return self._result(sorted(self.generations()))
+
+    def admit_files(self, batch: DataFrame, label: str | None = None) -> DataFrame:
+        """(key, batch_no, accepted_key) of the items of a batch (key, batch_no, sha) whose file was accepted before; appends the hashes of the others.
+
+        Null hashes prove nothing, null keys have no row. Only the buckets of the hashes meet; a hash that a third of all items has is
+        represented by its first item, so it isn't a hot key of a join of rows with rows.
+        """
+        gen, gens, again = self._begin(label)
+        if again:
+            return self._result([gen])
+        new = stored(batch.where("key is not null and sha is not null").select("sha", order_number(F.col("batch_no"), F.col("key")).alias("o")).distinct(), "batch-files")
+        heads = new.groupBy("sha").agg(F.min("o").alias("head"))
+        if gens:
+            old = self.bucketed("files", gens).select("sha", F.col("o").alias("head"), F.lit(True).alias("old"))
+            met = heads.select("sha").join(old, "sha")
+            heads = heads.join(met, "sha", "left").select("sha", F.coalesce(met["head"], heads["head"]).alias("head"), F.coalesce("old", F.lit(False)).alias("old"))
+        else:
+            heads = heads.withColumn("old", F.lit(False))
+        heads = stored(heads, "batch-file-heads")
+        found = salted_join(new, heads, "sha", F.col("o"), "inner").where("o <> head")
+        self._write(found.select(F.col("o").alias("b"), F.col("head").alias("a")), "refused", gen)
+        self._append(heads.where("not old").select("sha", F.col("head").alias("o")), "files", gen)
+        self.files.mark(f"{self.path}/_commits/{gen}-{label or ''}")
+        return self._result([gen])
+
+    def admit(self, batch: DataFrame, key: str, content: str, batch_col: str, label: str | None = None) -> DataFrame:
+        """Refuses the items of one or several successive batches that repeat accepted ones and appends the hashes of the others.
+
+        Items are taken in the order (batch, key), so that the outcome doesn't depend on how batches are put together. Returns (key, batch_no, accepted_key) of the refused.
+        Each full copy is represented by the first item of its content, so copies are never compared with
+        one another, however many there are. Null, empty and blank contents and those without a
+        word repeat nothing; a null batch comes last; a null key has no row; repeated rows of a key count once; very long texts are
+        compared whole; other columns are ignored; an empty batch gives an empty result.
         """
-        order = "o struct<batch_no int, key bigint>"
-        old_contents = self._read("contents", f"content_hash bigint, {order}")
-        old_runs = self._read("runs", f"h bigint, {order}, n_runs int")
-        old_texts = self._read("texts", "key bigint, content string")
-        hashed = stored(hash_items(batch, key, content, batch_col).withColumn("o", _order()), "batch-hashed")
-        copies = hashed.withColumn("bucket", self._bucket("content_hash")).join(old_contents, ["bucket", "content_hash"]).select(hashed["o"].alias("b"), old_contents["o"].alias("a"))
-        copies = stored(copies, "batch-copies")
-        fresh = hashed.join(copies.select(F.col("b").alias("o")).distinct(), "o", "left_anti")
-        heads = stored(fresh.groupBy("content_hash").agg(F.min_by(F.struct("o", "hashes"), "o").alias("f")).select("content_hash", "f.*"), "batch-heads")
-        touched = heads.select(F.explode("hashes").alias("h")).distinct().withColumn("bucket", self._bucket("h"))
-        met = old_runs.join(touched, ["bucket", "h"], "left_semi").select(F.col("o.key").alias("key"), "o").distinct()
-        near_old = old_runs.join(touched, ["bucket", "h"], "left_semi").groupBy("o").agg(F.collect_list("h").alias("hashes"), F.max("n_runs").alias("n"))
-        # the history side keeps its full number of paragraphs by padding, so that coverage is that of the whole item
-        pad = F.transform(F.sequence(F.lit(1), F.greatest(F.col("n") - F.size("hashes"), F.lit(0)) + 1), lambda i: F.xxhash64(F.col("o.key"), i))
-        filler = F.slice(pad, 2, F.greatest(F.col("n") - F.size("hashes"), F.lit(0)))
-        near_old = near_old.select("o", F.concat("hashes", filler).alias("hashes"), F.lit(True).alias("old"))
-        both = stored(heads.select("o", "hashes", F.lit(False).alias("old")).unionByName(near_old), "batch-both")
-        texts = batch.select(F.col(key).cast("bigint").alias("key"), F.col(content).alias("content")).unionByName(old_texts.join(met.select("key"), "key", "left_semi").select("key", "content"))
-        pairs, hot = candidate_pairs(both, texts, self.share, least_new=True)
-        pairs, hot = stored(pairs, "batch-pairs"), stored(hot, "batch-hot")
-        near = verified(pairs, _texts_of(texts, pairs), self.share)
-        if hot.limit(1).count():
-            near = resolve_hot(hot, stored(near, "near"), _texts_of_keys(texts, hot.select("o.key").distinct()), self.share, least_new=True)
-        edges = stored(near.distinct(), "batch-edges")
-        links, refused = accepted_and_refused(edges)
-        kept = stored(heads.join(refused, "o", "left_anti"), "batch-kept")
-        head = heads.select("content_hash", F.col("o").alias("head"))
-        by_class = head.join(refused.withColumnRenamed("o", "head"), "head", "left_anti").select("content_hash", F.col("head").alias("acc")).unionByName(head.join(links.withColumnRenamed("b", "head"), "head").select("content_hash", F.col("a").alias("acc")))
-        out = fresh.select("content_hash", "o").join(by_class, "content_hash").where("acc < o").select(F.col("o.key").alias("key"), F.col("acc.key").alias("accepted_key"))
-        out = stored(out.unionByName(copies.select(F.col("b.key").alias("key"), F.col("a.key").alias("accepted_key"))).distinct(), "batch-refused")
-        write = lambda df, name: df.write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{name}")
-        write(kept.select("content_hash", "o", self._bucket("content_hash").alias("bucket")), "contents")
-        runs = kept.select("o", F.size("hashes").alias("n_runs"), F.explode("hashes").alias("h")).select("h", "o", "n_runs")
-        write(runs.withColumn("bucket", self._bucket("h")), "runs")
-        own = texts.join(kept.select(F.col("o.key").alias("key")), "key", "left_semi").groupBy("key").agg(F.min("content").alias("content"))
-        write(own.withColumn("bucket", self._bucket("key")), "texts")
-        return out
+        gen, gens, again = self._begin(label)
+        if again:
+            return self._result([gen])
+        items = batch.where(F.col(key).isNotNull()).select(order_number(F.col(batch_col), F.col(key)).alias("o"), F.col(content).alias("content"))
+        self._write(hash_items(items), "words", gen)
+        schema = "o bigint, content_hash bigint, content_check bigint, words array<int>"
+        hashed = self._plain("words", schema, [gen])
+        words = self._plain("words", schema, [*gens, gen]).select("o", "words")
+        content_key = ["content_hash", "content_check"]
+        groups = hashed.groupBy(*content_key).agg(F.min("o").alias("head"), F.max("o").alias("last"), F.count(F.lit(1)).alias("n"))
+        if gens:
+            groups = groups.join(self.bucketed("contents", gens).withColumnRenamed("o", "old"), content_key, "left")
+        else:
+            groups = groups.withColumn("old", F.lit(None).cast("bigint"))
+        groups = stored(groups, "batch-contents")
+        several = groups.where("n > 1 or old is not null").select("content_hash", F.col("content_check").alias("check"), "head", "old")
+        # every row of a content that has several or lies in the history
+        copies = salted_join(hashed.select("o", *content_key), several, "content_hash", F.col("o"), "inner").where("check = content_check")
+        copies = stored(copies.select("o", "head", "old").distinct(), "batch-copies")
+        heads = groups.where("old is null").select(*content_key, F.col("head").alias("o"))
+        single = hashed.select("o", "words").join(_listed(copies.select("o").distinct()), "o", "left_anti")
+        first = hashed.select("o", "words").join(_listed(copies.where("old is null and o = head").select("o").distinct()), "o", "left_semi").dropDuplicates(["o"])
+        self._append(run_rows(single.unionByName(first)), "runs_new", gen)
+        rare = stored(rarest_runs(self._met(gen, gens), self.coverage), "batch-rare")
+        pairs, hot = candidate_pairs(rare, words, self.share)
+        near = stored(verified(stored(pairs, "batch-pairs"), words, self.share).distinct(), "batch-near")
+        if hot is not None:
+            hot = stored(hot, "batch-hot")
+            near = near if hot.isEmpty() else stored(resolve_hot(hot, near, words, self.share).distinct(), "batch-edges")
+        links, refused = accepted_and_refused(near)
+        refused = stored(refused, "batch-refused")
+        self._write(self._refusals(copies, near, links, refused), "refused", gen)
+        listed = _listed(refused)
+        self._append(heads.join(listed, "o", "left_anti").select(*content_key, "o"), "contents", gen)
+        self._append(self.bucketed("runs_new", [gen]).join(listed, "o", "left_anti").select("h", "o", "n_words", "n_runs"), "runs", gen, in_place=True)
+        self.files.mark(f"{self.path}/_commits/{gen}-{label or ''}")
+        self.files.remove(f"{self.path}/runs_new/gen={gen}")
+        return self._result([gen])
+
+    def _met(self, gen: int, gens: list[int]) -> DataFrame:
+        """(h, o, n_words, n_runs, old, n) of the new items' paragraphs that several items have, in the history or among the new, and of the history's rows with the same hashes.
+
+        Bucket by bucket: nothing is shuffled.
+        """
+        new = self.bucketed("runs_new", [gen])
+        seen = new.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+        if not gens:
+            return new.join(seen.where("n > 1").hint("shuffle_hash"), "h").withColumn("old", F.lit(False))
+        old = self.bucketed("runs", gens)
+        before = old.join(seen.select("h").hint("shuffle_hash"), "h", "left_semi").groupBy("h").agg(F.count(F.lit(1)).alias("k"))
+        several = seen.join(before, "h", "left").select("h", (F.col("n") + F.coalesce("k", F.lit(0))).alias("n")).where("n > 1").hint("shuffle_hash")
+        side = lambda df, flag: df.join(several, "h").withColumn("old", F.lit(flag))
+        return side(new, False).unionByName(side(old, True))
+
+    def _refusals(self, copies: DataFrame, near: DataFrame, links: DataFrame, refused: DataFrame) -> DataFrame:
+        """(b, a): every refused item with the accepted ones that it or the first item of its content repeats."""
+        heads = links.select(F.col("b").alias("head"), F.col("a").alias("accepted"))
+        # a refused first item may be like an accepted later one, which its copies after that repeat
+        later = near.join(refused.withColumnRenamed("o", "a"), "a", "left_semi").join(refused.withColumnRenamed("o", "b"), "b", "left_anti")
+        by_head = heads.unionByName(later.select(F.col("a").alias("head"), F.col("b").alias("accepted"))).groupBy("head").agg(F.collect_set("accepted").alias("all"))
+        members = copies.where("old is null and o <> head").select("o", "head")
+        found = salted_join(members, by_head, "head", F.col("o")).select(F.col("o").alias("b"), F.explode(F.coalesce("all", F.array("head"))).alias("a")).where("a < b")
+        full = copies.where("old is not null").select(F.col("o").alias("b"), F.col("old").alias("a"))
+        return full.unionByName(found).unionByName(links.select("b", "a")).distinct()
+
+    def drop(self) -> None:
+        """Removes the tables and all files."""
+        for table in (*self.TABLES, "runs_new"):
+            self.spark.sql(f"drop table if exists {self._name(table)}")
+        self.files.remove(self.path)
+
+
+def successive(items: DataFrame, batch: str, at_once: int) -> list[tuple[str, Column]]:
+    """(label, condition) of each ``at_once`` successive batches; null batches come last. Batches are few, so their numbers go to the driver."""
+    numbers = sorted((r[0] for r in items.select(batch).distinct().collect()), key=lambda n: (n is None, n))
+    out = []
+    for i in range(0, len(numbers), at_once):
+        part = numbers[i : i + at_once]
+        known = [n for n in part if n is not None]
+        some = F.col(batch).between(known[0], known[-1]) if known else F.lit(False)
+        out.append((f"{part[0]}..{part[-1]}", some | F.col(batch).isNull() if None in part else some))
+    return out
+
+
+def first_versions(records: DataFrame) -> DataFrame:
+    """(key, batch_no, sha) by the first version of each record; null, blank, all-zero and malformed hashes and that of the empty file are null.
+
+    Records without a doc_id have no row; repeated rows count once.
+    """
+    first = F.min_by(F.struct("batch_no", "sha256"), F.coalesce("version_no", F.lit(2147483647))).alias("v")
+    r = records.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("key")).agg(first)
+    return r.select("key", F.col("v.batch_no").alias("batch_no"), canonical_sha256(F.col("v.sha256")).alias("sha"))

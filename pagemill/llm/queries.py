@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemill.llm import history, leakage, ocr, pii, splitting, tokenizer, toxicity
 from pagemill.functions.keys import canonical_uuid
+from pagemill.plans.stages import shared_folder, stored
 from pagemill.sources.tables import table
 
 
@@ -28,15 +29,35 @@ def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact_texts(texts, pii.learn_names(texts)).distinct()
 
 
+#: Weekly batches that one admission takes; the outcome is the same for any number.
+BATCHES_AT_ONCE = 12
+
+
+def _file_intake(spark: SparkSession, d: str) -> DataFrame:
+    """Goes through the records' files batch after batch; (key, batch_no, accepted_key) of the refused."""
+    files = history.HashHistory(spark, shared_folder(spark, "file-history"))
+    records = stored(history.first_versions(table(spark, d, "records")), "first-versions")
+    for label, part in history.successive(records, "batch_no", BATCHES_AT_ONCE):
+        files.admit_files(records.where(part), label)
+    return files.refused()
+
+
+def _chunk_intake(spark: SparkSession, d: str) -> DataFrame:
+    """Goes through the chunks batch after batch, likewise."""
+    contents = history.HashHistory(spark, shared_folder(spark, "chunk-history"))
+    chunks = table(spark, d, "chunks")
+    for label, part in history.successive(chunks, "batch_no", BATCHES_AT_ONCE):
+        contents.admit(chunks.where(part), "chunk_id", "content", "batch_no", label)
+    return contents.refused()
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     pair = lambda df, grain: df.select(F.lit(grain).alias("grain"), F.least("key", "accepted_key").alias("key_a"), F.greatest("key", "accepted_key").alias("key_b"))
-    files = history.repeated_files(table(spark, d, "records"))
-    contents = history.repeated_contents(table(spark, d, "chunks"), "chunk_id", "content", "batch_no")
-    return pair(files, "record").unionByName(pair(contents, "chunk")).distinct()
+    return pair(_file_intake(spark, d), "record").unionByName(pair(_chunk_intake(spark, d), "chunk")).distinct()
 
 
 def p2_refused_files(spark: SparkSession, d: str) -> DataFrame:
-    return history.repeated_files(table(spark, d, "records"))
+    return _file_intake(spark, d).distinct()
 
 
 def _pieces(spark: SparkSession, d: str) -> DataFrame:
