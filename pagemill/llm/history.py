@@ -24,8 +24,11 @@ from pagemill.plans.stages import SharedFiles, salted_join, stored
 
 #: A paragraph begins at words whose code is 0 in this many, and has at least LEAST_WORDS words.
 EVERY, LEAST_WORDS = 6, 5
-#: Buckets up to this size give all their pairs; larger ones are split by rare words, which loses no repeat.
-BUCKET = 64
+#: Buckets up to this size have all their pairs tested by length and bitmap; larger ones are split by rare words, which loses no repeat.
+BUCKET = 512
+#: Bitmap of an item's words, 256 bits.
+_MAP = ["s0", "s1", "s2", "s3"]
+_MAPS = "s0 bigint, s1 bigint, s2 bigint, s3 bigint"
 #: Least share of the larger item's paragraphs that near copies share. Of a text of which 15 % of the
 #: words changed at random about 23 % of the paragraphs are left.
 COVERAGE = 0.08
@@ -92,9 +95,9 @@ def batch_of(o: str) -> Column:
 
 
 def hash_items(items: DataFrame) -> DataFrame:
-    """(o, content_hash, content_check, words) of (o, content): one row per row with any word; the others repeat nothing.
+    """(o, content_hash, content_check, words, s0, s1, s2, s3) of (o, content): one row per row with any word; the others repeat nothing.
 
-    words has the low 32 bits of the code of each word; the two content hashes are those of the whole codes.
+    words has the low 32 bits of the code of each word, s0 to s3 are a bitmap of them; the two content hashes are those of the whole codes.
     """
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -107,10 +110,16 @@ def hash_items(items: DataFrame) -> DataFrame:
         words = pa.array(codes.astype(np.uint32).view(np.int32), pa.int32())
         lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32), pa.int32()), words)
         hashes = [pa.array(sequence_hashes(codes, starts, sizes, m), pa.int64()) for m in (_MUL, _MUL2)]
-        names = ["o", "content_hash", "content_check", "words"]
-        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(take, pa.int64())), *hashes, lists], names=names)
+        maps = np.zeros((len(take), 256), np.uint8)
+        maps[np.repeat(np.arange(len(take)), sizes), ((codes >> np.uint64(12)) & np.uint64(255)).astype(np.int64)] = 1
+        maps = np.packbits(maps, axis=1).view(np.int64).T
+        names = ["o", "content_hash", "content_check", "words", *_MAP]
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(take, pa.int64())), *hashes, lists, *(pa.array(m, pa.int64()) for m in maps)], names=names)
+
+    return map_batches(items.select("o", "content"), run, _HASHED)
+
 
-    return map_batches(items.select("o", "content"), run, "o bigint, content_hash bigint, content_check bigint, words array<int>")
+_HASHED = f"o bigint, content_hash bigint, content_check bigint, words array<int>, {_MAPS}"
 
 
 def run_rows(hashed: DataFrame) -> DataFrame:
@@ -134,17 +143,17 @@ def _listed(df: DataFrame, few: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= few else df
 
 
-def rarest_runs(rows: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """(h, o, n_words, old): of each item the paragraphs by which its near copies are looked for.
+def rarest_runs(rows: DataFrame, maps: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """(h, o, n_words, old, s0, s1, s2, s3): of each item the paragraphs by which its near copies are looked for.
 
-    rows: (h, o, n_words, n_runs, old, n), n being the number of items with h, at least 2. Items that share ``coverage`` of the
+    rows: (h, o, n_words, n_runs, old, n), n being the number of items with h, at least 2; maps: the bitmap of each o. Items that share ``coverage`` of the
     paragraphs of the larger share one of the rarest of either: all but the last that many less one, in the
     order of (n, h) (prefix filter, exact).
     """
     least = F.greatest(F.ceil(F.col("n_runs") * coverage - 1e-9).cast("int"), F.lit(1))
     g = rows.groupBy("o").agg(F.first("n_words").alias("n_words"), F.first("n_runs").alias("n_runs"), F.first("old").alias("old"), F.sort_array(F.collect_list(F.struct("n", "h"))).alias("r"))
-    g = g.where(F.size("r") >= least)
-    return g.select("o", "n_words", "old", F.explode(F.slice(F.col("r.h"), F.lit(1), F.size("r") - least + 1)).alias("h")).select("h", "o", "n_words", "old")
+    g = g.where(F.size("r") >= least).select("o", "n_words", "old", F.slice(F.col("r.h"), F.lit(1), F.size("r") - least + 1).alias("hs"))
+    return g.join(maps, "o").select(F.explode("hs").alias("h"), "o", "n_words", "old", *_MAP)
 
 
 def _may_repeat(x: str, y: str, share: float) -> Column:
@@ -153,10 +162,6 @@ def _may_repeat(x: str, y: str, share: float) -> Column:
     return (F.col(f"{x}o") < F.col(f"{y}o")) & ~(F.col(f"{x}old") & F.col(f"{y}old")) & (shorter >= longer * share - 1e-9)
 
 
-#: Bitmap of an item's words, 256 bits.
-_MAP = ["s0", "s1", "s2", "s3"]
-
-
 def _maps_allow(x: str, y: str, share: float) -> Column:
     """_may_repeat, and by the bitmaps no fewer words of either than the share of the longer can stand in the other: true for all repeats."""
     least = F.ceil(F.greatest(f"{x}n_words", f"{y}n_words") * share - 1e-9)
@@ -164,11 +169,10 @@ def _maps_allow(x: str, y: str, share: float) -> Column:
     return _may_repeat(x, y, share) & (only(x, y) <= F.col(f"{x}n_words") - least) & (only(y, x) <= F.col(f"{y}n_words") - least)
 
 
-def _grouped_pairs(rows: DataFrame, allowed, *cols: str) -> DataFrame:
-    """Distinct pairs (a, b) within each group h that are allowed; the caller leaves only groups of at most BUCKET rows."""
-    g = rows.groupBy("h").agg(F.collect_list(F.struct("o", "n_words", "old", *cols)).alias("g")).where(F.size("g") > 1)
-    pair = g.select(F.explode("g").alias("x"), "g").select("x", F.explode("g").alias("y"))
-    return pair.where(allowed("x.", "y.")).select(F.col("x.o").alias("a"), F.col("y.o").alias("b")).distinct()
+def _grouped_pairs(rows: DataFrame, share: float) -> DataFrame:
+    """Distinct pairs (a, b) of each group h that lengths and bitmaps allow; the caller leaves only groups of at most BUCKET rows."""
+    x, y = (rows.select("h", *(F.col(c).alias(f"{p}{c}") for c in ("o", "n_words", "old", *_MAP))) for p in ("x_", "y_"))
+    return x.join(y, "h").where(_maps_allow("x_", "y_", share)).select(F.col("x_o").alias("a"), F.col("y_o").alias("b")).distinct()
 
 
 def _hot(rows: DataFrame) -> DataFrame:
@@ -177,18 +181,18 @@ def _hot(rows: DataFrame) -> DataFrame:
 
 
 def split_hot(rows: DataFrame, words: DataFrame, share: float) -> DataFrame:
-    """(h, o, old, n_words, s0, s1, s2, s3): the rows (h, o, n_words, old) of hot buckets split by rare words, with a bitmap of the words.
+    """The rows (h, o, n_words, old, s0, s1, s2, s3) of hot buckets split by rare words.
 
     Repeats share that part of all words, so they share one of the rarest of the rest (prefix filter): no repeat is lost.
     """
-    own = words.join(_listed(rows.select("o").distinct()), "o", "left_semi")
+    own = words.select("o", "words").join(_listed(rows.select("o").distinct()), "o", "left_semi")
     # only the order of words by frequency comes from this bounded sample; any order gives the same repeats
     known = np.zeros(1 << 16, np.int64)
     for (sample,) in own.select(F.slice("words", 1, 1000)).limit(2000).collect():
         known[np.unique(np.array(sample, np.int32)) & 0xFFFF] += 1
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        lists, maps = [], []
+        lists = []
         for ws in b.column(1).to_pylist():
             codes = np.array(ws, np.int32)
             distinct, n = np.unique(codes, return_counts=True)
@@ -198,35 +202,29 @@ def split_hot(rows: DataFrame, words: DataFrame, share: float) -> DataFrame:
             often = np.repeat(known[distinct & 0xFFFF], n)
             first = len(codes) - int(np.ceil(share * len(codes) - 1e-9)) + 1
             lists.append(tokens[np.lexsort((tokens, often))[:first]].view(np.int64))
-            bits = np.zeros(256, np.uint8)
-            bits[(distinct >> 12) & 255] = 1
-            maps.append(np.packbits(bits).view(np.int64))
         offsets = pa.array(np.cumsum([0, *map(len, lists)]).astype(np.int32), pa.int32())
         rare = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(lists), pa.int64()))
-        return pa.RecordBatch.from_arrays([b.column(0), rare, *(pa.array(m, pa.int64()) for m in np.array(maps).T)], names=["o", "rare", *_MAP])
+        return pa.RecordBatch.from_arrays([b.column(0), rare], names=["o", "rare"])
 
-    rare = map_batches(own.select("o", "words"), run, "o bigint, rare array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
-    split = rows.join(rare, "o").select("h", "o", "old", "n_words", *_MAP, F.explode("rare").alias("w"))
+    rare = map_batches(own, run, "o bigint, rare array<bigint>")
+    split = rows.join(rare, "o").withColumn("w", F.explode("rare")).drop("rare")
     return stored(split.withColumn("h", F.xxhash64("h", "w")).drop("w"), "hot-groups")
 
 
 def candidate_pairs(rare: DataFrame, words: DataFrame, share: float) -> tuple[DataFrame, DataFrame | None]:
     """Pairs (a, b) of items that share one of their rarest paragraphs, and the rows of groups too hot for pairs, if any.
 
-    rare: (h, o, n_words, old), see rarest_runs. Hot buckets are split by rare words (split_hot); groups that are still
+    rare: see rarest_runs. Hot buckets are split by rare words (split_hot); groups that are still
     too large come back and are resolved leader by leader (resolve_hot).
     """
     hot = _hot(rare)
-    allowed = lambda x, y: _may_repeat(x, y, share)
     if hot.isEmpty():
-        return _grouped_pairs(rare, allowed), None
+        return _grouped_pairs(rare, share), None
     listed = _listed(hot)
     groups = split_hot(rare.join(listed, "h", "left_semi"), words, share)
     hotter = _listed(_hot(groups))
-    pairs = _grouped_pairs(rare.join(listed, "h", "left_anti"), allowed)
-    pairs = pairs.unionByName(_grouped_pairs(groups.join(hotter, "h", "left_anti"), lambda x, y: _maps_allow(x, y, share), *_MAP)).distinct()
-    left = groups.join(hotter, "h", "left_semi").distinct()
-    return pairs, left
+    pairs = _grouped_pairs(rare.join(listed, "h", "left_anti").unionByName(groups.join(hotter, "h", "left_anti")), share)
+    return pairs, groups.join(hotter, "h", "left_semi").distinct()
 
 
 def common_words(a: list, b: list) -> int:
@@ -260,7 +258,7 @@ def is_repeat(a: list, b: list, share: float = 0.8) -> bool:
 def verified(pairs: DataFrame, words: DataFrame, share: float = 0.8) -> DataFrame:
     """The pairs (a, b) whose word sequences (o, words) are repeats."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("o")).distinct()
-    w = words.join(_listed(ids, 1_000_000), "o", "left_semi")
+    w = words.select("o", "words").join(_listed(ids, 1_000_000), "o", "left_semi")
     side = lambda k: w.select(F.col("o").alias(k), F.col("words").alias(f"{k}_words"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_words", "b_words")
 
@@ -431,9 +429,8 @@ class HashHistory:
             return self._result([gen])
         items = batch.where(F.col(key).isNotNull()).select(order_number(F.col(batch_col), F.col(key)).alias("o"), F.col(content).alias("content"))
         self._write(hash_items(items), "words", gen)
-        schema = "o bigint, content_hash bigint, content_check bigint, words array<int>"
-        hashed = self._plain("words", schema, [gen])
-        words = self._plain("words", schema, [*gens, gen]).select("o", "words")
+        hashed = self._plain("words", _HASHED, [gen])
+        words = self._plain("words", _HASHED, [*gens, gen])
         content_key = ["content_hash", "content_check"]
         groups = hashed.groupBy(*content_key).agg(F.min("o").alias("head"), F.max("o").alias("last"), F.count(F.lit(1)).alias("n"))
         if gens:
@@ -449,7 +446,7 @@ class HashHistory:
         single = hashed.select("o", "words").join(_listed(copies.select("o").distinct()), "o", "left_anti")
         first = hashed.select("o", "words").join(_listed(copies.where("old is null and o = head").select("o").distinct()), "o", "left_semi").dropDuplicates(["o"])
         self._append(run_rows(single.unionByName(first)), "runs_new", gen)
-        rare = stored(rarest_runs(self._met(gen, gens), self.coverage), "batch-rare")
+        rare = stored(rarest_runs(self._met(gen, gens), words.select("o", *_MAP), self.coverage), "batch-rare")
         pairs, hot = candidate_pairs(rare, words, self.share)
         near = stored(verified(stored(pairs, "batch-pairs"), words, self.share).distinct(), "batch-near")
         if hot is not None:
