@@ -25,7 +25,7 @@ from pagemill.plans.stages import SharedFiles, salted_join, stored
 #: A paragraph begins at words whose code is 0 in this many, and has at least LEAST_WORDS words.
 EVERY, LEAST_WORDS = 6, 5
 #: Buckets up to this size have all their pairs tested by length and bitmap; larger ones are split by rare words, which loses no repeat.
-BUCKET = 512
+BUCKET = 2048
 #: Bitmap of an item's words, 256 bits.
 _MAP = ["s0", "s1", "s2", "s3"]
 _MAPS = "s0 bigint, s1 bigint, s2 bigint, s3 bigint"
@@ -327,8 +327,8 @@ class HashHistory:
 
     ``contents`` (content_hash, content_check, o) is bucketed by content_hash, ``runs`` (h, o, n_words, n_runs) by h, ``files`` (sha, o) by sha;
     ``words`` (o, words) has the word sequences for verification, ``refused`` (b, a) the results. All are partitioned by
-    generation, and only generations with a commit mark, which is created in one step, are read: an admission that fails leaves
-    nothing behind, and one that is repeated under its label returns its result again. The number of buckets is fixed at creation.
+    generation, and only generations with a commit mark, which is created in one step, are read (a negative one holds an admission's runs until it
+    is decided what is accepted): an admission that fails leaves nothing behind, and one that is repeated under its label returns its result again. The number of buckets is fixed at creation.
     """
 
     TABLES = {"contents": ("content_hash bigint, content_check bigint, o bigint", "content_hash"), "runs": ("h bigint, o bigint, n_words int, n_runs int", "h"), "files": ("sha string, o bigint", "sha")}
@@ -347,7 +347,7 @@ class HashHistory:
 
     def _table(self, table: str) -> str:
         """The table's name, defined in this session over the files at the path."""
-        columns, by = self.TABLES[table.removesuffix("_new")]
+        columns, by = self.TABLES[table]
         name = self._name(table)
         self.spark.sql(f"create table if not exists {name} ({columns}, gen int) using parquet partitioned by (gen) clustered by ({by}) into {self.n_buckets} buckets location '{self.path}/{table}'")
         return name
@@ -361,7 +361,7 @@ class HashHistory:
 
     def _append(self, df: DataFrame, table: str, gen: int, in_place: bool = False) -> None:
         """Writes a generation, one file per bucket; rows that come out of the same buckets (in_place) aren't shuffled for it."""
-        by = self.TABLES[table.removesuffix("_new")][1]
+        by = self.TABLES[table][1]
         df = df if in_place else df.repartition(self.n_buckets, by)
         df.withColumn("gen", F.lit(gen)).write.option("compression", "zstd").insertInto(self._table(table))
         self.spark.catalog.refreshTable(self._name(table))
@@ -379,8 +379,9 @@ class HashHistory:
         if label is not None and label in done.values():
             return next(g for g, x in done.items() if x == label), sorted(done), True
         gen = max(done, default=0) + 1
-        for table in (*self.TABLES, "runs_new", "words", "refused"):
+        for table in (*self.TABLES, "words", "refused"):
             self.files.remove(f"{self.path}/{table}/gen={gen}")
+        self.files.remove(f"{self.path}/runs/gen={-gen}")
         return gen, sorted(done), False
 
     def _result(self, gens: list[int]) -> DataFrame:
@@ -395,21 +396,21 @@ class HashHistory:
         """(key, batch_no, accepted_key) of the items of a batch (key, batch_no, sha) whose file was accepted before; appends the hashes of the others.
 
         Null hashes prove nothing, null keys have no row. Only the buckets of the hashes meet; a hash that a third of all items has is
-        represented by its first item, so it isn't a hot key of a join of rows with rows.
+        represented by its first item, and the join with the first items splits what is skewed (adaptive execution).
         """
         gen, gens, again = self._begin(label)
         if again:
             return self._result([gen])
         new = stored(batch.where("key is not null and sha is not null").select("sha", order_number(F.col("batch_no"), F.col("key")).alias("o")).distinct(), "batch-files")
-        heads = new.groupBy("sha").agg(F.min("o").alias("head"))
+        heads = new.groupBy("sha").agg(F.min("o").alias("head"), F.count(F.lit(1)).alias("n"))
         if gens:
             old = self.bucketed("files", gens).select("sha", F.col("o").alias("head"), F.lit(True).alias("old"))
             met = heads.select("sha").join(old, "sha")
-            heads = heads.join(met, "sha", "left").select("sha", F.coalesce(met["head"], heads["head"]).alias("head"), F.coalesce("old", F.lit(False)).alias("old"))
+            heads = heads.join(met, "sha", "left").select("sha", "n", F.coalesce(met["head"], heads["head"]).alias("head"), F.coalesce("old", F.lit(False)).alias("old"))
         else:
             heads = heads.withColumn("old", F.lit(False))
         heads = stored(heads, "batch-file-heads")
-        found = salted_join(new, heads, "sha", F.col("o"), "inner").where("o <> head")
+        found = new.join(_listed(heads.where("n > 1 or old")), "sha").where("o <> head")
         self._write(found.select(F.col("o").alias("b"), F.col("head").alias("a")), "refused", gen)
         self._append(heads.where("not old").select("sha", F.col("head").alias("o")), "files", gen)
         self.files.mark(f"{self.path}/_commits/{gen}-{label or ''}")
@@ -440,12 +441,12 @@ class HashHistory:
         groups = stored(groups, "batch-contents")
         several = groups.where("n > 1 or old is not null").select("content_hash", F.col("content_check").alias("check"), "head", "old")
         # every row of a content that has several or lies in the history
-        copies = salted_join(hashed.select("o", *content_key), several, "content_hash", F.col("o"), "inner").where("check = content_check")
+        copies = hashed.select("o", *content_key).join(_listed(several), "content_hash").where("check = content_check")
         copies = stored(copies.select("o", "head", "old").distinct(), "batch-copies")
         heads = groups.where("old is null").select(*content_key, F.col("head").alias("o"))
         single = hashed.select("o", "words").join(_listed(copies.select("o").distinct()), "o", "left_anti")
         first = hashed.select("o", "words").join(_listed(copies.where("old is null and o = head").select("o").distinct()), "o", "left_semi").dropDuplicates(["o"])
-        self._append(run_rows(single.unionByName(first)), "runs_new", gen)
+        self._append(run_rows(single.unionByName(first)), "runs", -gen)
         rare = stored(rarest_runs(self._met(gen, gens), words.select("o", *_MAP), self.coverage), "batch-rare")
         pairs, hot = candidate_pairs(rare, words, self.share)
         near = stored(verified(stored(pairs, "batch-pairs"), words, self.share).distinct(), "batch-near")
@@ -457,9 +458,9 @@ class HashHistory:
         self._write(self._refusals(copies, near, links, refused), "refused", gen)
         listed = _listed(refused)
         self._append(heads.join(listed, "o", "left_anti").select(*content_key, "o"), "contents", gen)
-        self._append(self.bucketed("runs_new", [gen]).join(listed, "o", "left_anti").select("h", "o", "n_words", "n_runs"), "runs", gen, in_place=True)
+        self._append(self.bucketed("runs", [-gen]).join(listed, "o", "left_anti").select("h", "o", "n_words", "n_runs"), "runs", gen, in_place=True)
         self.files.mark(f"{self.path}/_commits/{gen}-{label or ''}")
-        self.files.remove(f"{self.path}/runs_new/gen={gen}")
+        self.files.remove(f"{self.path}/runs/gen={-gen}")
         return self._result([gen])
 
     def _met(self, gen: int, gens: list[int]) -> DataFrame:
@@ -467,15 +468,10 @@ class HashHistory:
 
         Bucket by bucket: nothing is shuffled.
         """
-        new = self.bucketed("runs_new", [gen])
-        seen = new.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-        if not gens:
-            return new.join(seen.where("n > 1").hint("shuffle_hash"), "h").withColumn("old", F.lit(False))
-        old = self.bucketed("runs", gens)
-        before = old.join(seen.select("h").hint("shuffle_hash"), "h", "left_semi").groupBy("h").agg(F.count(F.lit(1)).alias("k"))
-        several = seen.join(before, "h", "left").select("h", (F.col("n") + F.coalesce("k", F.lit(0))).alias("n")).where("n > 1").hint("shuffle_hash")
-        side = lambda df, flag: df.join(several, "h").withColumn("old", F.lit(flag))
-        return side(new, False).unionByName(side(old, True))
+        both = self.spark.table(self._table("runs")).where(F.col("gen").isin(-gen, *gens)).withColumn("old", F.col("gen") > 0).drop("gen")
+        w = Window.partitionBy("h")
+        met = both.withColumn("n", F.count(F.lit(1)).over(w)).withColumn("met", F.min("old").over(w))
+        return met.where("n > 1 and not met").drop("met")
 
     def _refusals(self, copies: DataFrame, near: DataFrame, links: DataFrame, refused: DataFrame) -> DataFrame:
         """(b, a): every refused item with the accepted ones that it or the first item of its content repeats."""
@@ -484,13 +480,13 @@ class HashHistory:
         later = near.join(refused.withColumnRenamed("o", "a"), "a", "left_semi").join(refused.withColumnRenamed("o", "b"), "b", "left_anti")
         by_head = heads.unionByName(later.select(F.col("a").alias("head"), F.col("b").alias("accepted"))).groupBy("head").agg(F.collect_set("accepted").alias("all"))
         members = copies.where("old is null and o <> head").select("o", "head")
-        found = salted_join(members, by_head, "head", F.col("o")).select(F.col("o").alias("b"), F.explode(F.coalesce("all", F.array("head"))).alias("a")).where("a < b")
+        found = members.join(_listed(by_head), "head", "left").select(F.col("o").alias("b"), F.explode(F.coalesce("all", F.array("head"))).alias("a")).where("a < b")
         full = copies.where("old is not null").select(F.col("o").alias("b"), F.col("old").alias("a"))
         return full.unionByName(found).unionByName(links.select("b", "a")).distinct()
 
     def drop(self) -> None:
         """Removes the tables and all files."""
-        for table in (*self.TABLES, "runs_new"):
+        for table in self.TABLES:
             self.spark.sql(f"drop table if exists {self._name(table)}")
         self.files.remove(self.path)
 
