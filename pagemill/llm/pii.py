@@ -1,18 +1,19 @@
 """Personal information in free text.
 
-Method: information-theoretic sanitisation. Values that have a form of their own (addresses of
-all kinds, numbers) are found by it. Names have none: a capitalised word may be a person, a place or a company. So the
-co-occurrence of the whole corpus is measured: how many bits a term (a first word, the words before, the
-words after) tells about the presence of a protected person, first against mentions with a title, then against all
-mentions found so far. Spans whose terms exceed the disclosure threshold are replaced by a typed placeholder.
+Method: information-theoretic sanitisation. One pass over the texts takes out every candidate: runs of capitalised words,
+which may be persons, places or companies, values with a form of their own (addresses of all kinds), and clusters of digits. The
+co-occurrence of the whole corpus then tells how many bits a term (a first word, the words before or after, the label of a
+number) tells about a protected value, first against sure ones (names with a title, numbers in a strict form), then against all
+found so far; words that the corpus also writes small are plain words. Candidates whose terms exceed the disclosure threshold are found by
+joins with the kept terms; only redaction reads the texts again.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, insort
 from collections import Counter
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,8 +47,13 @@ _AT = r"(?:\s?@\s?|\s?[\[({<]\s?at\s?[\])}>]\s?)"
 _DOT = r"(?:\.|\s?[\[({<]\s?dot\s?[\])}>]\s?|\s+dot\s+)"
 _EMAIL = re.compile(rf"(?<![\w.+-])[\w+-](?:[\w.+-]*[\w+-])?(?:{_AT}[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[a-z]{{2,24}}\b|\s+at\s+[\w-]+(?:\s+dot\s+[\w-]+)+)", re.I)
 
-#: What stands around the sign of an address, but not of a price or a decorator.
-_EMAIL_HINT = re.compile(r"\S@\s?\w|\S\s@\s?[A-Za-z][\w-]*[.\s]").search
+#: What every match of _EMAIL holds: a sign, an "at" in brackets, or "at" and "dot" as words.
+_AT_BRACKETS = re.compile(r"[\[({<]\s?at\s?[\])}>]", re.I).search
+
+
+def _may_hold_email(text: str, low: str) -> bool:
+    return "@" in text or ("dot" in low and " dot " in (f := " ".join(low.split())) and " at " in f) or ("at" in low and _AT_BRACKETS(text) is not None)
+
 
 _DIGIT_WORD = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
 _SEP = r"[ \n.\-/]"
@@ -60,9 +66,12 @@ _PHONE = re.compile(
     rf"|(?:\(0\d{{1,4}}\)|0\d{{2,4}})[ /\n]\d{{3,5}}[ \-\n]\d{{3,5}})(?![\w]|-\d|\.\d)(?:,?\s?(?:ext\.?|x|extension)\s?\d{{1,5}})?"
 )
 _DIGIT_WORDS = ("zero", "oh", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
-_PHONE_HINTS = ("tel.", "tel:", "tel ", "phone", "mobile", "cell", "fax", "call ", "ring ")
+#: Clusters that hold every number of at least six digits, whatever signs and capitals part them.
+_CLUSTER = re.compile(r"[\dO](?:[\s.\-/()]{0,3}[\dOA-Z]){5,}")
+_DATE = re.compile(r"\d{4}-\d\d-\d\d(?!\d)").match
 _SPOKEN = re.compile(rf"\b(?:(?:double|triple)\s+)?{_DIGIT_WORD}(?:[\s,-]+(?:(?:double|triple)\s+)?{_DIGIT_WORD}){{6,}}\b", re.I)
-_LABELLED_PHONE = re.compile(r"\b(?:tel(?:ephone)?|phone|mobile|cell|fax|call|ring)\b[.:]?\s*((?:\(?[\dO]{2,5}\)?[ .\-/]?){2,5})(?![\w])", re.I)
+_PHONE_LABEL = re.compile(r"\b(?:tel(?:ephone)?|phone|mobile|cell|fax|call|ring)\b[.:]?\s*$", re.I).search
+_LABELLED_PHONE = re.compile(r"(?:\(?[\dO]{2,5}\)?[ .\-/]?){2,5}(?![\w])").match
 _NOT_PHONE = re.compile(r"(?:parcel|docket|invoice|account|case|order|folio|inv|kr|ein|no\.?|#)[\s.:-]*$", re.I)
 
 #: Labels of identity numbers of persons.
@@ -72,8 +81,8 @@ _ID_LABEL = (
     r"|identity\s+(?:card|number)|id\s+card|steuer-?id(?:nr\.?)?|personalausweis(?:nummer)?|reisepass(?:nummer)?|numéro\s+de\s+sécurité\s+sociale|passeport|pasaporte|nif|dni|nie)"
 )
 _ID = re.compile(rf"\b{_ID_LABEL}\s*[:#]?\s*(?-i:(?=(?:[\w .\-]*\d){{5}})[A-Z]{{0,2}} ?[\dO](?:[ .\-]?[\dA-Z]){{5,15}}(?![\w]))", re.I)
-_ID_HINTS = ("ssn", "s.s.n", "s. s. n", "social s", "payer id", "payer  id", "tax id", "national i", "ni n", "nino", "passport", "driver", "driving l", "identity", "id card", "steuer", "personalausw", "reisepass", "sécurité", "passeport", "pasaporte")
-_ID_CAPITALS = ("TIN", "NIF", "DNI", "NIE")
+#: What every match of _ID_LABEL holds, in small letters without white space.
+_ID_HINTS = ("ssn", "s.s.", "socialsecurity", "payerid", "taxid", "tin", "national", "ninumber", "nino", "nin", "passport", "driver", "drivinglicen", "identity", "idcard", "steuer", "personalausweis", "reisepass", "sécurité", "passeport", "pasaporte", "nif", "dni", "nie")
 _BARE_ID = re.compile(r"(?<![\w.\-])(?:\d{3}-\d\d-\d{4}|\d{3}\.\d\d\.\d{4}|[A-CEGHJ-PR-TW-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-D]|[A-Z]\d{3}-\d{4}-\d{4}|\d{6}-\d{3}-\d\d|[A-Z]\d{9})(?![\w\-]|\.\d)")
 _ID_VALUE = re.compile(rf"^{_ID_LABEL}\s*[:#]?\s*", re.I)
 _NOT_ID = re.compile(r"(?:ein|parcel|docket|invoice|case|v|account|tracking|shipment)[\s.:#-]*$", re.I)
@@ -88,8 +97,8 @@ _UNIT_BEFORE = re.compile(r"\b(?:unit|apt\.?|suite|flat)\s+\w{1,5},\s+$", re.I)
 #: Hints in lower case and the pattern to try where one stands in the text.
 _OTHER_ADDRESSES = (
     (("straße", "strasse", "str.", "weg", "gasse", "allee", "platz", "ufer", "damm", "stieg"), re.compile(rf"\b{_CAP}(?:(?i:straße|strasse|str\.|weg|gasse|allee|platz|ufer|damm|stieg))\s+\d{{1,4}}\s?[a-z]?\b(?:,\s+\d{{5}}\s+{_CAP})?")),
-    (("calle", "avenida", "avda", "plaza", "paseo", "carrera", "viale", "rua"), re.compile(rf"\b(?i:calle|avenida|avda\.?|plaza|paseo|carrera|viale|rua)\s+(?:(?:de|del|la|las|los)\s+)*{_CAP}(?:\s{_CAP})?,?\s+(?:n[.º°]*\s*)?\d{{1,4}}\b(?:,\s+\d{{1,2}}\.?[ºª°]\s?\w?)?(?:,\s+{_CAP})?")),
-    (("rue", "avenue", "boulevard", "quai", "chemin", "allée", "impasse", "route", "cours"), re.compile(rf"(?<![\w.,$\-/])\d{{1,4}}(?:\s?(?i:bis|ter|quater))?,?\s+(?i:rue|avenue|boulevard|bd|place|quai|chemin|allée|impasse|route|cours)\s+(?:(?:de|du|des|la|le|les)\s+|d'|l')*{_CAP}(?:[\s\-]{_CAP})?(?:,\s+(?:\d{{5}}\s+)?{_CAP})?")),
+    (("calle ", "avenida ", "avda", "plaza ", "paseo ", "carrera ", "viale ", "rua "), re.compile(rf"\b(?i:calle|avenida|avda\.?|plaza|paseo|carrera|viale|rua)\s+(?:(?:de|del|la|las|los)\s+)*{_CAP}(?:\s{_CAP})?,?\s+(?:n[.º°]*\s*)?\d{{1,4}}\b(?:,\s+\d{{1,2}}\.?[ºª°]\s?\w?)?(?:,\s+{_CAP})?")),
+    ((" rue ", " avenue ", " boulevard ", " bd ", " place ", " quai ", " chemin ", " allée ", " impasse ", " route ", " cours "), re.compile(rf"(?<![\w.,$\-/])\d{{1,4}}(?:\s?(?i:bis|ter|quater))?,?\s+(?i:rue|avenue|boulevard|bd|place|quai|chemin|allée|impasse|route|cours)\s+(?:(?:de|du|des|la|le|les)\s+|d'|l')*{_CAP}(?:[\s\-]{_CAP})?(?:,\s+(?:\d{{5}}\s+)?{_CAP})?")),
 )
 
 #: Titles before names, and words that end the name of a company or a place.
@@ -110,19 +119,22 @@ class Mention:
         self.start, self.end, self.title, self.first, self.last, self.shape, self.left, self.right = start, end, title, first, last, shape, left, right
 
 
-def _context(text: str, start: int, end: int) -> tuple[str, str]:
-    """The two words before and after, in the same line, in lower case and with numbers as #; ^ after the end of a sentence or line, $ at the end."""
-    before = text[max(0, start - 40) : start].lower()
-    cut = before.rfind("\n")
-    words = before[cut + 1 :].split()[-2:]
+def _context(low: str, start: int, end: int) -> tuple[str, str]:
+    """The two words before and after, in the same line, of a text in lower case, with numbers as #; ^ after the end of a sentence or line, $ at the end."""
+    words = low[max(0, start - 40, low.rfind("\n", max(0, start - 40), start) + 1) : start].split()[-2:]
     if words and words[-1][-1] not in ".!?;|":
-        left = " ".join("#" if w[0] in "0123456789$" else w for w in words)
+        left = " ".join(["#" if w[0] in "0123456789$" else w for w in words])
     else:
         left = "^"
-    after = text[end : end + 36].lower()
-    cut = after.find("\n")
-    words = (after if cut < 0 else after[:cut]).split()[:2]
-    return left, " ".join("#" if w[0] in "0123456789$" else w for w in words) or "$"
+    cut = low.find("\n", end, end + 36)
+    words = low[end : end + 36 if cut < 0 else cut].split()[:2]
+    return left, " ".join(["#" if w[0] in "0123456789$" else w for w in words]) or "$"
+
+
+def _lower(text: str) -> str:
+    """Lower case of the same length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def mentions(text: str) -> list[Mention]:
@@ -132,6 +144,7 @@ def mentions(text: str) -> list[Mention]:
     three) words, a pair "Last, First", or each pair inside a long run of capitals.
     """
     out = []
+    low_text = _lower(text)
     for m in _RUN.finditer(text):
         run = m.group()
         if run.isalpha():
@@ -139,7 +152,7 @@ def mentions(text: str) -> list[Mention]:
             if low in _PLAIN_WORDS or low in _COMPANY or low in _TITLES:
                 continue
             if text[m.end() : m.end() + 2].lstrip()[:1] != "&" and text[max(0, m.start() - 2) : m.start()].rstrip()[-1:] != "&":
-                left, right = _context(text, m.start(), m.end())
+                left, right = _context(low_text, m.start(), m.end())
                 out.append(Mention(m.start(), m.end(), False, low, low, "one", left, right))
             continue
         parts = [(p.group(1), bool(p.group(2)), m.start() + p.start(), m.start() + p.end()) for p in _PART.finditer(m.group())]
@@ -172,19 +185,19 @@ def mentions(text: str) -> list[Mention]:
                 if k == j + 1 and k < b and text[parts[j][3] : parts[k][2]].strip() == "," and not parts[j][1] and len(parts[j][0]) > 2:
                     # Last, First
                     e = parts[k][3] - parts[k][1]
-                    left, right = _context(text, parts[i][2], e)
+                    left, right = _context(low_text, parts[i][2], e)
                     out.append(Mention(parts[i][2], e, title, lower[k], lower[j], "reversed", left, right))
                     i = k + 1
                     continue
                 n = k - j
                 word = parts[k - 1]
                 e = word[3] - (word[1] and len(word[0]) > 1)
-                left, right = _context(text, parts[i][2], e)
+                left, right = _context(low_text, parts[i][2], e)
                 shape = "initial" if len(parts[j][0]) == 1 and parts[j][1] and n >= 2 else ("one" if n == 1 else "two" if n == 2 else "three" if n == 3 and len(parts[j + 1][0]) == 1 else "many")
                 if shape == "many" or (n == 3 and shape != "three" and shape != "initial"):
                     for x in range(j, k - 1):
                         e2 = parts[x + 1][3] - (parts[x + 1][1] and len(parts[x + 1][0]) > 1)
-                        l2, r2 = _context(text, parts[x][2], e2)
+                        l2, r2 = _context(low_text, parts[x][2], e2)
                         out.append(Mention(parts[x][2], e2, title and x == j, lower[x], lower[x + 1], "two", l2, r2))
                 else:
                     out.append(Mention(parts[i][2], e, title, lower[j], lower[k - 1], shape, left, right))
@@ -192,149 +205,210 @@ def mentions(text: str) -> list[Mention]:
     return out
 
 
-def span_terms(m: Mention) -> list[tuple[str, str]]:
-    """Terms of a mention: (slot, term). Single words that begin a sentence have no first word, as any word may stand there."""
-    out = [("left", m.left)] if m.left != "^" else []
-    out.append(("right", m.right)) if m.right not in ("$", ".", ",") else None
-    if m.left != "^" and m.right != "$":
-        out.append(("both", f"{m.left} _ {m.right}"))
-    if m.shape in ("two", "three", "reversed"):
-        out.append(("first", m.first))
-    return out
-
+#: Function words, months and days, which are written with a capital but never names.
+_PLAIN_WORDS = frozenset(
+    "the a an this that these those in of on at by for from to with as is are was were it its no not when where while each every both neither nor or and but if then than our their his her your my we they he she you some any all one two first second january february march april may june july august september october november december monday tuesday wednesday thursday friday saturday sunday der die das le la les el los las und et y am im per".split()
+)
 
-class Disclosure:
-    """Terms that tell more than the threshold about a person; sets of bounded size, see learn_names."""
 
-    def __init__(self, terms: dict[tuple[str, str], float]):
-        self.first = {t: x for (s, t), x in terms.items() if s == "first"}
-        self.left = {t: x for (s, t), x in terms.items() if s == "left"}
-        self.both = {t: x for (s, t), x in terms.items() if s == "both"}
-        self.openers = {t for (s, t) in terms if s == "opener"}
-        # words that only begin the next sentence tell nothing about the mention
-        self.right = {t: x for (s, t), x in terms.items() if s == "right" and t.split()[0].strip(",.;:()") not in self.openers}
-
-    def person(self, m: Mention, text: str) -> tuple[int, int] | None:
-        """The place of the person's name, without a following word that opens a sentence."""
-        if not self.names_person(m):
-            return None
-        end = m.end
-        if m.last in self.openers and m.first != m.last and m.shape != "reversed":
-            end = m.start + len(text[m.start : m.end].rstrip(".").rpartition(" ")[0].rstrip())
-            if not m.title and (m.first in self.openers or " " not in text[m.start : end].strip() and m.shape == "initial"):
-                return None
-        return (m.start, end) if end > m.start else None
-
-    def names_person(self, m: Mention) -> bool:
-        if m.shape == "one" and not m.title and m.first in self.openers:
-            return False
-        if m.title or m.shape == "initial":
-            return True
-        if m.shape in ("two", "three", "reversed") and m.first in self.first:
-            return True
-        if m.shape == "one" and m.left == "^" and m.right not in self.right:
-            return False
-        if m.shape == "many" or m.first in _PLAIN_WORDS or m.last in _PLAIN_WORDS:
-            return False
-        return m.left in self.left or m.right in self.right or f"{m.left} _ {m.right}" in self.both
+class Spans:
+    """Spans (start, end, kind) without overlaps, in order; what is added first wins."""
 
+    def __init__(self):
+        self.starts: list[int] = []
+        self.items: list[tuple[int, int, str]] = []
 
-#: Capitalised words that are parties to a contract, months and the like, never names.
-_PLAIN_WORDS = frozenset(
-    "the a an this that tenant landlord lender borrower trustee insurer auditor board preparer contractor reviewer custodian committee team agent office member buyer seller article section schedule january february march april may june july august september october november december monday tuesday wednesday thursday friday saturday sunday usd eur gbp in of on at by for from to with as is are was it its no not when where while each every both neither nor or and but if then than our their his her your my we they he she you some any all one two three first second nothing pursuant minutes losses claims interest premiums members form delivery shipment page conforme der die das le la les el los las und et y am im per".split()
-)
+    def free(self, a: int, b: int) -> bool:
+        i = bisect_left(self.starts, b)
+        return a < b and (i == 0 or self.items[i - 1][1] <= a)
 
+    def add(self, a: int, b: int, kind: str) -> bool:
+        if not self.free(a, b):
+            return False
+        insort(self.items, (a, b, kind))
+        insort(self.starts, a)
+        return True
 
-def typed_spans(text: str) -> list[tuple[int, int, str]]:
-    """Spans of values that have a form of their own, in plain text, without overlaps; kinds earlier in KINDS win."""
-    out: list[tuple[int, int, str]] = []
 
-    def add(a: int, b: int, kind: str) -> None:
-        if not any(a < y and x < b for x, y, _ in out):
-            out.append((a, b, kind))
+def typed_values(text: str) -> tuple[Spans, list[tuple[int, int, str, str]]]:
+    """Values that have a form of their own in plain text, and numbers with their label (start, end, kind or "", label).
 
+    Kinds earlier in KINDS win where values overlap. Only tests that every match passes stand before the costly patterns. Numbers whose form says phone or identity number without a
+    label are in both; numbers of another form have the kind "".
+    """
+    out = Spans()
     low = text.lower()
-    if ("@" in text and _EMAIL_HINT(text)) or " dot " in low or "at]" in low or "at)" in low:
+    folded = " ".join(low.split())
+    if _may_hold_email(text, low):
         for m in _EMAIL.finditer(text):
-            add(*m.span(), "email")
-    if any(h in low for h in _ID_HINTS) or any(h in text for h in _ID_CAPITALS):
-        for m in _ID.finditer(text):
-            add(m.start() + _ID_VALUE.match(m.group()).end(), m.end(), "id_number")
-    for m in _BARE_ID.finditer(text):
-        if not _NOT_ID.search(text[max(0, m.start() - 14) : m.start()]):
-            add(*m.span(), "id_number")
-    for m in _PHONE.finditer(text):
-        if 7 <= sum(c.isdigit() or c == "O" for c in m.group()) <= 17 and not _NOT_PHONE.search(text[max(0, m.start() - 12) : m.start()]):
-            add(*m.span(), "phone")
-    if any(h in low for h in _PHONE_HINTS):
-        for m in _LABELLED_PHONE.finditer(text):
-            v = m.group(1).rstrip(" .-/")
-            if 7 <= sum(c.isdigit() for c in v) <= 15:
-                add(m.start(1), m.start(1) + len(v), "phone")
+            out.add(*m.span(), "email")
+    clusters = [m.span() for m in _CLUSTER.finditer(text)]
+    last = 0
+    for a, b in clusters:
+        near = "".join(text[max(0, a - 80) : b].lower().split())
+        if any(h in near for h in _ID_HINTS):
+            for m in _matches(_ID, text, max(last, a - 80), b, 40):
+                last = m.end()
+                out.add(m.start() + _ID_VALUE.match(m.group()).end(), m.end(), "id_number")
+    numbers: list[tuple[int, int, str, str]] = []
+    last = 0
+    for a, b in clusters:
+        for m in _matches(_BARE_ID, text, max(last, a - 4), b, 8):
+            last = m.end()
+            if not _NOT_ID.search(text[max(0, m.start() - 14) : m.start()]) and out.add(*m.span(), "id_number"):
+                numbers.append((*m.span(), "id_number", _label(text, m.start())))
+    last = 0
+    for a, b in clusters:
+        before = last
+        for m in _matches(_PHONE, text, max(last, a - 4), b, 24):
+            last = m.end()
+            if 7 <= sum(c.isdigit() or c == "O" for c in m.group()) <= 17 and not _NOT_PHONE.search(text[max(0, m.start() - 12) : m.start()]) and out.add(*m.span(), "phone"):
+                numbers.append((*m.span(), "phone", _label(text, m.start())))
+        if last == before and out.free(a, b):
+            start = a - (text[a - 1 : a] == "(")
+            if _PHONE_LABEL(text[max(0, start - 40) : start]) and (m := _LABELLED_PHONE(text, start)):
+                v = m.group().rstrip(" .-/")
+                if 7 <= sum(c.isdigit() for c in v) <= 15:
+                    out.add(start, start + len(v), "phone")
+                    continue
+            if not _DATE(text, a):
+                numbers.append((a, b, "", _label(text, a)))
     if sum(map(low.count, _DIGIT_WORDS)) >= 7:
         for m in _SPOKEN.finditer(text):
-            add(*m.span(), "phone")
+            out.add(*m.span(), "phone")
     for m in _ADDRESS.finditer(text):
         unit = _UNIT_BEFORE.search(text[max(0, m.start() - 16) : m.start()])
-        add(m.start() - (len(unit.group()) if unit else 0), m.end(), "street_address")
+        out.add(m.start() - (len(unit.group()) if unit else 0), m.end(), "street_address")
     for hints, pattern in _OTHER_ADDRESSES:
-        if any(h in low for h in hints):
+        if any(h in folded for h in hints):
             for m in pattern.finditer(text):
-                add(*m.span(), "street_address")
-    return out
+                out.add(*m.span(), "street_address")
+    return out, numbers
+
+
+def _matches(pattern: re.Pattern, text: str, start: int, end: int, room: int) -> list[re.Match]:
+    """Matches that begin between start and end and may go on beyond for the room."""
+    return [m for m in pattern.finditer(text, start, min(len(text), end + room)) if m.start() < end]
 
 
-def all_spans(text: str, disclosure: Disclosure) -> list[tuple[int, int, str]]:
-    """All protected spans of plain text, in order, without overlaps."""
-    out = typed_spans(text)
-    for m in mentions(text):
-        place = disclosure.person(m, text)
-        if place and not any(place[0] < y and x < place[1] for x, y, _ in out):
-            out.append((*place, "person_name"))
-    return sorted(out)
+def _label(text: str, start: int) -> str:
+    """The two words before a number, in small letters, numbers as #; ^ where the last is none."""
+    words = text[max(0, start - 40) : start].lower().split()[-2:]
+    if not words or not any(c.isalpha() for c in words[-1]) or words[-1][0].isdigit():
+        return "^"
+    return " ".join("#" if w[0] in "0123456789$" else w for w in words)
 
 
-def redact(text: str, disclosure: Disclosure) -> str:
-    """The text with every protected value replaced by [KIND]; all else is kept as it was."""
+def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """The text with each span (start, end, kind) replaced by [KIND]; all else is kept as it was."""
     parts, last = [], 0
-    for a, b, kind in all_spans(plain(text), disclosure):
-        parts += [text[last:a], f"[{kind.upper()}]"]
-        last = b
+    for a, b, kind in sorted(spans):
+        if a >= last:
+            parts += [text[last:a], f"[{kind.upper()}]"]
+            last = b
     return "".join(parts) + text[last:]
 
 
 _MAIL_NAME = re.compile(rf"(?<![\w.+-])([A-Za-z]{{3,}})[.+][\w.+-]*{_AT}", re.I)
-
-
 _ROLE = re.compile(r"[.+](?:office|info|team|desk|mail|admin|service|support)\b", re.I)
+_CANDIDATE = "src_table string, row_key string, text_id bigint, kind string, title boolean, first string, last string, shape string, left string, right string, start int, end int, cut int, n bigint"
+_TYPES = (pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
 
 
-def candidate_terms(texts: DataFrame) -> DataFrame:
-    """(title, first, plain, shape, left, right, n): mentions, summed in each batch before the shuffle.
+def candidates(texts: DataFrame) -> DataFrame:
+    """Everything in texts (src_table, row_key, text) that may be personal, in one pass, one row each.
 
-    The given name that an e-mail address begins with (before a dot or plus) is a mention of shape ``email``.
+    kind: a typed value's kind, with shape ``form`` for numbers that only their form gives (first is the word before), ``number`` for other
+    numbers, ``mention`` for runs of capitalised words outside typed values, ``inside`` for those inside, ``email_name`` for the given name that
+    an address begins with; ``word`` rows count words written small (title false) and with a capital, per batch. cut is
+    where a mention ends without its last word, null where no name is left.
     """
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        c: Counter = Counter()
-        for text in b.column(0).to_pylist():
-            if text:
-                t = plain(text)
-                for m in mentions(t):
-                    c[m.title, m.first, m.last in _PLAIN_WORDS or m.first in _PLAIN_WORDS, m.shape, m.left, m.right] += 1
-                if "@" in t or "at" in t:
-                    for m in _MAIL_NAME.finditer(t):
-                        if not _ROLE.search(m.group()):
-                            c[False, m.group(1).lower(), False, "email", "^", "$"] += 1
-        rows = list(c)
-        cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.bool_(), pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string()))]
-        return pa.RecordBatch.from_arrays([*cols, pa.array([c[r] for r in rows], pa.int64())], names=["title", "first", "plain", "shape", "left", "right", "n"])
-
-    part = map_batches(texts.select("text"), run, "title boolean, first string, plain boolean, shape string, left string, right string, n bigint")
-    return part.groupBy("title", "first", "plain", "shape", "left", "right").agg(F.sum("n").alias("n"))
-
-
-def _terms(spans: DataFrame) -> DataFrame:
+        words: Counter = Counter()
+        at: list[int | None] = []
+        rows: list[tuple] = []
+        for i, text in enumerate(b.column(3).to_pylist()):
+            if not text:
+                continue
+            words.update(text.split())
+            t = plain(text)
+            typed, numbers = typed_values(t)
+            formed = {x[:2] for x in numbers if x[2]}
+            rows += [(kind, False, None, None, "labelled", None, None, a, e, None, 1) for a, e, kind in typed.items if (a, e) not in formed]
+            rows += [(kind or "number", False, label, None, "form", None, None, a, e, None, 1) for a, e, kind, label in numbers]
+            for m in mentions(t):
+                kind = "mention" if typed.free(m.start, m.end) else "inside"
+                short = t[m.start : m.end].rstrip(".").rpartition(" ")[0].rstrip()
+                left = short if m.shape != "initial" or " " in short else ""
+                rows.append((kind, m.title, m.first, m.last, m.shape, m.left, m.right, m.start, m.end, m.start + len(left) if left else None, 1))
+            if "@" in t or _AT_BRACKETS(t):
+                rows += [("email_name", False, m.group(1).lower(), m.group(1).lower(), "email", "^", "$", None, None, None, 1) for m in _MAIL_NAME.finditer(t) if not _ROLE.search(m.group())]
+            at += [i] * (len(rows) - len(at))
+        rows += [("word", w[0].isupper(), w.lower(), None, "word", None, None, None, None, None, c) for w, c in words.items() if len(w) > 1 and w.isalpha() and w[1:].islower()]
+        at += [None] * (len(rows) - len(at))
+        index = pa.array(at, pa.int32())
+        cols = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)] if rows else [pa.array([], t) for t in _TYPES]
+        return pa.RecordBatch.from_arrays([*(b.column(k).take(index) for k in range(3)), *cols], names=[c.split()[0] for c in _CANDIDATE.split(", ")])
+
+    return map_batches(texts.select("src_table", "row_key", F.xxhash64("text").alias("text_id"), "text"), run, _CANDIDATE)
+
+
+def _listed(df: DataFrame, few: int = 200_000) -> DataFrame:
+    """df, marked for broadcast where its checked number of rows allows it."""
+    return F.broadcast(df) if df.count() <= few else df
+
+
+class Terms:
+    """What the corpus tells: stored tables of any size, broadcast only where their checked number of rows allows it.
+
+    words (word, is_first, is_opener, is_plain): given names, words that open sentences, plain words; contexts (slot, term); labels (label, told, vetoed)
+    of numbers.
+    """
+
+    def __init__(self, words: DataFrame, contexts: DataFrame, labels: DataFrame):
+        self.words, self.labels = _listed(words), _listed(labels)
+        self.slots = {s: _listed(contexts.where(F.col("slot") == s).select("term")) for s in ("left", "right", "both")}
+
+    def persons(self, mentions: DataFrame) -> DataFrame:
+        """mentions with the columns ``person``, whether a person is named, and ``bare``, whether the last word opens the next sentence and goes."""
+        known = lambda c: F.coalesce(F.col(c), F.lit(False))
+        m = mentions.withColumn("both", F.concat_ws(" _ ", "left", "right"))
+        for side in ("first", "last"):
+            m = m.join(self.words.select(F.col("word").alias(side), *(F.col(k).alias(f"{side}_{k}") for k in ("is_first", "is_opener", "is_plain"))), side, "left")
+        for slot, terms in self.slots.items():
+            m = m.join(terms.select(F.col("term").alias(slot), F.lit(True).alias(f"in_{slot}")), slot, "left")
+        shape, one = F.col("shape"), F.col("shape") == "one"
+        told = known("in_left") | known("in_right") | known("in_both")
+        person = (
+            F.when(one & ~F.col("title") & known("first_is_opener"), False).when(F.col("title") | (shape == "initial"), True)
+            .when(shape.isin("two", "three", "reversed") & known("first_is_first"), True).when(one & (F.col("left") == "^") & ~known("in_right"), False)
+            .when((shape == "many") | known("first_is_plain") | known("last_is_plain"), False).otherwise(told)
+        )
+        bare = known("last_is_opener") & (F.col("first") != F.col("last")) & (shape != "reversed")
+        return m.withColumn("bare", bare).withColumn("person", person & ~(bare & ~F.col("title") & (known("first_is_opener") | ((shape == "initial") & F.col("cut").isNull()))))
+
+
+def plain_words(counts: DataFrame, share: float = 0.3) -> DataFrame:
+    """(word) of the ``word`` rows of candidates that are written small in at least that share of their places, and the fixed ones."""
+    c = counts.groupBy(F.col("first").alias("word")).agg(F.sum(F.when(F.col("title"), 0).otherwise(F.col("n"))).alias("small"), F.sum("n").alias("n"))
+    fixed = counts.sparkSession.createDataFrame([(w,) for w in sorted(_PLAIN_WORDS)], "word string")
+    return c.where((F.col("small") >= 3) & (F.col("small") >= share * F.col("n"))).select("word").unionByName(fixed).distinct()
+
+
+def number_labels(numbers: DataFrame, told: float = 0.9, vetoed: float = 0.1, least: int = 5) -> DataFrame:
+    """(label, told, vetoed) of the words before numbers: the kind that nearly all numbers after it have by their form, and kinds that nearly none has.
+
+    numbers: candidates that only their form or nothing gives. A label needs ``least`` numbers of the kind to tell, four times that to veto.
+    """
+    kinds = ("phone", "id_number")
+    g = numbers.where("first <> '^'").groupBy(F.col("first").alias("label")).agg(F.count(F.lit(1)).alias("n"), *(F.count_if(F.col("kind") == k).alias(k) for k in kinds))
+    kind = F.coalesce(*(F.when((F.col(k) >= least) & (F.col(k) >= told * F.col("n")), k) for k in kinds))
+    no = F.array_compact(F.array(*(F.when((F.col("n") >= 4 * least) & (F.col(k) <= vetoed * F.col("n")), k) for k in kinds)))
+    return g.select("label", kind.alias("told"), no.alias("vetoed")).where((F.col("told").isNotNull()) | (F.size("vetoed") > 0))
+
+
+def _contexts(spans: DataFrame) -> DataFrame:
     """(slot, term, n, n_seed) of spans with a column seed."""
     two = F.col("shape").isin("two", "three", "reversed", "email")
     left, right = F.col("left") != "^", ~F.col("right").isin("$", ".", ",")
@@ -347,83 +421,83 @@ def _terms(spans: DataFrame) -> DataFrame:
     return t.groupBy("t.slot", "t.term").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("seed"), F.col("n")).otherwise(0)).alias("n_seed"))
 
 
-def learn_names(texts: DataFrame, bits: float = 4.0, posterior: float = 0.6, least_share: float = 1e-5, rounds: int = 3) -> dict[tuple[str, str], float]:
-    """Terms that disclose persons, with the bits of information they give, from the whole corpus.
+def learn_terms(found: DataFrame, bits: float = 4.0, posterior: float = 0.6, rounds: int = 3) -> Terms:
+    """Terms that disclose persons and kinds of numbers, from all candidates of the whole corpus.
 
     In the first round the protected mentions are those with a title: a term is kept when their share among its mentions is at
     least 2**bits times the share in the corpus. In later rounds they are all mentions that kept terms
     disclose, and a term must make a person likelier than ``posterior``. Words that open at least one in 2,000 sentences as single capitalised words
-    are kept as openers, at most 2,000. Every other kept term has at least
-    ``least_share`` of all protected mentions, and a mention has four terms, so that at most 4 / least_share terms are kept.
+    are openers. A term needs two protected mentions, at every size of the corpus.
     """
-    spans = stored(candidate_terms(texts), "mentions")
-    kept: dict[tuple[str, str], float] = {}
+    spans = found.where(F.col("kind").isin("mention", "inside", "email_name")).groupBy("title", "first", "last", "shape", "left", "right").agg(F.sum("n").alias("n"))
+    spans = stored(spans, "mentions")
+    words = plain_words(found.where("kind = 'word'")).withColumn("is_plain", F.lit(True))
+    opening = spans.where("shape = 'one' and left = '^' and not title").groupBy(F.col("first").alias("word")).agg(F.sum("n").alias("n"))
+    opened = opening.agg(F.sum("n")).first()[0] or 0
+    openers = opening.where(F.col("n") >= max(5, math.ceil(opened * 5e-4))).select("word", F.lit(True).alias("is_opener"))
+    words = stored(words.join(openers, "word", "full"), "plain-words")
+    opener_words = F.broadcast(words.where("is_opener").select(F.col("word").alias("opener")))  # at most 2,000
+    labels = stored(number_labels(found.where("shape = 'form'")), "labels")
     seed = F.col("title") | (F.col("shape") == "email")
-    openers = spans.where("shape = 'one' and left = '^' and not title").groupBy("first").agg(F.sum("n").alias("n"))
-    opened = openers.agg(F.sum("n")).first()[0] or 0
-    fixed = {("opener", r["first"]): 0.0 for r in openers.where(F.col("n") >= max(5, math.ceil(opened * 5e-4))).collect()}
+    marked = spans.withColumn("seed", seed)
     for k in range(rounds):
-        marked = spans.withColumn("seed", seed)
         row = marked.agg(F.sum("n"), F.sum(F.when(F.col("seed"), F.col("n")).otherwise(0))).first()
         total, seeds = row[0] or 0, row[1] or 0
-        if not seeds:
-            return fixed
-        base = seeds / total
         share = F.col("n_seed") / F.col("n")
-        strong = share >= min(0.5, base * 2**bits) if k == 0 else share >= posterior
-        rows = _terms(marked).where((F.col("n_seed") >= max(2, math.ceil(seeds * least_share))) & strong).collect()
-        kept = {(r["slot"], r["term"]): math.log2(r["n_seed"] / r["n"] / base) for r in rows}
+        strong = share >= min(0.5, seeds / max(total, 1) * 2**bits) if k == 0 else share >= posterior
+        kept = stored(_contexts(marked).where((F.col("n_seed") >= 2) & strong).select("slot", "term"), "terms")
+        given = kept.where("slot = 'first'").select(F.col("term").alias("word"), F.lit(True).alias("is_first"))
+        # words that only begin the next sentence tell nothing about the mention
+        after = F.regexp_replace(F.element_at(F.split("term", " "), 1), r"^[,.;:()]+|[,.;:()]+$", "")
+        contexts = kept.where("slot <> 'first'").withColumn("opener", F.when(F.col("slot") == "right", after)).join(opener_words, "opener", "left_anti").drop("opener")
+        terms = Terms(stored(words.join(given, "word", "full").fillna(False), "words"), contexts, labels)
         if k + 1 < rounds:
-            spark = texts.sparkSession
-            known = spark.createDataFrame([(f"{s}\t{t}",) for s, t in kept] or [("",)], "k string")
-            keys = F.array_compact(F.array(F.concat_ws("\t", F.lit("left"), "left"), F.concat_ws("\t", F.lit("right"), "right"), F.concat_ws("\t", F.lit("both"), F.concat_ws(" _ ", "left", "right")), F.when(F.col("shape").isin("two", "three", "reversed"), F.concat_ws("\t", F.lit("first"), "first"))))
-            numbered = spans.drop("seed", "found").withColumn("id", F.xxhash64("title", "first", "shape", "left", "right"))
-            hit = numbered.select("id", F.explode(keys).alias("k")).join(F.broadcast(known), "k", "left_semi").select("id").distinct().withColumn("found", F.lit(True))
-            spans = stored(numbered.join(hit, "id", "left").drop("id"), "mentions")
-            seed = F.coalesce(F.col("title") | F.col("shape").isin("initial", "email") | (F.col("found") & ~F.col("plain")), F.lit(False))
-    return kept | fixed
+            m = terms.persons(spans.withColumn("cut", F.lit(0)))
+            plain_one = F.coalesce("first_is_plain", F.lit(False)) | F.coalesce("last_is_plain", F.lit(False))
+            seen = F.coalesce("in_left", "in_right", "in_both", F.when(F.col("shape").isin("two", "three", "reversed"), F.col("first_is_first")), F.lit(False))
+            marked = stored(m.select(*spans.columns, (F.col("title") | F.col("shape").isin("initial", "email") | (seen & ~plain_one)).alias("seed")), "mentions")
+    return terms
 
 
-@lru_cache(maxsize=2)
-def _disclosure(key: tuple) -> Disclosure:
-    return Disclosure({(s, t): x for s, t, x in key})
+def decided(found: DataFrame, terms: Terms) -> DataFrame:
+    """(src_table, row_key, text_id, kind, start, end) of the candidates that disclose something."""
+    out = ["src_table", "row_key", "text_id", "kind", "start", "end"]
+    sure = found.where(F.col("kind").isin(*KINDS) & (F.col("shape") == "labelled")).select(*out)
+    n = found.where("shape = 'form'").join(terms.labels.withColumnRenamed("label", "first"), "first", "left")
+    told = F.when(F.col("kind") == "number", F.col("told")).when(~F.coalesce(F.array_contains("vetoed", F.col("kind")), F.lit(False)), F.col("kind"))
+    numbers = n.withColumn("kind", told).where("kind is not null").select(*out)
+    m = terms.persons(found.where("kind = 'mention'")).where("person").withColumn("kind", F.lit("person_name"))
+    names = m.withColumn("end", F.when(F.col("bare"), F.coalesce("cut", "end")).otherwise(F.col("end"))).select(*out)
+    return sure.unionByName(numbers).unionByName(names)
 
 
-def _shipped(df: DataFrame, terms: dict):
-    return df.sparkSession.sparkContext.broadcast(tuple(sorted((s, t, x) for (s, t), x in terms.items())))
+def personal_candidates(texts: DataFrame) -> tuple[DataFrame, Terms]:
+    """The stored candidates of texts (src_table, row_key, text) and the terms that they give."""
+    found = stored(candidates(texts), "candidates")
+    return found, learn_terms(found)
 
 
-def find_personal(texts: DataFrame, terms: dict) -> DataFrame:
+def find_personal(texts: DataFrame) -> DataFrame:
     """(src_table, row_key, kind, n) per row and kind with any value.
 
     texts: (src_table, row_key, text). Null and empty texts hold nothing; a null row_key keeps its rows; very long texts are
-    searched whole; repeated rows give equal rows; an empty table gives an empty result. terms come from learn_names and are broadcast; their
-    number is bounded there.
+    searched whole; repeated rows add to n; an empty table gives an empty result.
     """
-    shipped = _shipped(texts, terms)
-
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        d = _disclosure(shipped.value)
-        take, kinds, counts = [], [], []
-        for i, text in enumerate(b.column(2).to_pylist()):
-            if text:
-                for kind, n in Counter(k for _, _, k in all_spans(plain(text), d)).items():
-                    take.append(i)
-                    kinds.append(kind)
-                    counts.append(n)
-        index = pa.array(take, pa.int32())
-        return pa.RecordBatch.from_arrays([b.column(0).take(index), b.column(1).take(index), pa.array(kinds, pa.string()), pa.array(counts, pa.int32())], names=["src_table", "row_key", "kind", "n"])
-
-    return map_batches(texts.select("src_table", "row_key", "text"), run, "src_table string, row_key string, kind string, n int")
+    return decided(*personal_candidates(texts)).groupBy("src_table", "row_key", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-def redact_texts(texts: DataFrame, terms: dict) -> DataFrame:
-    """(src_table, row_key, text) with placeholders; null texts stay null; the cases are those of find_personal."""
-    shipped = _shipped(texts, terms)
+def redact_texts(texts: DataFrame) -> DataFrame:
+    """(src_table, row_key, text) with placeholders, each distinct row once; null texts stay null; the cases are those of find_personal."""
+    spans = decided(*personal_candidates(texts)).select("src_table", "row_key", "text_id", F.struct("start", "end", "kind").alias("s"))
+    keys = ["src_table", "row_key", "text_id"]
+    by_row = spans.groupBy(*keys).agg(F.collect_set("s").alias("spans")).select(*(F.col(k).alias(f"_{k}") for k in keys), "spans")
+    own = texts.select("src_table", "row_key", F.xxhash64("text").alias("text_id"), "text").distinct()
+    same = F.col("text_id") == F.col("_text_id")
+    for k in keys[:2]:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        d = _disclosure(shipped.value)
-        done = [redact(t, d) if t else t for t in b.column(2).to_pylist()]
+        done = [redact(t, [(x["start"], x["end"], x["kind"]) for x in s]) if t and s else t for t, s in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
         return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(done, pa.string())], names=["src_table", "row_key", "text"])
 
-    return map_batches(texts.select("src_table", "row_key", "text"), run, "src_table string, row_key string, text string")
+    return map_batches(own.join(by_row, same, "left").select("src_table", "row_key", "text", "spans"), run, "src_table string, row_key string, text string")

@@ -20,13 +20,11 @@ def _personal_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    texts = _personal_texts(spark, d)
-    return pii.find_personal(texts, pii.learn_names(texts)).select("src_table", "row_key", "kind").distinct()
+    return pii.find_personal(_personal_texts(spark, d)).select("src_table", "row_key", "kind")
 
 
 def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
-    texts = _personal_texts(spark, d)
-    return pii.redact_texts(texts, pii.learn_names(texts)).distinct()
+    return pii.redact_texts(_personal_texts(spark, d))
 
 
 #: Weekly batches that one admission takes; the outcome is the same for any number.
