@@ -14,12 +14,14 @@ import math
 import re
 from bisect import bisect_left, insort
 from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.arrow import map_batches
+from pagemill.llm.arrow import Memo, map_batches
 from pagemill.llm.words import LOOK_ALIKES
 from pagemill.plans.stages import stored
 
@@ -51,8 +53,25 @@ _EMAIL = re.compile(rf"(?<![\w.+-])[\w+-](?:[\w.+-]*[\w+-])?(?:{_AT}[\w-]+(?:{_D
 _AT_BRACKETS = re.compile(r"[\[({<]\s?at\s?[\])}>]", re.I).search
 
 
-def _may_hold_email(text: str, low: str) -> bool:
-    return "@" in text or ("dot" in low and " dot " in (f := " ".join(low.split())) and " at " in f) or ("at" in low and _AT_BRACKETS(text) is not None)
+def _emails(text: str, folded: str) -> list[re.Match]:
+    """Matches of _EMAIL, searched only around signs unless other spellings may be there."""
+    if (" dot " in folded and " at " in folded) or _AT_BRACKETS(text):
+        return list(_EMAIL.finditer(text))
+    out: list[re.Match] = []
+    at, done = text.find("@"), 0
+    while at >= 0:
+        if _AFTER_SIGN(text, at + 1):
+            start = at - 1 if text[at - 1 : at].isspace() else at
+            while start > done and (text[start - 1].isalnum() or text[start - 1] in "_.+-"):
+                start -= 1
+            if start < at and (m := _EMAIL.search(text, start, min(len(text), at + 330))) and m.start() <= at:
+                out.append(m)
+                done = m.end()
+        at = text.find("@", max(at + 1, done))
+    return out
+
+
+_AFTER_SIGN = re.compile(r"\s?[\w-]").match
 
 
 _DIGIT_WORD = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
@@ -82,7 +101,7 @@ _ID_LABEL = (
 )
 _ID = re.compile(rf"\b{_ID_LABEL}\s*[:#]?\s*(?-i:(?=(?:[\w .\-]*\d){{5}})[A-Z]{{0,2}} ?[\dO](?:[ .\-]?[\dA-Z]){{5,15}}(?![\w]))", re.I)
 #: What every match of _ID_LABEL holds, in small letters without white space.
-_ID_HINTS = ("ssn", "s.s.", "socialsecurity", "payerid", "taxid", "tin", "national", "ninumber", "nino", "nin", "passport", "driver", "drivinglicen", "identity", "idcard", "steuer", "personalausweis", "reisepass", "sécurité", "passeport", "pasaporte", "nif", "dni", "nie")
+_ID_HINT = re.compile("ssn|s\\.s\\.|soci|tax|payer|i?tin|n(?:ational|i[noe]|in|if)|passp|driv|identity|idcard|steuer|personala|reisepass|sécurité|pasaporte|dni").search
 _BARE_ID = re.compile(r"(?<![\w.\-])(?:\d{3}-\d\d-\d{4}|\d{3}\.\d\d\.\d{4}|[A-CEGHJ-PR-TW-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-D]|[A-Z]\d{3}-\d{4}-\d{4}|\d{6}-\d{3}-\d\d|[A-Z]\d{9})(?![\w\-]|\.\d)")
 _ID_VALUE = re.compile(rf"^{_ID_LABEL}\s*[:#]?\s*", re.I)
 _NOT_ID = re.compile(r"(?:ein|parcel|docket|invoice|case|v|account|tracking|shipment)[\s.:#-]*$", re.I)
@@ -110,25 +129,20 @@ _RUN = re.compile(r"(?:[^\W\d_a-zà-öø-ÿ][\w'\-]*\.?)(?:(?:[ \t]+|[ \t]*\n[ \
 _PART = re.compile(r"([^\W\d_][\w'\-]*)(\.?)")
 
 
-class Mention:
-    """A span that may name a person: its place, first and last word, shape and the words around it."""
-
-    __slots__ = ("start", "end", "title", "first", "last", "shape", "left", "right")
-
-    def __init__(self, start, end, title, first, last, shape, left, right):
-        self.start, self.end, self.title, self.first, self.last, self.shape, self.left, self.right = start, end, title, first, last, shape, left, right
-
-
 def _context(low: str, start: int, end: int) -> tuple[str, str]:
     """The two words before and after, in the same line, of a text in lower case, with numbers as #; ^ after the end of a sentence or line, $ at the end."""
-    words = low[max(0, start - 40, low.rfind("\n", max(0, start - 40), start) + 1) : start].split()[-2:]
-    if words and words[-1][-1] not in ".!?;|":
-        left = " ".join(["#" if w[0] in "0123456789$" else w for w in words])
-    else:
-        left = "^"
-    cut = low.find("\n", end, end + 36)
-    words = low[end : end + 36 if cut < 0 else cut].split()[:2]
-    return left, " ".join(["#" if w[0] in "0123456789$" else w for w in words]) or "$"
+    left = "^"
+    if not (start > 1 and low[start - 1] == " " and low[start - 2] in _STOPS):
+        near = low[start - 40 if start > 40 else 0 : start]
+        words = (near[near.rfind("\n") + 1 :] if "\n" in near else near).split()
+        if words and words[-1][-1] not in _STOPS:
+            left = " ".join(["#" if w[0] in _NUMERIC else w for w in words[-2:]])
+    near = low[end : end + 36]
+    words = (near[: near.find("\n")] if "\n" in near else near).split(None, 2)[:2]
+    return left, " ".join(["#" if w[0] in _NUMERIC else w for w in words]) or "$"
+
+
+_STOPS, _NUMERIC = frozenset(".!?;|"), frozenset("0123456789$")
 
 
 def _lower(text: str) -> str:
@@ -137,72 +151,75 @@ def _lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def mentions(text: str) -> list[Mention]:
-    """Candidate mentions in plain text.
+def _parts_of(run: str, joined: bool) -> tuple[tuple[int, int, bool, str, str, str, int | None], ...]:
+    """Mentions in a run of capitalised words: (start, end, title, first, last, shape, cut), see candidates for cut; joined says that an & stands beside the run."""
+    parts = [(p.group(1), bool(p.group(2)), p.start(), p.end()) for p in _PART.finditer(run)]
+    lower = [_lower(p[0]) for p in parts]
+    if run.isalpha():
+        return () if joined or lower[0] in _NEVER else ((0, len(run), False, lower[0], lower[0], "one", None),)
+    company = [i for i, w in enumerate(lower) if w in _COMPANY]
+    segments = [(0, len(parts))]
+    if company or joined:
+        # what stands before a company word in the same run belongs to it; a run may go on after it
+        head = 0
+        for i in range(len(parts) - 1):
+            gap = run[parts[i][3] : parts[i + 1][2]]
+            if ("\n" in gap or "," in gap or (parts[i][1] and len(parts[i][0]) > 2)) and company and i + 1 <= company[0]:
+                head = i + 1
+        # of three or more words before a company word, the first may be a person named just before it
+        if company and head == 0 and company[0] >= 3:
+            head = company[0] - 1
+        segments = [(0, head), (company[-1] + 1, len(parts))] if company else []
+    out = []
+
+    def mention(start: int, end: int, title: bool, first: str, last: str, shape: str) -> None:
+        short = run[start:end].rstrip(".").rpartition(" ")[0].rstrip() if shape != "one" else ""
+        out.append((start, end, title, first, last, shape, start + len(short) if short and (shape != "initial" or " " in short) else None))
+
+    for a, b in segments:
+        i = a
+        while i < b:
+            title = lower[i] in _TITLES and i + 1 < b and "\n" not in run[parts[i][3] : parts[i + 1][2]]
+            j = i + 1 if title else i
+            k = j + 1
+            # take following words of the same line or broken line, up to two more, without full stops between
+            while k < b and k - j < 3 and not (parts[k - 1][1] and len(parts[k - 1][0]) > 1) and not {"\n", ","} & set(run[parts[k - 1][3] : parts[k][2]]):
+                k += 1
+            if k == j + 1 and k < b and run[parts[j][3] : parts[k][2]].strip() == "," and not parts[j][1] and len(parts[j][0]) > 2:
+                mention(parts[i][2], parts[k][3] - parts[k][1], title, lower[k], lower[j], "reversed")  # Last, First
+                i = k + 1
+                continue
+            n = k - j
+            end_of = lambda p: p[3] - (p[1] and len(p[0]) > 1)
+            if len(parts[j][0]) == 1 and parts[j][1] and n >= 2:
+                mention(parts[i][2], end_of(parts[k - 1]), title, lower[j], lower[k - 1], "initial")
+            elif n < 3 or len(parts[j + 1][0]) == 1:
+                mention(parts[i][2], end_of(parts[k - 1]), title, lower[j], lower[k - 1], ("one", "two", "three")[n - 1])
+            else:
+                for x in range(j, k - 1):
+                    mention(parts[x][2], end_of(parts[x + 1]), title and x == j, lower[x], lower[x + 1], "two")
+            i = k
+    return tuple(out)
+
+
+@lru_cache(maxsize=1)
+def _runs() -> Memo:
+    return Memo(lambda key: _parts_of(*key))
+
+
+def mentions(text: str, low: str) -> Iterator[tuple[int, int, bool, str, str, str, int | None, str, str]]:
+    """Candidate mentions in plain text, with low its lower case: (start, end, title, first, last, shape, cut, left, right).
 
     Runs of capitalised words are cut at company words, which take the whole run with them; a run gives its one or two (with middle initials
     three) words, a pair "Last, First", or each pair inside a long run of capitals.
     """
-    out = []
-    low_text = _lower(text)
+    memo = _runs()
+    joins = "&" in text
     for m in _RUN.finditer(text):
-        run = m.group()
-        if run.isalpha():
-            low = run.lower()
-            if low in _PLAIN_WORDS or low in _COMPANY or low in _TITLES:
-                continue
-            if text[m.end() : m.end() + 2].lstrip()[:1] != "&" and text[max(0, m.start() - 2) : m.start()].rstrip()[-1:] != "&":
-                left, right = _context(low_text, m.start(), m.end())
-                out.append(Mention(m.start(), m.end(), False, low, low, "one", left, right))
-            continue
-        parts = [(p.group(1), bool(p.group(2)), m.start() + p.start(), m.start() + p.end()) for p in _PART.finditer(m.group())]
-        lower = [p[0].lower() for p in parts]
-        after = text[m.end() : m.end() + 12].lstrip()
-        if any(w in _COMPANY for w in lower) or after.startswith("&") or text[max(0, m.start() - 3) : m.start()].rstrip().endswith("&"):
-            company = [i for i, w in enumerate(lower) if w in _COMPANY]
-            # what stands before a company word in the same run belongs to it; a run may go on after it
-            keep = company[-1] + 1 if company else len(parts)
-            head = 0
-            for i in range(len(parts) - 1):
-                gap = text[parts[i][3] : parts[i + 1][2]]
-                if ("\n" in gap or "," in gap or (parts[i][1] and len(parts[i][0]) > 2)) and company and i + 1 <= company[0]:
-                    head = i + 1
-            # of three or more words before a company word, the first may be a person named just before it
-            if company and head == 0 and company[0] >= 3:
-                head = company[0] - 1
-            segments = [(0, head), (keep, len(parts))] if company else []
-        else:
-            segments = [(0, len(parts))]
-        for a, b in segments:
-            i = a
-            while i < b:
-                title = lower[i] in _TITLES and i + 1 < b and "\n" not in text[parts[i][3] : parts[i + 1][2]]
-                j = i + 1 if title else i
-                k = j + 1
-                # take following words of the same line or broken line, up to two more, without full stops between
-                while k < b and k - j < 3 and not (parts[k - 1][1] and len(parts[k - 1][0]) > 1) and text[parts[k - 1][3] : parts[k][2]].count("\n") < 1 and "," not in text[parts[k - 1][3] : parts[k][2]]:
-                    k += 1
-                if k == j + 1 and k < b and text[parts[j][3] : parts[k][2]].strip() == "," and not parts[j][1] and len(parts[j][0]) > 2:
-                    # Last, First
-                    e = parts[k][3] - parts[k][1]
-                    left, right = _context(low_text, parts[i][2], e)
-                    out.append(Mention(parts[i][2], e, title, lower[k], lower[j], "reversed", left, right))
-                    i = k + 1
-                    continue
-                n = k - j
-                word = parts[k - 1]
-                e = word[3] - (word[1] and len(word[0]) > 1)
-                left, right = _context(low_text, parts[i][2], e)
-                shape = "initial" if len(parts[j][0]) == 1 and parts[j][1] and n >= 2 else ("one" if n == 1 else "two" if n == 2 else "three" if n == 3 and len(parts[j + 1][0]) == 1 else "many")
-                if shape == "many" or (n == 3 and shape != "three" and shape != "initial"):
-                    for x in range(j, k - 1):
-                        e2 = parts[x + 1][3] - (parts[x + 1][1] and len(parts[x + 1][0]) > 1)
-                        l2, r2 = _context(low_text, parts[x][2], e2)
-                        out.append(Mention(parts[x][2], e2, title and x == j, lower[x], lower[x + 1], "two", l2, r2))
-                else:
-                    out.append(Mention(parts[i][2], e, title, lower[j], lower[k - 1], shape, left, right))
-                i = k
-    return out
+        at, end = m.span()
+        joined = joins and (text[end : end + 12].lstrip()[:1] == "&" or text[max(0, at - 3) : at].rstrip()[-1:] == "&")
+        for a, b, title, first, last, shape, cut in memo[m.group(), joined]:
+            yield at + a, at + b, title, first, last, shape, None if cut is None else at + cut, *_context(low, at + a, at + b)
 
 
 #: Function words, months and days, which are written with a capital but never names.
@@ -211,6 +228,10 @@ _PLAIN_WORDS = frozenset(
 )
 
 
+#: Single words that are no candidates.
+_NEVER = _PLAIN_WORDS | _COMPANY | _TITLES
+
+
 class Spans:
     """Spans (start, end, kind) without overlaps, in order; what is added first wins."""
 
@@ -230,23 +251,22 @@ class Spans:
         return True
 
 
-def typed_values(text: str) -> tuple[Spans, list[tuple[int, int, str, str]]]:
+def typed_values(text: str, low: str | None = None, folded: str | None = None) -> tuple[Spans, list[tuple[int, int, str, str]]]:
     """Values that have a form of their own in plain text, and numbers with their label (start, end, kind or "", label).
 
     Kinds earlier in KINDS win where values overlap. Only tests that every match passes stand before the costly patterns. Numbers whose form says phone or identity number without a
     label are in both; numbers of another form have the kind "".
     """
     out = Spans()
-    low = text.lower()
-    folded = " ".join(low.split())
-    if _may_hold_email(text, low):
-        for m in _EMAIL.finditer(text):
-            out.add(*m.span(), "email")
+    low = low or _lower(text)
+    folded = folded or " ".join(low.split())
+    for m in _emails(text, folded):
+        out.add(*m.span(), "email")
     clusters = [m.span() for m in _CLUSTER.finditer(text)]
     last = 0
     for a, b in clusters:
-        near = "".join(text[max(0, a - 80) : b].lower().split())
-        if any(h in near for h in _ID_HINTS):
+        near = "".join(low[a - 80 if a > 80 else 0 : b].split())
+        if _ID_HINT(near):
             for m in _matches(_ID, text, max(last, a - 80), b, 40):
                 last = m.end()
                 out.add(m.start() + _ID_VALUE.match(m.group()).end(), m.end(), "id_number")
@@ -273,16 +293,19 @@ def typed_values(text: str) -> tuple[Spans, list[tuple[int, int, str, str]]]:
                     continue
             if not _DATE(text, a):
                 numbers.append((a, b, "", _label(text, a)))
-    if sum(map(low.count, _DIGIT_WORDS)) >= 7:
+    count = low.count
+    if count("one") + count("two") + count("three") + count("four") + count("five") + count("six") + count("seven") + count("eight") + count("nine") + count("zero") + count("oh") >= 7:
         for m in _SPOKEN.finditer(text):
             out.add(*m.span(), "phone")
     for m in _ADDRESS.finditer(text):
         unit = _UNIT_BEFORE.search(text[max(0, m.start() - 16) : m.start()])
         out.add(m.start() - (len(unit.group()) if unit else 0), m.end(), "street_address")
     for hints, pattern in _OTHER_ADDRESSES:
-        if any(h in folded for h in hints):
-            for m in pattern.finditer(text):
-                out.add(*m.span(), "street_address")
+        for h in hints:
+            if h in folded:
+                for m in pattern.finditer(text):
+                    out.add(*m.span(), "street_address")
+                break
     return out, numbers
 
 
@@ -311,6 +334,8 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 _MAIL_NAME = re.compile(rf"(?<![\w.+-])([A-Za-z]{{3,}})[.+][\w.+-]*{_AT}", re.I)
 _ROLE = re.compile(r"[.+](?:office|info|team|desk|mail|admin|service|support)\b", re.I)
+#: Contexts that tell nothing.
+_NOTHING = ("$", ".", ",")
 _CANDIDATE = "src_table string, row_key string, text_id bigint, kind string, title boolean, first string, last string, shape string, left string, right string, start int, end int, cut int, n bigint"
 _TYPES = (pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
 
@@ -319,32 +344,36 @@ def candidates(texts: DataFrame) -> DataFrame:
     """Everything in texts (src_table, row_key, text) that may be personal, in one pass, one row each.
 
     kind: a typed value's kind, with shape ``form`` for numbers that only their form gives (first is the word before), ``number`` for other
-    numbers, ``mention`` for runs of capitalised words outside typed values, ``inside`` for those inside, ``email_name`` for the given name that
-    an address begins with; ``word`` rows count words written small (title false) and with a capital, per batch. cut is
+    numbers, ``mention`` for runs of capitalised words outside typed values, ``inside`` for those inside and, summed per batch, single words without any
+    context, ``email_name`` for the given name that an address begins with; ``word`` rows count words written small (title false) and with a capital, per batch. cut is
     where a mention ends without its last word, null where no name is left.
     """
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         words: Counter = Counter()
+        opening: Counter = Counter()
         at: list[int | None] = []
         rows: list[tuple] = []
         for i, text in enumerate(b.column(3).to_pylist()):
             if not text:
                 continue
-            words.update(text.split())
             t = plain(text)
-            typed, numbers = typed_values(t)
+            low, tokens = _lower(t), t.split()
+            words.update(tokens)
+            typed, numbers = typed_values(t, low, " ".join(tokens).lower())
             formed = {x[:2] for x in numbers if x[2]}
             rows += [(kind, False, None, None, "labelled", None, None, a, e, None, 1) for a, e, kind in typed.items if (a, e) not in formed]
             rows += [(kind or "number", False, label, None, "form", None, None, a, e, None, 1) for a, e, kind, label in numbers]
-            for m in mentions(t):
-                kind = "mention" if typed.free(m.start, m.end) else "inside"
-                short = t[m.start : m.end].rstrip(".").rpartition(" ")[0].rstrip()
-                left = short if m.shape != "initial" or " " in short else ""
-                rows.append((kind, m.title, m.first, m.last, m.shape, m.left, m.right, m.start, m.end, m.start + len(left) if left else None, 1))
+            free = typed.free if typed.items else None
+            for start, end, title, first, last, shape, cut, left, right in mentions(t, low):
+                if shape == "one" and left == "^" and right in _NOTHING:
+                    opening[first] += 1
+                else:
+                    rows.append(("mention" if free is None or free(start, end) else "inside", title, first, last, shape, left, right, start, end, cut, 1))
             if "@" in t or _AT_BRACKETS(t):
                 rows += [("email_name", False, m.group(1).lower(), m.group(1).lower(), "email", "^", "$", None, None, None, 1) for m in _MAIL_NAME.finditer(t) if not _ROLE.search(m.group())]
             at += [i] * (len(rows) - len(at))
+        rows += [("inside", False, w, w, "one", "^", "$", None, None, None, c) for w, c in opening.items()]
         rows += [("word", w[0].isupper(), w.lower(), None, "word", None, None, None, None, None, c) for w, c in words.items() if len(w) > 1 and w.isalpha() and w[1:].islower()]
         at += [None] * (len(rows) - len(at))
         index = pa.array(at, pa.int32())
@@ -354,9 +383,13 @@ def candidates(texts: DataFrame) -> DataFrame:
     return map_batches(texts.select("src_table", "row_key", F.xxhash64("text").alias("text_id"), "text"), run, _CANDIDATE)
 
 
-def _listed(df: DataFrame, few: int = 200_000) -> DataFrame:
+#: Rows up to which a table of terms is broadcast.
+FEW = 200_000
+
+
+def _listed(df: DataFrame) -> DataFrame:
     """df, marked for broadcast where its checked number of rows allows it."""
-    return F.broadcast(df) if df.count() <= few else df
+    return F.broadcast(df) if df.count() <= FEW else df
 
 
 class Terms:
@@ -367,8 +400,10 @@ class Terms:
     """
 
     def __init__(self, words: DataFrame, contexts: DataFrame, labels: DataFrame):
-        self.words, self.labels = _listed(words), _listed(labels)
-        self.slots = {s: _listed(contexts.where(F.col("slot") == s).select("term")) for s in ("left", "right", "both")}
+        self.words, self.labels = _listed(words), labels
+        few = contexts.count() <= FEW
+        slots = {s: contexts.where(F.col("slot") == s).select("term") for s in ("left", "right", "both")}
+        self.slots = {s: F.broadcast(t) if few else t for s, t in slots.items()}
 
     def persons(self, mentions: DataFrame) -> DataFrame:
         """mentions with the columns ``person``, whether a person is named, and ``bare``, whether the last word opens the next sentence and goes."""
@@ -437,7 +472,7 @@ def learn_terms(found: DataFrame, bits: float = 4.0, posterior: float = 0.6, rou
     openers = opening.where(F.col("n") >= max(5, math.ceil(opened * 5e-4))).select("word", F.lit(True).alias("is_opener"))
     words = stored(words.join(openers, "word", "full"), "plain-words")
     opener_words = F.broadcast(words.where("is_opener").select(F.col("word").alias("opener")))  # at most 2,000
-    labels = stored(number_labels(found.where("shape = 'form'")), "labels")
+    labels = _listed(stored(number_labels(found.where("shape = 'form'")), "labels"))
     seed = F.col("title") | (F.col("shape") == "email")
     marked = spans.withColumn("seed", seed)
     for k in range(rounds):
@@ -462,13 +497,12 @@ def learn_terms(found: DataFrame, bits: float = 4.0, posterior: float = 0.6, rou
 def decided(found: DataFrame, terms: Terms) -> DataFrame:
     """(src_table, row_key, text_id, kind, start, end) of the candidates that disclose something."""
     out = ["src_table", "row_key", "text_id", "kind", "start", "end"]
-    sure = found.where(F.col("kind").isin(*KINDS) & (F.col("shape") == "labelled")).select(*out)
-    n = found.where("shape = 'form'").join(terms.labels.withColumnRenamed("label", "first"), "first", "left")
-    told = F.when(F.col("kind") == "number", F.col("told")).when(~F.coalesce(F.array_contains("vetoed", F.col("kind")), F.lit(False)), F.col("kind"))
-    numbers = n.withColumn("kind", told).where("kind is not null").select(*out)
+    typed = found.where(F.col("kind").isin(*KINDS, "number")).join(terms.labels.withColumnRenamed("label", "first"), "first", "left")
+    vetoed = (F.col("shape") == "form") & F.coalesce(F.array_contains("vetoed", F.col("kind")), F.lit(False))
+    numbers = typed.withColumn("kind", F.when(F.col("kind") == "number", F.col("told")).when(~vetoed, F.col("kind"))).where("kind is not null").select(*out)
     m = terms.persons(found.where("kind = 'mention'")).where("person").withColumn("kind", F.lit("person_name"))
     names = m.withColumn("end", F.when(F.col("bare"), F.coalesce("cut", "end")).otherwise(F.col("end"))).select(*out)
-    return sure.unionByName(numbers).unionByName(names)
+    return numbers.unionByName(names)
 
 
 def personal_candidates(texts: DataFrame) -> tuple[DataFrame, Terms]:
