@@ -100,8 +100,14 @@ _ID_LABEL = (
     r"|identity\s+(?:card|number)|id\s+card|steuer-?id(?:nr\.?)?|personalausweis(?:nummer)?|reisepass(?:nummer)?|numéro\s+de\s+sécurité\s+sociale|passeport|pasaporte|nif|dni|nie)"
 )
 _ID = re.compile(rf"\b{_ID_LABEL}\s*[:#]?\s*(?-i:(?=(?:[\w .\-]*\d){{5}})[A-Z]{{0,2}} ?[\dO](?:[ .\-]?[\dA-Z]){{5,15}}(?![\w]))", re.I)
-#: What every match of _ID_LABEL holds, in small letters without white space.
-_ID_HINT = re.compile("ssn|s\\.s\\.|soci|tax|payer|i?tin|n(?:ational|i[noe]|in|if)|passp|driv|identity|idcard|steuer|personala|reisepass|sécurité|pasaporte|dni").search
+def _may_hold_id(near: str) -> bool:
+    """What every match of _ID_LABEL holds, in small letters without white space."""
+    return (
+        "ssn" in near or "s.s." in near or "soci" in near or "tax" in near or "payer" in near or "tin" in near or "national" in near or "ni" in near
+        or "pass" in near or "driv" in near or "identity" in near or "idcard" in near or "steuer" in near or "personala" in near or "sécurité" in near or "pasaporte" in near or "dni" in near
+    )
+
+
 _BARE_ID = re.compile(r"(?<![\w.\-])(?:\d{3}-\d\d-\d{4}|\d{3}\.\d\d\.\d{4}|[A-CEGHJ-PR-TW-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-D]|[A-Z]\d{3}-\d{4}-\d{4}|\d{6}-\d{3}-\d\d|[A-Z]\d{9})(?![\w\-]|\.\d)")
 _ID_VALUE = re.compile(rf"^{_ID_LABEL}\s*[:#]?\s*", re.I)
 _NOT_ID = re.compile(r"(?:ein|parcel|docket|invoice|case|v|account|tracking|shipment)[\s.:#-]*$", re.I)
@@ -110,14 +116,14 @@ _NOT_ID = re.compile(r"(?:ein|parcel|docket|invoice|case|v|account|tracking|ship
 _STREET = r"(?:street|st\.?|avenue|ave\.?|road|rd\.?|lane|ln\.?|drive|dr\.?|boulevard|blvd\.?|court|ct\.?|terrace|ter\.?|way|place|pl\.?|square|sq\.?|parkway|pkwy\.?|highway|hwy\.?|circle|close|crescent|row|walk)"
 _CAP = r"(?:[^\W\d_a-z][\w'\-]*)"
 _ADDRESS = re.compile(
-    rf"(?<![\w.,$\-/])\d{{1,5}}[a-z]?\s+(?:[NSEW]{{1,2}}\.?\s+)?(?:{_CAP}\s+){{1,3}}(?i:{_STREET})(?!\w)(?:,?\s+(?i:apt\.?|unit|suite|flat|#)\s*\w{{1,5}})?(?:,\s+{_CAP}(?:\s{_CAP})?,\s+[A-Z]{{2}}\s+\d{{5}}|\s+{_CAP}\s+[A-Z]{{2}}\b)?"
+    rf"\d(?<![\w.,$\-/]\d)\d{{0,4}}[a-z]?\s+(?:[NSEW]{{1,2}}\.?\s+)?(?:{_CAP}\s+){{1,3}}(?i:{_STREET})(?!\w)(?:,?\s+(?i:apt\.?|unit|suite|flat|#)\s*\w{{1,5}})?(?:,\s+{_CAP}(?:\s{_CAP})?,\s+[A-Z]{{2}}\s+\d{{5}}|\s+{_CAP}\s+[A-Z]{{2}}\b)?"
 )
 _UNIT_BEFORE = re.compile(r"\b(?:unit|apt\.?|suite|flat)\s+\w{1,5},\s+$", re.I)
 #: Hints in lower case and the pattern to try where one stands in the text.
 _OTHER_ADDRESSES = (
     (("straße", "strasse", "str.", "weg", "gasse", "allee", "platz", "ufer", "damm", "stieg"), re.compile(rf"\b{_CAP}(?:(?i:straße|strasse|str\.|weg|gasse|allee|platz|ufer|damm|stieg))\s+\d{{1,4}}\s?[a-z]?\b(?:,\s+\d{{5}}\s+{_CAP})?")),
     (("calle ", "avenida ", "avda", "plaza ", "paseo ", "carrera ", "viale ", "rua "), re.compile(rf"\b(?i:calle|avenida|avda\.?|plaza|paseo|carrera|viale|rua)\s+(?:(?:de|del|la|las|los)\s+)*{_CAP}(?:\s{_CAP})?,?\s+(?:n[.º°]*\s*)?\d{{1,4}}\b(?:,\s+\d{{1,2}}\.?[ºª°]\s?\w?)?(?:,\s+{_CAP})?")),
-    ((" rue ", " avenue ", " boulevard ", " bd ", " place ", " quai ", " chemin ", " allée ", " impasse ", " route ", " cours "), re.compile(rf"(?<![\w.,$\-/])\d{{1,4}}(?:\s?(?i:bis|ter|quater))?,?\s+(?i:rue|avenue|boulevard|bd|place|quai|chemin|allée|impasse|route|cours)\s+(?:(?:de|du|des|la|le|les)\s+|d'|l')*{_CAP}(?:[\s\-]{_CAP})?(?:,\s+(?:\d{{5}}\s+)?{_CAP})?")),
+    ((" rue ", " avenue ", " boulevard ", " bd ", " place ", " quai ", " chemin ", " allée ", " impasse ", " route ", " cours "), re.compile(rf"\d(?<![\w.,$\-/]\d)\d{{0,3}}(?:\s?(?i:bis|ter|quater))?,?\s+(?i:rue|avenue|boulevard|bd|place|quai|chemin|allée|impasse|route|cours)\s+(?:(?:de|du|des|la|le|les)\s+|d'|l')*{_CAP}(?:[\s\-]{_CAP})?(?:,\s+(?:\d{{5}}\s+)?{_CAP})?")),
 )
 
 #: Titles before names, and words that end the name of a company or a place.
@@ -263,22 +269,24 @@ def typed_values(text: str, low: str | None = None, folded: str | None = None) -
     for m in _emails(text, folded):
         out.add(*m.span(), "email")
     clusters = [m.span() for m in _CLUSTER.finditer(text)]
+    # a date alone has neither form
+    formed = [(a, b) for a, b in clusters if b - a != 10 or text[a - 1 : a] == "+" or not _DATE(text, a)]
     last = 0
     for a, b in clusters:
         near = "".join(low[a - 80 if a > 80 else 0 : b].split())
-        if _ID_HINT(near):
+        if _may_hold_id(near):
             for m in _matches(_ID, text, max(last, a - 80), b, 40):
                 last = m.end()
                 out.add(m.start() + _ID_VALUE.match(m.group()).end(), m.end(), "id_number")
     numbers: list[tuple[int, int, str, str]] = []
     last = 0
-    for a, b in clusters:
+    for a, b in formed:
         for m in _matches(_BARE_ID, text, max(last, a - 4), b, 8):
             last = m.end()
             if not _NOT_ID.search(text[max(0, m.start() - 14) : m.start()]) and out.add(*m.span(), "id_number"):
                 numbers.append((*m.span(), "id_number", _label(text, m.start())))
     last = 0
-    for a, b in clusters:
+    for a, b in formed:
         before = last
         for m in _matches(_PHONE, text, max(last, a - 4), b, 24):
             last = m.end()
@@ -340,13 +348,13 @@ _CANDIDATE = "src_table string, row_key string, text_id bigint, kind string, tit
 _TYPES = (pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
 
 
-def candidates(texts: DataFrame) -> DataFrame:
+def candidates(texts: DataFrame, places: bool = True) -> DataFrame:
     """Everything in texts (src_table, row_key, text) that may be personal, in one pass, one row each.
 
     kind: a typed value's kind, with shape ``form`` for numbers that only their form gives (first is the word before), ``number`` for other
     numbers, ``mention`` for runs of capitalised words outside typed values, ``inside`` for those inside and, summed per batch, single words without any
     context, ``email_name`` for the given name that an address begins with; ``word`` rows count words written small (title false) and with a capital, per batch. cut is
-    where a mention ends without its last word, null where no name is left.
+    where a mention ends without its last word, null where no name is left. Without ``places`` text_id, start and end are left out.
     """
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -378,9 +386,14 @@ def candidates(texts: DataFrame) -> DataFrame:
         at += [None] * (len(rows) - len(at))
         index = pa.array(at, pa.int32())
         cols = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)] if rows else [pa.array([], t) for t in _TYPES]
-        return pa.RecordBatch.from_arrays([*(b.column(k).take(index) for k in range(3)), *cols], names=[c.split()[0] for c in _CANDIDATE.split(", ")])
+        out = dict(zip(every, [*(b.column(k).take(index) for k in range(3)), *cols]))
+        return pa.RecordBatch.from_arrays([out[c] for c in names], names=names)
 
-    return map_batches(texts.select("src_table", "row_key", F.xxhash64("text").alias("text_id"), "text"), run, _CANDIDATE)
+    every = [c.split()[0] for c in _CANDIDATE.split(", ")]
+    names = [c for c in every if places or c not in ("text_id", "start", "end")]
+    identity = F.xxhash64("text") if places else F.lit(0).cast("bigint")
+    schema = ", ".join(c for c in _CANDIDATE.split(", ") if c.split()[0] in names)
+    return map_batches(texts.select("src_table", "row_key", identity.alias("text_id"), "text"), run, schema)
 
 
 #: Rows up to which a table of terms is broadcast.
@@ -495,19 +508,21 @@ def learn_terms(found: DataFrame, bits: float = 4.0, posterior: float = 0.6, rou
 
 
 def decided(found: DataFrame, terms: Terms) -> DataFrame:
-    """(src_table, row_key, text_id, kind, start, end) of the candidates that disclose something."""
-    out = ["src_table", "row_key", "text_id", "kind", "start", "end"]
+    """(src_table, row_key, text_id, kind, start, end) of the candidates that disclose something, or as much of it as found has."""
+    out = [c for c in ("src_table", "row_key", "text_id", "kind", "start", "end") if c in found.columns]
     typed = found.where(F.col("kind").isin(*KINDS, "number")).join(terms.labels.withColumnRenamed("label", "first"), "first", "left")
     vetoed = (F.col("shape") == "form") & F.coalesce(F.array_contains("vetoed", F.col("kind")), F.lit(False))
     numbers = typed.withColumn("kind", F.when(F.col("kind") == "number", F.col("told")).when(~vetoed, F.col("kind"))).where("kind is not null").select(*out)
     m = terms.persons(found.where("kind = 'mention'")).where("person").withColumn("kind", F.lit("person_name"))
-    names = m.withColumn("end", F.when(F.col("bare"), F.coalesce("cut", "end")).otherwise(F.col("end"))).select(*out)
+    if "end" in out:
+        m = m.withColumn("end", F.when(F.col("bare"), F.coalesce("cut", "end")).otherwise(F.col("end")))
+    names = m.select(*out)
     return numbers.unionByName(names)
 
 
-def personal_candidates(texts: DataFrame) -> tuple[DataFrame, Terms]:
+def personal_candidates(texts: DataFrame, places: bool = True) -> tuple[DataFrame, Terms]:
     """The stored candidates of texts (src_table, row_key, text) and the terms that they give."""
-    found = stored(candidates(texts), "candidates")
+    found = stored(candidates(texts, places), "candidates")
     return found, learn_terms(found)
 
 
@@ -517,7 +532,7 @@ def find_personal(texts: DataFrame) -> DataFrame:
     texts: (src_table, row_key, text). Null and empty texts hold nothing; a null row_key keeps its rows; very long texts are
     searched whole; repeated rows add to n; an empty table gives an empty result.
     """
-    return decided(*personal_candidates(texts)).groupBy("src_table", "row_key", "kind").agg(F.count(F.lit(1)).alias("n"))
+    return decided(*personal_candidates(texts, places=False)).groupBy("src_table", "row_key", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 def redact_texts(texts: DataFrame) -> DataFrame:
