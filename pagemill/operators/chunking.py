@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.operators.elements import clean_elements, running, strip
+from pagemill.operators.elements import clean_elements, heading_paths, running, strip
+
+#: A tokenizer's counter, and a packed chunk: content, first and last page, first title.
+Count = Callable[[str], int]
+Packed = tuple[str, int | None, int | None, str | None]
+
+
+class Chunker(Protocol):
+    """Anything that turns elements into chunks; by_title_chunks, token_chunks and tree_chunks with their parameters bound are such."""
+
+    def __call__(self, elements: DataFrame) -> DataFrame: ...
 
 
 def n_words(c: Column) -> Column:
@@ -34,59 +46,56 @@ def combined_sections(elements: DataFrame, under: int = 200) -> DataFrame:
     return running(s.withColumn("start", start), "doc_id", "section", combined=("sum", F.col("start"))).select("doc_id", "section", F.col("combined").cast("bigint").alias("combined"))
 
 
-def by_title_chunks(elements: DataFrame, size: int = 120, under: int = 200, respect_pages: bool = False) -> DataFrame:
-    """(doc_id, chunk_index, total_chunks, chunk_type, section_title, start_page, end_page, token_count, content).
-
-    Within each combined section text is packed up to ``size`` tokens, an element over it stands alone; then come the tables of the
-    section, each as a chunk. No overlap. The packing is a fold over the ordered elements of one section, inside the JVM.
-    """
-    s = sections(elements).join(combined_sections(elements, under), ["doc_id", "section"]).withColumn("n", n_words(F.col("content")))
-    head = F.col("type").isin("title", "heading")
-    row = F.struct("pos", "n", F.coalesce("page_number", F.lit(0)).alias("page"))
-    text = s.where("type <> 'table'").groupBy("doc_id", "combined").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    start = F.struct(F.lit(0).alias("cur"), F.lit(0).alias("g"), F.lit(0).alias("page"), F.lit(False).alias("full"), F.array().cast("array<int>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        turn = F.lit(respect_pages) & (a["page"] != 0) & (x["page"] != 0) & (a["page"] != x["page"])
-        new = (a["cur"] > 0) & ((a["cur"] + x["n"] > size) | turn | a["full"])
-        g = a["g"] + new.cast("int")
-        return F.struct(F.when(new, x["n"]).otherwise(a["cur"] + x["n"]).alias("cur"), g.alias("g"), F.when(x["page"] != 0, x["page"]).otherwise(a["page"]).alias("page"), (x["n"] > size).alias("full"), F.concat(a["out"], F.array(g)).alias("out"))
-
-    packed = text.select("doc_id", "combined", F.explode(F.arrays_zip(F.col("rows.pos").alias("pos"), F.aggregate("rows", start, step)["out"].alias("g"))).alias("z")).select("doc_id", "combined", F.col("z.pos").alias("pos"), F.col("z.g").alias("g"))
-    t = packed.join(s.drop("combined"), ["doc_id", "pos"])
-    parts = F.sort_array(F.collect_list(F.struct("pos", "content")))
-    pages = [F.min("page_number").alias("start_page"), F.max("page_number").alias("end_page")]
-    texts = t.groupBy("doc_id", "combined", "g").agg(F.lit("text").alias("chunk_type"), F.min("pos").alias("pos"), F.min_by(F.when(head, F.col("content")), F.when(head, F.col("pos"))).alias("section_title"), *pages, F.array_join(parts["content"], "\n\n").alias("content"))
-    tables = s.where("type = 'table'").select("doc_id", "combined", F.lit(1 << 30).alias("g"), F.lit("table").alias("chunk_type"), "pos", F.lit(None).cast("string").alias("section_title"), F.col("page_number").alias("start_page"), F.col("page_number").alias("end_page"), "content")
-    return _numbered(texts.unionByName(tables), "combined", "g", "pos")
-
-
-def _numbered(chunks: DataFrame, *order: str) -> DataFrame:
-    """chunk_index from 0 and total_chunks per document."""
-    w = Window.partitionBy("doc_id")
-    c = chunks.withColumn("chunk_index", (F.row_number().over(w.orderBy(*order)) - 1).cast("int")).withColumn("total_chunks", F.count(F.lit(1)).over(w).cast("int"))
-    return c.select("doc_id", "chunk_index", "total_chunks", "chunk_type", "section_title", "start_page", "end_page", n_words(F.col("content")).alias("token_count"), "content")
-
-
 def sentences(text: str) -> list[str]:
     """Pieces between ". ", stripped, blank ones dropped, each with its full stop."""
     parts = [p.strip() for p in text.split(". ")]
     return [p if p.endswith(".") else p + "." for p in parts if p]
 
 
+def word_count(text: str) -> int:
+    """Default tokenizer of the packers; any text -> int that can be pickled may stand for it."""
+    return len(text.split())
+
+
+class TitlePacker:
+    """Packing of one section's text elements, fed one by one; no overlap, an element over the size stands alone."""
+
+    def __init__(self, size: int, respect_pages: bool = False, count: Count = word_count):
+        self.size, self.respect_pages, self.count = size, respect_pages, count
+        self.parts: list[tuple[str, int | None, bool]] = []
+        self.total = self.page = 0
+
+    def add(self, text: str, page: int | None, head: bool) -> Iterator[Packed]:
+        n = self.count(text)
+        turn = self.respect_pages and bool(self.page and page) and page != self.page
+        if self.parts and (self.total + n > self.size or turn):
+            yield from self.end()
+        self.parts.append((text, page, head))
+        self.total += n
+        self.page = page or self.page
+        if n > self.size:
+            yield from self.end()
+
+    def end(self) -> Iterator[Packed]:
+        if self.parts:
+            pages = [p for _, p, _ in self.parts if p is not None]
+            yield "\n\n".join(t for t, _, _ in self.parts), min(pages, default=None), max(pages, default=None), next((t for t, _, h in self.parts if h), None)
+        self.parts, self.total = [], 0
+
+
 class TokenPacker:
     """Greedy packing with overlap of one document's elements, fed one by one; holds only the open chunk."""
 
-    def __init__(self, size: int, overlap: int, count=lambda t: len(t.split())):
+    def __init__(self, size: int, overlap: int, count: Count = word_count):
         self.size, self.overlap, self.count = size, overlap, count
         self.parts: list[tuple[str, int, int | None]] = []
         self.total = 0
 
-    def _chunk(self) -> tuple[str, int | None, int | None]:
+    def _chunk(self) -> Packed:
         pages = [p for _, _, p in self.parts if p is not None]
-        return "\n\n".join(t for t, _, _ in self.parts), min(pages, default=None), max(pages, default=None)
+        return "\n\n".join(t for t, _, _ in self.parts), min(pages, default=None), max(pages, default=None), None
 
-    def add(self, text: str, page: int | None) -> Iterator[tuple[str, int | None, int | None]]:
+    def add(self, text: str, page: int | None, head: bool = False) -> Iterator[Packed]:
         n = self.count(text)
         if n > self.size:
             yield from self.end()
@@ -94,80 +103,193 @@ class TokenPacker:
             return
         if self.parts and self.total + n > self.size:
             yield self._chunk()
-            kept, sum_kept = [], 0
-            for part in reversed(self.parts):
-                if sum_kept + part[1] > self.overlap:
-                    break
-                kept.insert(0, part)
-                sum_kept += part[1]
-            self.parts, self.total = kept, sum_kept
+            first, kept = len(self.parts), 0
+            while first and kept + self.parts[first - 1][1] <= self.overlap:
+                first -= 1
+                kept += self.parts[first][1]
+            self.parts, self.total = self.parts[first:], kept
         self.parts.append((text, n, page))
         self.total += n
 
-    def end(self) -> Iterator[tuple[str, int | None, int | None]]:
+    def end(self) -> Iterator[Packed]:
         if self.parts:
             yield self._chunk()
         self.parts, self.total = [], 0
 
-    def _split(self, text: str) -> Iterator[tuple[str, None, None]]:
+    def _split(self, text: str) -> Iterator[Packed]:
         """Sentences of an oversized element; the last three are repeated if they all fit into the overlap."""
         now: list[str] = []
         total = 0
         for s in sentences(text):
             n = self.count(s)
             if now and total + n > self.size:
-                yield " ".join(now), None, None
+                yield " ".join(now), None, None, None
                 tail = now[-3:]
                 size = sum(map(self.count, tail))
                 now, total = (tail, size) if size <= self.overlap else ([], 0)
             now.append(s)
             total += n
         if now:
-            yield " ".join(now), None, None
+            yield " ".join(now), None, None, None
 
 
-def token_chunks(elements: DataFrame, size: int = 1000, overlap: int = 200) -> DataFrame:
-    """Chunks as by_title_chunks, packed over the whole document with an overlap of whole elements; tables stand alone at the end, without pages.
+def _packed(rows: DataFrame, group: str, packer: Callable[[], object]) -> DataFrame:
+    """(doc_id, group, local, content, start_page, end_page, section_title): rows (doc_id, group, pos, content, page_number, head) packed group by group, in order.
 
-    Documents are streamed in order through one packer per task, so that memory doesn't grow with a document.
+    Groups are streamed through one packer per task, so that memory grows neither with a group nor with a document.
     """
-    e = clean_elements(elements)
-    text = e.where("type <> 'table'").select("doc_id", "pos", "content", "page_number").repartition("doc_id").sortWithinPartitions("doc_id", "pos")
-    kind = dict(text.dtypes)["doc_id"]
+    r = rows.select("doc_id", F.col(group).cast("bigint").alias("_g"), F.col("pos").cast("bigint").alias("pos"), "content", "page_number", "head")
+    r = r.repartition("doc_id", "_g").sortWithinPartitions("doc_id", "_g", "pos")
+    kind = dict(r.dtypes)["doc_id"]
+    types = (None, pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string())
+    names = ("doc_id", "group", "local", "content", "start_page", "end_page", "section_title")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, packer, n = None, None, 0
-        rows: list[tuple] = []
+        key, now, n = None, None, 0
+        out: list[tuple] = []
 
-        def take(chunks):
+        def take(chunks) -> None:
             nonlocal n
             for c in chunks:
-                rows.append((doc, n, *c))
+                out.append((*key, n, *c))
                 n += 1
 
-        def batch() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32()))], names=["doc_id", "pos", "content", "start_page", "end_page"])
-            rows.clear()
-            return out
-
         for b in batches:
-            for d, _, t, page in zip(*(c.to_pylist() for c in b.columns)):
-                if d != doc or packer is None:
-                    if packer is not None:
-                        take(packer.end())
-                    doc, packer, n = d, TokenPacker(size, overlap), 0
-                take(packer.add(t, page))
-            if rows:
-                yield batch()
-        if packer is not None:
-            take(packer.end())
-            if rows:
-                yield batch()
-
-    packed = text.mapInArrow(run, f"doc_id {kind}, pos bigint, content string, start_page int, end_page int")
-    tables = e.where("type = 'table'").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "content", F.lit(None).cast("int").alias("start_page"), F.lit(None).cast("int").alias("end_page"))
-    both = packed.withColumn("chunk_type", F.lit("text")).unionByName(tables.withColumn("chunk_type", F.lit("table")))
-    return _numbered(both.withColumn("section_title", F.lit(None).cast("string")).withColumn("side", F.when(F.col("chunk_type") == "table", 1).otherwise(0)), "side", "pos")
+            id_type = b.schema.field(0).type
+            for doc, g, _, text, page, head in zip(*(c.to_pylist() for c in b.columns)):
+                if (doc, g) != key:
+                    if now is not None:
+                        take(now.end())
+                    key, now, n = (doc, g), packer(), 0
+                take(now.add(text, page, head))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t or id_type) for c, t in zip(zip(*out), types)], names=names)
+                out.clear()
+        if now is not None:
+            take(now.end())
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t or id_type) for c, t in zip(zip(*out), types)], names=names)
+
+    return r.mapInArrow(run, f"doc_id {kind}, group bigint, local int, content string, start_page int, end_page int, section_title string")
+
+
+def _numbered(chunks: DataFrame) -> DataFrame:
+    """chunk_index from 0 and total_chunks per document of chunks with (group, side, local): their place in their part is added to the sizes of the parts before.
+
+    Only the sizes of parts, one row per group and side, are summed along a document.
+    """
+    w = Window.partitionBy("doc_id").orderBy("group", "side")
+    sizes = chunks.groupBy("doc_id", "group", "side").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("doc_id", "group", "side", (F.sum("n").over(w) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("doc_id")).cast("int").alias("total_chunks"))
+    c = chunks.join(before, ["doc_id", "group", "side"]).withColumn("chunk_index", (F.col("before") + F.col("local")).cast("int"))
+    return c.select("doc_id", "chunk_index", "total_chunks", "chunk_type", "section_title", "start_page", "end_page", n_words(F.col("content")).alias("token_count"), "content")
+
+
+def _is_head() -> Column:
+    return F.col("type").isin("title", "heading")
+
+
+def split_tables(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Elements that aren't tables, and tables."""
+    return elements.where("type <> 'table'"), elements.where("type = 'table'")
+
+
+def _table_chunks(tables: DataFrame, group: str, pages: bool) -> DataFrame:
+    """Each table as a chunk at the end of its group, with or without pages."""
+    t = running(tables, "doc_id", "pos", k=("sum", F.lit(1))).withColumn("group", F.col(group).cast("bigint"))
+    first = t.groupBy("doc_id", "group").agg(F.min("k").alias("k0"))
+    page = F.col("page_number").cast("int") if pages else F.lit(None).cast("int")
+    return t.join(first, ["doc_id", "group"]).select("doc_id", "group", F.lit(1).alias("side"), (F.col("k") - F.col("k0")).cast("int").alias("local"), F.lit("table").alias("chunk_type"), "content", page.alias("start_page"), page.alias("end_page"), F.lit(None).cast("string").alias("section_title"))
+
+
+def by_title_chunks(elements: DataFrame, size: int = 120, under: int = 200, respect_pages: bool = False, count: Count = word_count) -> DataFrame:
+    """(doc_id, chunk_index, total_chunks, chunk_type, section_title, start_page, end_page, token_count, content).
+
+    Within each combined section text is packed up to ``size`` tokens, an element over it stands alone; then come the tables of the
+    section, each as a chunk. No overlap; with respect_pages a chunk ends where a known page changes. The title is the first one inside the chunk.
+    """
+    s = sections(elements).join(combined_sections(elements, under), ["doc_id", "section"]).withColumn("head", _is_head())
+    text, tables = split_tables(s)
+    packed = _packed(text, "combined", lambda: TitlePacker(size, respect_pages, count)).withColumn("chunk_type", F.lit("text")).withColumn("side", F.lit(0))
+    return _numbered(packed.unionByName(_table_chunks(tables, "combined", True)))
+
+
+def token_chunks(elements: DataFrame, size: int = 1000, overlap: int = 200, count: Count = word_count) -> DataFrame:
+    """Chunks as by_title_chunks, packed over the whole document with an overlap of whole elements; tables stand alone at the end, without pages.
+
+    An element over the size, by white-space tokens, ends what is packed and leaves nothing to overlap, so a document is packed in separate stretches from one such
+    element to the next; another tokenizer packs a document in one stretch.
+    """
+    text, tables = split_tables(clean_elements(elements).withColumn("head", F.lit(False)))
+    over = F.when(n_words(F.col("content")) > size, 1).otherwise(0) if count is word_count else F.lit(0)
+    stretches = running(text, "doc_id", "pos", stretch=("sum", over))
+    packed = _packed(stretches, "stretch", lambda: TokenPacker(size, overlap, count)).withColumn("chunk_type", F.lit("text")).withColumn("side", F.lit(0))
+    last = F.lit((1 << 62) - 1)
+    return _numbered(packed.unionByName(_table_chunks(tables.withColumn("_last", last), "_last", False)))
+
+
+def tree_chunks(elements: DataFrame, cap: int = 512, count: Count = word_count) -> DataFrame:
+    """(doc_id, chunk_index, total_chunks, chunk_type, section_title, section_path, start_page, end_page, token_count, content, error) along the tree of headings.
+
+    elements: (doc_id, pos, type, content, page_number, level), level being that of headings. Neighbours under the same headings are merged up to the cap, longer ones
+    split at sentences, then at words; the headings stand before each text and count. error says that a chunk has no page, or that its headings alone outlast the cap.
+    """
+    items = elements.select("doc_id", "pos", "type", "content", "page_number", F.col("level").cast("int").alias("level"), F.when(F.col("level").isNotNull(), F.col("content")).alias("heading"))
+    paths = heading_paths(items)
+    placed = running(items, "doc_id", "pos", section=("max", F.when(F.col("level").isNotNull(), F.col("pos"))))
+    placed = placed.withColumn("section", F.coalesce(F.col("section"), F.lit(-1)).cast("bigint"))
+    by_section = placed.where("level is not null").select("doc_id", "pos", "section").join(paths, ["doc_id", "pos"]).select("doc_id", "section", "path")
+    body = placed.where("level is null").join(by_section, ["doc_id", "section"], "left").withColumn("path", F.coalesce("path", F.array().cast("array<string>")))
+    # the packer needs the headings' tokens: they travel with the first column that it reads
+    rows = body.select("doc_id", "pos", "section", F.to_json(F.struct(F.array_join("path", "\n").alias("h"), F.col("content").alias("c"))).alias("content"), "page_number", F.lit(False).alias("head"))
+    packed = _packed(rows, "section", lambda: TreePacker(cap, count)).withColumn("side", F.lit(0)).withColumn("chunk_type", F.lit("text"))
+    done = _numbered(packed.drop("section_title").withColumn("section_title", F.col("group").cast("string")))
+    named = done.withColumn("section", F.col("section_title").cast("bigint")).join(by_section, ["doc_id", "section"], "left")
+    error = F.when(F.col("start_page").isNull(), "chunk has no page").when(F.col("token_count") > cap, "headings outlast the cap")
+    path = F.coalesce("path", F.array().cast("array<string>"))
+    return named.select("doc_id", "chunk_index", "total_chunks", "chunk_type", F.try_element_at(path, F.lit(-1)).alias("section_title"), path.alias("section_path"), "start_page", "end_page", "token_count", "content", error.alias("error"))
+
+
+class TreePacker:
+    """Merges neighbours under the same headings up to the cap and splits what is longer; texts come as JSON with their headings."""
+
+    def __init__(self, cap: int, count: Count = word_count):
+        self.cap, self.count = cap, count
+        self.parts: list[tuple[str, int | None]] = []
+        self.total, self.headings = 0, ""
+
+    def add(self, text: str, page: int | None, head: bool = False) -> Iterator[Packed]:
+        x = json.loads(text)
+        self.headings, content = x.get("h", ""), x.get("c", "")
+        room = max(1, self.cap - self.count(self.headings))
+        for piece in [content] if self.count(content) <= room else self._split(content, room):
+            n = self.count(piece)
+            if self.parts and self.total + n > room:
+                yield from self.end()
+            self.parts.append((piece, page))
+            self.total += n
+
+    def _split(self, content: str, room: int) -> Iterator[str]:
+        now: list[str] = []
+        for s in sentences(content):
+            pieces = [s]
+            if self.count(s) > room:
+                words = s.split()
+                pieces = [" ".join(words[i : i + room]) for i in range(0, len(words), room)]
+            for p in pieces:
+                if now and self.count(" ".join([*now, p])) > room:
+                    yield " ".join(now)
+                    now = []
+                now.append(p)
+        if now:
+            yield " ".join(now)
+
+    def end(self) -> Iterator[Packed]:
+        if self.parts:
+            pages = [p for _, p in self.parts if p is not None]
+            text = "\n".join(t for t in (self.headings, *(t for t, _ in self.parts)) if t)
+            yield text, min(pages, default=None), max(pages, default=None), None
+        self.parts, self.total = [], 0
 
 
 def split_sentences(documents: DataFrame) -> DataFrame:

@@ -92,6 +92,25 @@ def table_of_contents(elements: DataFrame) -> DataFrame:
     return clean_elements(elements).where(F.col("type").isin(*_HEADS)).select("doc_id", "pos", level.cast("int").alias("level"), F.substring("content", 1, 100).alias("title"), F.coalesce("page_number", F.lit(0)).alias("page"))
 
 
+def heading_levels(kind: Column, level: Column) -> Column:
+    """Level of a heading row: 0 for titles, its own for headings (1 if null), null for other rows."""
+    return F.when(kind == "title", 0).when(kind.isin("heading", "section_header"), F.coalesce(level, F.lit(1)))
+
+
+def heading_paths(items: DataFrame, levels: int = 10) -> DataFrame:
+    """(doc_id, pos, path): the open headings before or at each item of (doc_id, pos, level, heading), outermost first.
+
+    level is null for other items, and that of headings under ``levels`` (deeper ones count as the deepest). A heading closes those of its level and below, so the
+    last heading of a level is open where none of a lower level came after it: running maxima, however long a document is.
+    """
+    level = F.least(F.greatest(F.col("level"), F.lit(0)), F.lit(levels - 1))
+    last = {f"l{k}": ("max", F.when(level == k, F.struct(F.col("pos").alias("pos"), F.col("heading").alias("heading")))) for k in range(levels)}
+    r = running(items, "doc_id", "pos", **last)
+    place = lambda k: F.coalesce(F.col(f"l{k}.pos"), F.lit(-1))
+    shut = lambda k: F.greatest(F.lit(-1), F.lit(-1), *(place(j) for j in range(k)))
+    return r.select("doc_id", "pos", F.array_compact(F.array(*(F.when(place(k) > shut(k), F.col(f"l{k}.heading")) for k in range(levels)))).alias("path"))
+
+
 def parents(elements: DataFrame) -> DataFrame:
     """(doc_id, pos, type, depth, parent_pos): the nearest heading before body elements; titles have depth 1, headings 2."""
     e = running(clean_elements(elements), "doc_id", "pos", head=("max", F.when(F.col("type").isin(*_HEADS), F.col("pos"))))
@@ -114,8 +133,16 @@ def page_counts(elements: DataFrame) -> DataFrame:
     return elements.where("doc_id is not null").groupBy("doc_id").agg(F.coalesce(F.max("page_number"), F.lit(0)).cast("int").alias("pages"))
 
 
-#: Formats by extension, in the order they are tried.
-EXTENSIONS = {".pdf": "pdf", ".docx": "docx", ".html": "html", ".htm": "html", ".mp4": "video", ".avi": "video", ".mov": "video", ".mkv": "video", ".mp3": "audio", ".wav": "audio", ".flac": "audio", ".ogg": "audio"}
+#: Formats by extension, in the order they are tried, and by MIME type.
+EXTENSIONS = {
+    ".pdf": "pdf", ".docx": "docx", ".doc": "docx", ".html": "html", ".htm": "html", ".mp4": "video", ".avi": "video", ".mov": "video", ".mkv": "video", ".webm": "video",
+    ".mp3": "audio", ".wav": "audio", ".ogg": "audio", ".m4a": "audio", ".flac": "audio",
+}
+MIME_TYPES = {
+    "application/pdf": "pdf", "application/vnd.openxmlformats-officedocument.wordprocessingml.document": "docx", "application/msword": "docx", "text/html": "html", "application/xhtml+xml": "html",
+    "video/mp4": "video", "video/mpeg": "video", "video/quicktime": "video", "video/x-msvideo": "video", "video/x-matroska": "video",
+    "audio/mpeg": "audio", "audio/wav": "audio", "audio/x-wav": "audio", "audio/ogg": "audio", "audio/mp4": "audio",
+}
 
 
 def url_format(url: Column) -> Column:
@@ -127,11 +154,49 @@ def url_format(url: Column) -> Column:
     return out.when(low.startswith("http://") | low.startswith("https://"), "html").otherwise("unknown")
 
 
-def file_format(path: Column, head: Column | None = None) -> Column:
-    """Format of a file by its first bytes where given (BINARY), else by its extension."""
-    ext = F.regexp_extract(F.lower(path), r"\.[^./]+$", 0)
-    by_name = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in EXTENSIONS.items() for x in p]), F.when(ext != "", ext)), F.lit("unknown"))
+def _lookup(c: Column, table: dict[str, str]) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for p in table.items() for x in p]), c)
+
+
+def extension(path: Column) -> Column:
+    """The last suffix in lower case with its point, empty if there is none."""
+    return F.regexp_extract(F.lower(path), r"[^/](\.[^./]+)$", 1)
+
+
+def mime_type(path: Column, head: Column | None = None) -> Column:
+    """MIME type by the first bytes where given (BINARY) and known, else by the extension, else null."""
+    ends = {
+        ".pdf": "application/pdf", ".docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document", ".doc": "application/msword", ".html": "text/html", ".htm": "text/html",
+        ".mp4": "video/mp4", ".avi": "video/x-msvideo", ".mov": "video/quicktime", ".mkv": "video/x-matroska", ".webm": "video/webm",
+        ".mp3": "audio/mpeg", ".wav": "audio/x-wav", ".ogg": "audio/ogg", ".m4a": "audio/mp4", ".flac": "audio/flac",
+    }
+    by_name = _lookup(extension(path), ends)
     if head is None:
         return by_name
-    h = F.hex(F.substring(head, 1, 12))
-    return F.when(h.startswith("25504446"), "pdf").when(h.startswith("504B0304") & (ext == ".docx"), "docx").when(F.substring(h, 9, 8) == "66747970", "video").when(h.startswith("494433") | h.startswith("664C6143") | h.startswith("4F676753"), "audio").otherwise(by_name)
+    h = F.hex(F.substring(head, 1, 16))
+    text = F.lower(F.decode(F.substring(head, 1, 64), "ISO-8859-1"))
+    riff = h.startswith("52494646")
+    return (
+        F.when(h.startswith("255044462D"), "application/pdf").when(h.startswith("504B0304") & (extension(path) == ".docx"), ends[".docx"]).when(h.startswith("D0CF11E0A1B11AE1") & (extension(path) == ".doc"), ends[".doc"])
+        .when(F.substring(h, 9, 16) == "667479704D344120", "audio/mp4").when(F.substring(h, 9, 16).startswith("667479707174"), "video/quicktime").when(F.substring(h, 9, 8) == "66747970", "video/mp4")
+        .when(riff & (F.substring(h, 17, 8) == "57415645"), "audio/x-wav").when(riff & (F.substring(h, 17, 8) == "41564920"), "video/x-msvideo").when(h.startswith("1A45DFA3"), F.when(extension(path) == ".webm", "video/webm").otherwise("video/x-matroska"))
+        .when(h.startswith("494433") | h.startswith("FFFB"), "audio/mpeg").when(h.startswith("664C6143"), "audio/flac").when(h.startswith("4F676753"), "audio/ogg")
+        .when(text.rlike(r"^\s*(?:<!doctype html|<html)"), "text/html").otherwise(by_name)
+    )
+
+
+def file_format(path: Column, head: Column | None = None) -> Column:
+    """Format of a file by its first bytes where given (BINARY), else by its extension, else unknown."""
+    by_name = F.coalesce(_lookup(extension(path), EXTENSIONS), F.lit("unknown"))
+    return by_name if head is None else F.coalesce(_lookup(mime_type(path, head), MIME_TYPES), by_name)
+
+
+def format_is(path: Column, expected: Column, head: Column | None = None) -> Column:
+    return file_format(path, head) == expected
+
+
+def format_info(files: DataFrame, head: str | None = "head") -> DataFrame:
+    """(path, format, mime_type, extension, file_name, file_size) of files (path, length, head)."""
+    h = F.col(head) if head else None
+    path = F.col("path")
+    return files.select("path", file_format(path, h).alias("format"), mime_type(path, h).alias("mime_type"), extension(path).alias("extension"), F.regexp_extract(path, r"[^/]*$", 0).alias("file_name"), F.col("length").alias("file_size"))

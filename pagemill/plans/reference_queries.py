@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions.keys import raw_or_canonical_uuid
-from pagemill.operators import benchmark, chunking, export, scores, sync
+from pagemill.operators import benchmark, chunking, evaluation, export, scores, sync
 from pagemill.operators import elements as el
+from pagemill.sources import annotations, docling, files
 from pagemill.sources.tables import table
 
 
@@ -29,7 +30,8 @@ def _metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _results(spark: SparkSession, d: str) -> DataFrame:
-    return _runs(spark, d).groupBy("parser", "config").agg(F.round(F.avg("total_time"), 6).alias("time"), F.round(F.avg("quality"), 6).alias("quality"), F.round(F.avg("memory"), 6).alias("memory"), (F.count_if("success") / F.count(F.lit(1))).alias("rate"), F.count(F.lit(1)).alias("n"))
+    r = _runs(spark, d).groupBy("parser", "config").agg(F.round(F.avg("total_time"), 6).alias("time"), F.round(F.avg("quality"), 6).alias("quality"), F.round(F.avg("memory"), 6).alias("memory"), (F.count_if("success") / F.count(F.lit(1))).alias("rate"), F.count(F.lit(1)).alias("n"))
+    return r.withColumn("ord", F.concat("parser", "config"))
 
 
 def _titles(spark: SparkSession, d: str) -> DataFrame:
@@ -50,15 +52,22 @@ def _orders(spark: SparkSession, d: str, by: str) -> DataFrame:
     return li.select(F.col("l_orderkey").alias("id"), place.alias("ord"), F.col("l_partkey").alias("item"))
 
 
-def _headings(spark: SparkSession, d: str, scanned: bool) -> DataFrame:
-    """Headings by page parity stand for two parses of the same documents."""
+def _headings(spark: SparkSession, d: str, parsed: bool) -> DataFrame:
+    """Headings of all documents; as parsed, level 2 is read as 1 and titles in capitals."""
     toc = el.table_of_contents(table(spark, d, "elements"))
-    return toc.where(F.col("pos") % 2 == int(scanned)).select(F.col("doc_id").alias("id"), "level", F.regexp_extract("title", r"^\S+", 0).alias("title"))
+    level = F.when(F.lit(parsed) & (F.col("level") == 2), 1).otherwise(F.col("level"))
+    return toc.select(F.col("doc_id").alias("id"), level.alias("level"), (F.upper("title") if parsed else F.col("title")).alias("title"))
 
 
-def _cells(spark: SparkSession, d: str, side: int) -> DataFrame:
-    li = table(spark, d, "lineitem").where(F.col("l_linenumber") <= 4 + side)
-    return li.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("row"), F.lit(0).alias("col"), F.when(F.lit(side == 1), F.col("l_returnflag")).otherwise(F.col("l_linestatus")).alias("text"), (F.col("l_linenumber") <= 1 + side).alias("is_header"))
+def _cells(spark: SparkSession, d: str, parsed: bool) -> DataFrame:
+    """A table per order, a row per line; as parsed, flags are in small letters with blanks, and lines with a discount of 0.05 lack their second cell."""
+    li = table(spark, d, "lineitem")
+    cell = lambda col, text, head: F.struct(F.lit(col).alias("col"), text.alias("text"), head.alias("is_header"))
+    flag = F.col("l_returnflag") if not parsed else F.when(F.col("l_tax") < 0.04, F.concat(F.lit(" "), "l_returnflag")).otherwise(F.lower("l_returnflag"))
+    cells = F.array(cell(0, flag, F.col("l_linenumber") == 1), cell(1, F.col("l_linestatus"), F.col("l_linenumber") == (2 if parsed else 1)))
+    lines = li.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("row"), F.explode(cells).alias("c"), "l_discount")
+    lines = lines.where(~(F.lit(parsed) & (F.col("c.col") == 1) & (F.col("l_discount") == 0.05)))
+    return lines.select("id", (F.col("row") * 2 + F.col("c.col")).alias("ord"), "row", "c.col", "c.text", "c.is_header")
 
 
 def _boxes(spark: SparkSession, d: str, side: int) -> DataFrame:
@@ -73,6 +82,96 @@ def _stored_sets(spark: SparkSession, d: str) -> DataFrame:
     return s.where("document_id is not null")
 
 
+def _latest(spark: SparkSession, d: str) -> DataFrame:
+    return sync.latest_records(table(spark, d, "records"))
+
+
+def _stored_headers(spark: SparkSession, d: str) -> DataFrame:
+    """Stored sets of the chunk_sets table with labels by their strategy; those without a score can't be read."""
+    s = table(spark, d, "chunk_sets").select(raw_or_canonical_uuid(F.col("document_id")).alias("document_id"), "chunk_strategy", "trust_score", "n_chunks").where("document_id is not null")
+    s = s.groupBy("document_id").agg(F.max("chunk_strategy").alias("chunk_strategy"), F.max("trust_score").alias("score"), F.max("n_chunks").alias("total_chunks"))
+    tax = F.col("score") > 0.5
+    return s.select("document_id", F.when(tax, "Tax_Returns").alias("category"), F.when(~tax & (F.length("chunk_strategy") > 6), "lease").alias("document_type"), "total_chunks", F.col("score").isNotNull().alias("readable"))
+
+
+def _listings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Records updated in 2024 or later, and all of tax categories."""
+    r = _latest(spark, d)
+    return r.where(F.year("updated_at") >= 2024), r.where(sync.normal_label(F.col("category")).isin(*sync.TAX_CATEGORIES))
+
+
+def _synced(spark: SparkSession, d: str) -> DataFrame:
+    """A run over the listings; records deleted since are gone, and files that share their hash with an older version's changed."""
+    updated, tax = _listings(spark, d)
+    now = _latest(spark, d).where("deleted_at is null")
+    loaded = table(spark, d, "records").select(raw_or_canonical_uuid(F.col("id")).alias("id"), "version_no", "sha256").where("id is not null").groupBy("id").agg(F.min_by("sha256", "version_no").alias("sha256"))
+    return sync.sync_documents(updated, tax, _stored_sets(spark, d), now, loaded)
+
+
+def _trees(spark: SparkSession, d: str) -> DataFrame:
+    """The elements table as conversion trees, one JSON object per document."""
+    e = el.clean_elements(table(spark, d, "elements"))
+    label = F.when(F.col("type") == "title", "title").when(F.col("type") == "heading", "section_header").when(F.col("type").isin("list", "list_item"), "list_item").when(F.col("type") == "code", "code").when(F.col("type") == "formula", "formula").otherwise("text")
+    bbox = F.struct(F.lit(1.0).alias("l"), F.lit(700.0).alias("t"), F.lit(9.0).alias("r"), F.lit(650.0).alias("b"), F.lit("BOTTOMLEFT").alias("coord_origin"))
+    text = F.struct("pos", label.alias("label"), F.col("content").alias("text"), F.coalesce(F.nullif("category_depth", F.lit(0)), F.lit(1)).alias("level"), F.when(F.col("page_number") > 0, F.array(F.struct(F.col("page_number").alias("page_no"), bbox.alias("bbox")))).alias("prov"))
+    g = e.groupBy("doc_id").agg(F.sort_array(F.collect_list(text)).alias("texts"))
+    refs = F.transform(F.sequence(F.lit(1), F.size("texts")), lambda i: F.struct(F.concat(F.lit("#/texts/"), (i - 1).cast("string")).alias("$ref")))
+    page = F.struct(F.struct(F.lit(800.0).alias("height")).alias("size"))
+    pages = F.map_from_entries(F.array_distinct(F.transform(F.filter("texts", lambda t: t["prov"].isNotNull()), lambda t: F.struct(t["prov"][0]["page_no"].cast("string"), page))))
+    return g.select("doc_id", F.to_json(F.struct(F.struct(refs.alias("children")).alias("body"), "texts", pages.alias("pages"))).alias("json"))
+
+
+def _coco(spark: SparkSession, d: str) -> DataFrame:
+    """The elements' boxes as annotations in COCO form, a file per document."""
+    e = table(spark, d, "elements").where("doc_id is not null and pos is not null and bbox is not null").select("doc_id", "pos", F.lower(F.trim("element_type")).alias("type"), "bbox").distinct()
+    kinds = ("title", "paragraph", "table", "heading")
+    category = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, kinds)), F.coalesce("type", F.lit(""))), F.lit(0)), F.lit(99))
+    a = F.struct(F.col("pos").cast("bigint").alias("id"), F.lit(1).cast("bigint").alias("image_id"), category.alias("category_id"), F.array("bbox.x0", "bbox.y0", F.col("bbox.x1") - F.col("bbox.x0"), F.col("bbox.y1") - F.col("bbox.y0")).alias("bbox"), F.lit(1.0).alias("area"))
+    g = e.groupBy("doc_id").agg(F.sort_array(F.collect_list(a)).alias("annotations"))
+    doc = F.col("doc_id").cast("string")
+    split = F.concat(F.element_at(F.array(*map(F.lit, annotations.SPLITS)), (F.pmod("doc_id", F.lit(3)) + 1).cast("int")))
+    names = F.array(*(F.struct(F.lit(i + 1).cast("bigint").alias("id"), F.lit(k).alias("name")) for i, k in enumerate(kinds)))
+    # every file is a split of its own document, so ids may repeat between files
+    shift = F.col("doc_id") * 1000
+    moved = F.transform("annotations", lambda x: x.withField("image_id", x["image_id"] + shift))
+    return g.select(split.alias("split"), F.array(F.struct((shift + 1).alias("id"), F.concat(doc, F.lit(".png")).alias("file_name"))).alias("images"), moved.alias("annotations"), names.alias("categories"))
+
+
+def _annotations(spark: SparkSession, d: str) -> DataFrame:
+    return annotations.coco_annotations(_coco(spark, d))
+
+
+def _levelled(spark: SparkSession, d: str) -> DataFrame:
+    """Elements with the level of headings, for trees."""
+    e = el.clean_elements(table(spark, d, "elements")).withColumn("level", el.heading_levels(F.col("type"), F.nullif("category_depth", F.lit(0))))
+    return e.select("doc_id", "pos", "type", "content", "page_number", "level", F.when(F.col("level").isNotNull(), F.col("content")).alias("heading"))
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", F.col("source").alias("source"), F.col("document_type").alias("format"), "n_chars")
+
+
+def _failures(spark: SparkSession, d: str) -> DataFrame:
+    """Events as failed results with error messages of all kinds."""
+    e = table(spark, d, "events")
+    k = F.pmod("event_id", F.lit(6))
+    text = F.when(k == 0, F.concat(F.lit("Ground truth for "), "event_type")).when(k == 1, "file not found").when(k == 2, "bad LAYOUT").when(k == 3, "cannot Parse").when(k == 4, "Evaluation failed").otherwise(F.col("event_type"))
+    return e.select(F.col("event_type").alias("dataset"), F.lit("p").alias("parser"), F.lit(False).alias("success"), text.alias("error"))
+
+
+def _evaluated(spark: SparkSession, d: str) -> DataFrame:
+    """Elements as an evaluator takes them, their boxes a little off; documents without any box are among them."""
+    e = table(spark, d, "elements").where("doc_id is not null and pos is not null").select("doc_id", "pos", F.lower(F.trim("element_type")).alias("type"), "bbox").distinct()
+    off = F.when(F.col("bbox").isNotNull(), F.struct(*((F.col(f"bbox.{k}") + 3.0).alias(k) for k in ("x0", "y0", "x1", "y1"))))
+    return e.select(F.col("doc_id").cast("string").alias("doc_id"), "pos", "type", off.alias("bbox"))
+
+
+def _path() -> Column:
+    """Titles as file names with an ending."""
+    ends = F.array(*map(F.lit, (".PDF", ".docx", ".doc", ".webm", ".m4a", ".xyz", "")))
+    return F.concat(F.coalesce("title", F.lit("untitled")), F.element_at(ends, (F.pmod("doc_id", F.lit(7)) + 1).cast("int")))
+
+
 def _url(source: Column) -> Column:
     return F.concat(F.lit("https://files.example/"), source, F.when(F.length(source) % 3 == 0, ".pdf").when(F.length(source) % 3 == 1, ".DOCX").otherwise("?x=.pdf"))
 
@@ -82,7 +181,15 @@ _T = {
     "elements_rich_markdown": lambda s, d: el.rich_markdown_elements(table(s, d, "documents")),
     "text_block_types": lambda s, d: el.lines_of(table(s, d, "documents")).select("doc_id", "pos", el.block_type(F.col("line"), (F.col("pos") % 20).cast("double")).alias("type")),
     "url_formats": lambda s, d: table(s, d, "documents").select("doc_id", el.url_format(_url(F.col("source"))).alias("format")),
-    "file_formats": lambda s, d: table(s, d, "records").select("doc_id", "version_no", el.file_format(F.lower("title")).alias("format")).distinct(),
+    "file_formats": lambda s, d: table(s, d, "records").select("doc_id", "version_no", el.file_format(_path()).alias("format"), el.mime_type(_path()).alias("mime_type"), el.extension(_path()).alias("extension")).distinct(),
+    "format_by_bytes": lambda s, d: table(s, d, "documents").select("doc_id", el.file_format(F.lit("x.bin"), F.concat(F.when(F.pmod("doc_id", F.lit(3)) == 0, F.lit("%PDF-")).when(F.pmod("doc_id", F.lit(3)) == 1, F.lit("<html>")).otherwise(F.lit("fLaC")), F.coalesce("text", F.lit(""))).cast("binary")).alias("format")),
+    "corpus_sample": lambda s, d: files.corpus(table(s, d, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path")), 100, "sequential"),
+    "corpus_stratified": lambda s, d: files.corpus(table(s, d, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"), F.coalesce("source", F.lit("")).alias("source")), 100, "stratified", category="source").groupBy("source").agg(F.count(F.lit(1)).alias("n")),
+    "canonical_times": lambda s, d: table(s, d, "records").select("doc_id", "version_no", files.canonical_date(F.when(F.pmod("doc_id", F.lit(4)) == 0, F.date_format("document_date", "yyyy-M-d")).otherwise(F.col("document_date").cast("string"))).alias("document_date")).distinct(),
+    "docling_elements": lambda s, d: docling.docling_elements(_trees(s, d)).select("doc_id", "pos", "type", "content", "page_number", "y0", "y1", "category_depth", "section_title"),
+    "coco_annotations": lambda s, d: _r(_annotations(s, d).select("document_id", "annotation_id", "category", "x0", "y0", "x1", "y1")),
+    "true_order": lambda s, d: evaluation.true_order(_annotations(s, d)).select("id", F.col("ord.n").alias("n"), F.round("ord.by", 6).alias("by"), "item"),
+    "layout_evaluation": lambda s, d: _r(evaluation.LayoutEvaluator().evaluate(_evaluated(s, d), _annotations(s, d)), 4),
     "table_of_contents": lambda s, d: el.table_of_contents(table(s, d, "elements")),
     "parent_headings": lambda s, d: el.parents(table(s, d, "elements")),
     "estimated_confidence": lambda s, d: el.estimated_confidence(table(s, d, "elements")),
@@ -90,18 +197,21 @@ _T = {
     "section_sizes": lambda s, d: chunking.section_sizes(table(s, d, "elements")),
     "combined_sections": lambda s, d: chunking.combined_sections(table(s, d, "elements")),
     "by_title_chunks": lambda s, d: chunking.by_title_chunks(table(s, d, "elements")),
+    "by_title_pages": lambda s, d: chunking.by_title_chunks(table(s, d, "elements"), respect_pages=True),
+    "tree_chunks": lambda s, d: chunking.tree_chunks(_levelled(s, d)).withColumn("section_path", F.array_join("section_path", " > ")),
+    "heading_paths": lambda s, d: el.heading_paths(_levelled(s, d)).select("doc_id", "pos", F.array_join("path", " > ").alias("path")),
     "token_chunks": lambda s, d: chunking.token_chunks(table(s, d, "elements"), 200, 40),
     "sentence_split": lambda s, d: chunking.split_sentences(table(s, d, "documents")),
     "chunk_statistics": lambda s, d: chunking.chunk_statistics(table(s, d, "chunks")),
     "exact_copies": lambda s, d: sync.exact_copies(table(s, d, "documents")),
-    "normalized_text": lambda s, d: table(s, d, "documents").select("doc_id", F.md5(scores.normalized(F.regexp_replace("text", "[^\\x00-\\x7f]", "?"))).alias("digest")),
+    "normalized_text": lambda s, d: table(s, d, "documents").select("doc_id", F.length(scores.normalized(F.col("text"))).alias("n"), F.md5(scores.normalized(F.regexp_replace("text", "[^\\x00-\\x7f]", "?"))).alias("digest")),
     "cer": lambda s, d: _r(_ascii(_titles(s, d)).select("id", scores.cer(F.col("pred"), F.col("ref")).alias("cer"))),
-    "bleu": lambda s, d: _r(scores.bleu(_ascii(_titles(s, d)), 2)),
-    "chrf": lambda s, d: _r(scores.chrf(_ascii(_titles(s, d)))),
+    "bleu": lambda s, d: _r(scores.bleu(_titles(s, d))),
+    "chrf": lambda s, d: _r(scores.chrf(_titles(s, d))),
     "section_f1": lambda s, d: _r(scores.section_f1(_headings(s, d, True), _headings(s, d, False))),
     "reading_order_f1": lambda s, d: _r(scores.order_f1(_orders(s, d, "line"), _orders(s, d, "date"))),
     "kendall_tau": lambda s, d: _r(scores.kendall_tau(_orders(s, d, "line"), _orders(s, d, "date"))),
-    "table_scores": lambda s, d: _r(scores.table_scores(_cells(s, d, 0), _cells(s, d, 1))),
+    "table_scores": lambda s, d: _r(scores.table_scores(_cells(s, d, True), _cells(s, d, False))),
     "best_overlaps": lambda s, d: _r(scores.best_overlaps(_boxes(s, d, 0), _boxes(s, d, 1))),
     "layout_map": lambda s, d: _r(scores.layout_map(_boxes(s, d, 0), _boxes(s, d, 1))),
     "metric_summary": lambda s, d: _r(benchmark.metric_summary(_metrics(s, d))),
@@ -113,20 +223,45 @@ _T = {
     "baseline_compare": lambda s, d: _r(benchmark.compare_baselines(_runs(s, d).where("version = 1"), _runs(s, d).where("version = 2"))),
     "baseline_summary": lambda s, d: benchmark.comparison_summary(benchmark.compare_baselines(_runs(s, d).where("version = 1"), _runs(s, d).where("version = 2"))),
     "recommendations": lambda s, d: _r(benchmark.recommendations(_results(s, d))),
-    "best_configs": lambda s, d: _results(s, d).agg(F.min_by(F.concat_ws("/", "parser", "config"), F.struct("time", "parser", "config")).alias("fastest"), F.max_by(F.concat_ws("/", "parser", "config"), F.struct("quality", "parser", "config")).alias("most_accurate"), F.min_by(F.concat_ws("/", "parser", "config"), F.struct("memory", "parser", "config")).alias("least_memory")),
+    "recommendations_speed": lambda s, d: _r(benchmark.recommendations(_results(s, d), "speed")),
+    "recommendations_accuracy": lambda s, d: _r(benchmark.recommendations(_results(s, d), "accuracy")),
+    "recommended": lambda s, d: _r(benchmark.recommended(_results(s, d)).select("parser", "config", "score", "confidence", "rationale")),
+    "tradeoffs": lambda s, d: _r(benchmark.tradeoffs(_results(s, d))),
+    "compare_results": lambda s, d: _r(benchmark.compare_results(_results(s, d), _results(s, d).withColumn("time", F.col("time") * 2).where("config <> 'F'"))),
+    "significance": lambda s, d: _r(benchmark.significance(benchmark.compare_baselines(_runs(s, d).where("version = 1"), _runs(s, d).where("version = 2"))), 4),
+    "run_overview": lambda s, d: _r(benchmark.run_overview(_runs(s, d).select("parser", "success"), 7200.0)),
+    "overall_quality": lambda s, d: table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(benchmark.overall_quality("l_discount", "l_tax"), 6).alias("quality")),
+    "dataset_languages": lambda s, d: benchmark.dataset_languages(table(s, d, "documents")),
+    "value_profile": lambda s, d: _r(benchmark.value_profile(_latest(s, d).withColumn("mime_type", F.coalesce("mime_type", F.lit("unknown"))), ["mime_type"], "file_size")),
+    "compatible_baselines": lambda s, d: benchmark.compatible_baselines(table(s, d, "customer").select("c_custkey", F.when(F.col("c_nationkey") > 12, "gpu").alias("gpu_model"), F.col("c_nationkey").cast("int").alias("cpu_cores"), F.col("c_custkey").alias("total_documents")), True, 16, 500, 0.2).select("c_custkey"),
+    "failure_report": lambda s, d: benchmark.failure_report(_failures(s, d)),
+    "best_configs": lambda s, d: benchmark.best_configurations(_results(s, d)),
     "target_comparison": lambda s, d: _r(benchmark.target_comparison(benchmark.metric_summary(_metrics(s, d)).select("dataset", "parser", "metric", F.round("mean", 6).alias("mean")), s.createDataFrame([("quality", 0.05), ("time_error", 26.0)], "metric string, target double"))),
-    "failure_categories": lambda s, d: table(s, d, "events").select(benchmark.failure_category(F.concat(F.col("event_type"), F.when(F.col("event_id") % 5 == 0, " timed out").when(F.col("event_id") % 5 == 1, " unsupported").otherwise(""))).alias("category")).groupBy("category").agg(F.count(F.lit(1)).alias("n")),
+    "failure_categories": lambda s, d: _failures(s, d).groupBy(benchmark.failure_category(F.col("error")).alias("category")).agg(F.count(F.lit(1)).alias("n")),
     "first_success": lambda s, d: benchmark.first_success(table(s, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("int").alias("priority"), F.col("l_returnflag").alias("parser"), (F.col("l_quantity") > 30).alias("success"))),
     "image_resolution": lambda s, d: _r(benchmark.image_resolution(table(s, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_partkey").alias("px_w"), F.col("l_suppkey").alias("px_h"), (F.col("l_quantity") * 10).cast("double").alias("pt_w"), (F.col("l_quantity") * 12).cast("double").alias("pt_h")))),
     "scan_class": lambda s, d: benchmark.scan_class(table(s, d, "elements").select("doc_id", "pos", "page_number", "content").distinct().where("page_number > 0").groupBy("doc_id", F.col("page_number").alias("page")).agg(F.sum(F.length("content")).alias("n_chars"))),
     "requests_in_window": lambda s, d: benchmark.requests_in_window(table(s, d, "events"), 3600),
     "latest_records": lambda s, d: sync.latest_records(table(s, d, "records")).select("id", "version_no", "doc_id", "title"),
-    "consent_actions": lambda s, d: sync.consent_actions(sync.latest_records(table(s, d, "records")), _stored_sets(s, d)),
+    "consent_actions": lambda s, d: sync.consent_actions(_latest(s, d), _stored_sets(s, d)),
+    "tax_returns": lambda s, d: _latest(s, d).select("id", sync.is_tax_return(F.col("category"), F.col("document_type")).alias("is_tax_return")),
+    "merged_listings": lambda s, d: sync.merged_listings(*_listings(s, d)).select("id", "version_no", "in_updated"),
+    "chunk_set_headers": lambda s, d: sync.chunk_sets(_latest(s, d), table(s, d, "chunks"))[0].select("document_id", "trace_id", "total_chunks", "consent_on_file", "error"),
+    "chunk_set_entries": lambda s, d: sync.chunk_sets(_latest(s, d), table(s, d, "chunks"))[1].select("document_id", "chunk_index", "chunk_id", "start_page", "end_page", "token_count", "is_confidential"),
+    "chunk_set_files": lambda s, d: sync.set_files(*sync.chunk_sets(_latest(s, d), table(s, d, "chunks"))),
+    "withdrawn_sets": lambda s, d: sync.withdrawn_sets(_latest(s, d)).select("document_id", "trace_id", "is_confidential", "consent_on_file", "total_chunks"),
+    "stored_consent": lambda s, d: sync.stored_consent(*sync.chunk_sets(_latest(s, d), table(s, d, "chunks"))),
+    "stored_tax_ids": lambda s, d: sync.stored_tax_ids(_stored_headers(s, d)),
+    "withdraw_deleted": lambda s, d: sync.withdraw_deleted(_stored_headers(s, d), _latest(s, d).where("deleted_at is not null").select(F.col("id").alias("document_id"))),
+    "sync_documents": lambda s, d: _synced(s, d),
+    "run_report": lambda s, d: sync.run_report(_synced(s, d), _listings(s, d)[0]),
     "sync_report": lambda s, d: sync.sync_report(sync.consent_actions(sync.latest_records(table(s, d, "records")), _stored_sets(s, d))),
     "unreached_sets": lambda s, d: sync.unreached_sets(table(s, d, "chunk_sets"), table(s, d, "records")),
     "chunk_ids": lambda s, d: sync.chunk_ids(table(s, d, "chunks")),
-    "export_markdown": lambda s, d: export.to_markdown(table(s, d, "elements")).select("doc_id", "part", F.md5("markdown").alias("digest")),
-    "export_text": lambda s, d: export.to_text(table(s, d, "elements")).select("doc_id", "part", F.md5("text").alias("digest")),
+    "export_markdown": lambda s, d: export.to_markdown(table(s, d, "elements")).select("doc_id", F.md5("markdown").alias("digest")),
+    "front_matter": lambda s, d: export.front_matter(_documents(s, d), ["source", "format", "n_chars"]),
+    "documents_json": lambda s, d: export.documents_json(_latest(s, d).select("doc_id", "title", "category"), table(s, d, "elements"), table(s, d, "chunks")),
+    "export_text": lambda s, d: export.to_text(table(s, d, "elements")).select("doc_id", F.md5("text").alias("digest")),
     "export_json": lambda s, d: export.to_json_rows(table(s, d, "elements")),
 }
 QUERIES = dict(_T)
