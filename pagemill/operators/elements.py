@@ -103,7 +103,7 @@ def heading_paths(items: DataFrame, levels: int = 10) -> DataFrame:
     level is null for other items, and that of headings under ``levels`` (deeper ones count as the deepest). A heading closes those of its level and below, so the
     last heading of a level is open where none of a lower level came after it: running maxima, however long a document is.
     """
-    level = F.least(F.greatest(F.col("level"), F.lit(0)), F.lit(levels - 1))
+    level = F.when(F.col("level").isNotNull(), F.least(F.greatest(F.col("level"), F.lit(0)), F.lit(levels - 1)))
     last = {f"l{k}": ("max", F.when(level == k, F.struct(F.col("pos").alias("pos"), F.col("heading").alias("heading")))) for k in range(levels)}
     r = running(items, "doc_id", "pos", **last)
     place = lambda k: F.coalesce(F.col(f"l{k}.pos"), F.lit(-1))

@@ -65,9 +65,9 @@ def _cells(spark: SparkSession, d: str, parsed: bool) -> DataFrame:
     cell = lambda col, text, head: F.struct(F.lit(col).alias("col"), text.alias("text"), head.alias("is_header"))
     flag = F.col("l_returnflag") if not parsed else F.when(F.col("l_tax") < 0.04, F.concat(F.lit(" "), "l_returnflag")).otherwise(F.lower("l_returnflag"))
     cells = F.array(cell(0, flag, F.col("l_linenumber") == 1), cell(1, F.col("l_linestatus"), F.col("l_linenumber") == (2 if parsed else 1)))
-    lines = li.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("row"), F.explode(cells).alias("c"), "l_discount")
+    lines = li.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("row"), F.explode(cells).alias("c"), "l_discount", "l_partkey", "l_suppkey")
     lines = lines.where(~(F.lit(parsed) & (F.col("c.col") == 1) & (F.col("l_discount") == 0.05)))
-    return lines.select("id", (F.col("row") * 2 + F.col("c.col")).alias("ord"), "row", "c.col", "c.text", "c.is_header")
+    return lines.select("id", (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("ord"), "row", "c.col", "c.text", "c.is_header")
 
 
 def _boxes(spark: SparkSession, d: str, side: int) -> DataFrame:
@@ -254,7 +254,7 @@ _T = {
     "stored_tax_ids": lambda s, d: sync.stored_tax_ids(_stored_headers(s, d)),
     "withdraw_deleted": lambda s, d: sync.withdraw_deleted(_stored_headers(s, d), _latest(s, d).where("deleted_at is not null").select(F.col("id").alias("document_id"))),
     "sync_documents": lambda s, d: _synced(s, d),
-    "run_report": lambda s, d: sync.run_report(_synced(s, d), _listings(s, d)[0]),
+    "run_report": lambda s, d: sync.run_report(_synced(s, d), _listings(s, d)[0]).withColumn("newest_updated_at", F.date_format("newest_updated_at", "yyyy-MM-dd HH:mm:ss")),
     "sync_report": lambda s, d: sync.sync_report(sync.consent_actions(sync.latest_records(table(s, d, "records")), _stored_sets(s, d))),
     "unreached_sets": lambda s, d: sync.unreached_sets(table(s, d, "chunk_sets"), table(s, d, "records")),
     "chunk_ids": lambda s, d: sync.chunk_ids(table(s, d, "chunks")),
@@ -283,10 +283,11 @@ _SIZES = f"{_SECT}, z as (select doc_id, section, count(*) n_elements, cast(sum(
 _PAIRS = f"{_LATEST}, p as (select id, regexp_replace(lower(title), '[^ -~]', '?', 'g') pred, regexp_replace(lower(concat_ws(' ', category, document_type, cast(year(document_date) as varchar))), '[^ -~]', '?', 'g') ref from r where title is not null)"
 _CMP = _RUN + ", g as (select parser, config, version v, count(*) n, avg(total_time) m, var_samp(total_time) s from runs group by all), c as (select a.parser, a.config, a.m mean_1, b.m mean_2, case when a.m > 0 then (b.m - a.m) / a.m * 100 else 0 end change, (a.m - b.m) / sqrt(((a.n - 1) * a.s + (b.n - 1) * b.s) / (a.n + b.n - 2) * (1.0 / a.n + 1.0 / b.n)) t, a.n + b.n - 2 df from g a join g b using (parser, config) where a.v = 1 and b.v = 2)"
 _RES = _RUN + ", res as (select parser, config, round(avg(total_time), 6) as \"time\", round(avg(quality), 6) quality, round(avg(memory), 6) memory, count(*) filter (success) / count(*) rate, count(*) n from runs group by all)"
-_TAX = "(coalesce(trim(regexp_replace(lower(translate({0}, '_-', '  ')), '\\s+', ' ', 'g')) in ('tax return', 'tax returns'), false))"
-_CONS = f"{_LATEST}, st as (select {_UU('document_id')} id, bool_and(coalesce(trust_score > 0.5, false)) stored from chunk_sets where {_UU('document_id')} is not null group by 1), act as (select r.id, case when not ({_TAX.format('category')} or {_TAX.format('document_type')}) then 'NOT_REQUIRED' when consent_on_file is not distinct from true and stored is not distinct from true then 'UNCHANGED' when consent_on_file is not distinct from true then 'CHUNK' when stored is null then 'SKIP' else 'WITHDRAWN' end \"action\" from r left join st on r.id = st.id)"
+_LABEL = "trim(regexp_replace(lower(translate({0}, '_-', '  ')), '\\s+', ' ', 'g'))"
+_TAX = f"(coalesce({_LABEL.format('category')} in ('tax return', 'tax returns'), false) or coalesce({_LABEL.format('document_type')} in ('tax return', 'tax election'), false))"
+_CONS = f"{_LATEST}, st as (select {_UU('document_id')} id, bool_and(coalesce(trust_score > 0.5, false)) stored from chunk_sets where {_UU('document_id')} is not null group by 1), act as (select r.id, case when not {_TAX} then 'not_required' when consent_on_file is not distinct from true and stored is not distinct from true then 'unchanged' when consent_on_file is not distinct from true then 'chunk' when stored is null then 'skip' else 'withdrawn' end \"action\" from r left join st on r.id = st.id)"
 _ORD = "a as (select l_orderkey id, cast(l_linenumber as bigint) ord, l_partkey item from lineitem), b as (select l_orderkey id, cast(epoch(l_shipdate) as bigint) * 8 + l_linenumber ord, l_partkey item from lineitem)"
-_MD = "case when type in ('title','heading') then repeat('#', least(greatest(coalesce(category_depth, 1), 1), 6)::int) || ' ' || content when type in ('list','list_item') then '- ' || content when type = 'code' then '```' || chr(10) || content || chr(10) || '```' when type = 'formula' then '$$' || content || '$$' when type = 'image' then '![' || content || '](image)' when type = 'caption' then '*' || content || '*' else content end"
+_MD = "case when type in ('title','heading') then repeat('#', least(coalesce(nullif(category_depth, 0), 1), 6)::int) || ' ' || content when type = 'list_item' then '- ' || content when type = 'table' then chr(10) || content when type in ('code_snippet', 'code') then '```' || chr(10) || content || chr(10) || '```' when type = 'formula' then '$$' || content || '$$' when type = 'image' then '![' || content || '](image)' when type in ('figure_caption', 'caption') then '*' || content || '*' else content end"
 _BOX = "b as (select distinct doc_id, pos, coalesce(page_number, 0) page, bbox from elements where bbox is not null and doc_id is not null and pos is not null), p as (select doc_id || '/' || page id, pos, bbox.x0 x0, bbox.y0 y0, bbox.x1 x1, bbox.y1 y1 from b), t as (select id, pos, x0 + 5 x0, y0 + 5 y0, x1 + 5 x1, y1 + 10 y1 from p)"
 
 ORACLES = {
@@ -302,9 +303,7 @@ ORACLES = {
     "sentence_split": f"select doc_id, cast(i - 1 as int) sentence_no, case when s like '%.' then s else s || '.' end sentence from (select doc_id, i, {_STRIP('x[i]')} s from (select doc_id, string_split(text, '. ') x from documents where text is not null), unnest(range(1, len(x) + 1)) t(i)) where s <> ''",
     "chunk_statistics": f"select chunk_type, count(*) n_chunks, cast(sum(n) as bigint) n_tokens, round(avg(n), 6) mean_tokens from (select distinct chunk_id, coalesce(lower(trim(chunk_type)), 'unknown') chunk_type, content, {_WORDS('content')} n from chunks) group by 1",
     "exact_copies": "select doc_id, case when text is null then doc_id else min(doc_id) over (partition by sha256(text)) end first_doc_id, case when text is null then false else min(doc_id) over (partition by sha256(text)) <> doc_id end is_duplicate from documents",
-    "normalized_text": "select doc_id, md5(trim(regexp_replace(lower(regexp_replace(text, '[^\\x00-\\x7f]', '?', 'g')), '[\\s\\x0b]+', ' ', 'g'))) digest from documents",
     "cer": f"with {_PAIRS} select id, round(case when length(ref) = 0 then case when length(pred) > 0 then 1.0 else 0.0 end else levenshtein(pred, ref) / length(ref) end, 6) cer from p",
-    "kendall_tau": f"with {_ORD}, x as (select id, item, max(ord) x from a group by all), y as (select id, item, max(ord) y from b group by all), j as (select * from x join y using (id, item)), t as (select p.id, avg(sign((p.x - q.x) * (p.y - q.y))) tau from j p join j q on p.id = q.id and p.item < q.item group by 1) select id, round(coalesce(tau, 0), 6) tau from (select distinct id from j) left join t using (id)",
     "reading_order_f1": f"with {_ORD}, p as (select id, item, row_number() over (partition by id order by ord, item) k from a), q as (select id, item, row_number() over (partition by id order by ord, item) k from b) select id, round(count(*) filter (p.item = q.item) / count(*), 6) f1 from p join q using (id, k) group by 1",
     "best_overlaps": f"with {_BOX}, j as (select p.id, p.pos ord, t.pos match_ord, greatest(least(p.x1, t.x1) - greatest(p.x0, t.x0), 0) * greatest(least(p.y1, t.y1) - greatest(p.y0, t.y0), 0) i, (p.x1 - p.x0) * (p.y1 - p.y0) + (t.x1 - t.x0) * (t.y1 - t.y0) u from p join t using (id) where p.x0 < t.x1 and t.x0 < p.x1 and p.y0 < t.y1 and t.y0 < p.y1), k as (select id, ord, match_ord, round(i / (u - i), 9) iou from j where u - i <> 0), b2 as (select *, row_number() over (partition by id, ord order by iou desc, match_ord) rn from k where iou > 0.3) select id, ord, match_ord, round(iou, 6) iou from b2 where rn = 1",
     "metric_summary": f"with {_MET}, {_SUMM} select dataset, parser, metric, round(mean, 6) mean, round(std, 6) std, round(least, 6) \"least\", round(most, 6) most, n, round(success_rate, 6) success_rate from s",
@@ -315,10 +314,7 @@ ORACLES = {
     "dataset_hash": "select substr(sha256((select count(*) from documents) || ':' || string_agg(i, ':' order by i)), 1, 16) dataset_hash from (select cast(doc_id as varchar) i from documents order by 1 limit 100)",
     "baseline_compare": f"with {_CMP} select parser, config, round(mean_1, 6) mean_1, round(mean_2, 6) mean_2, round(change, 6) change, round(t, 6) t, df from c",
     "baseline_summary": f"with {_CMP} select count(*) filter (change < 0) improved, count(*) filter (change > 0) regressed, round(avg(change), 2) mean_change from c",
-    "recommendations": f"with {_RES} select parser, config, round(sqrt(1 / (time + 0.1) * coalesce(quality, 0.5)), 6) score, round(rate * least(1.0, n / 100), 6) confidence from res",
-    "best_configs": f"with {_RES} select (select parser || '/' || config from res order by time, parser, config limit 1) fastest, (select parser || '/' || config from res order by quality desc, parser desc, config desc limit 1) most_accurate, (select parser || '/' || config from res order by memory, parser, config limit 1) least_memory",
     "target_comparison": f"with {_MET}, {_SUMM}, t as (select * from (values ('quality', 0.05), ('time_error', 26.0)) x(metric, target)), d as (select dataset, parser, metric, round(mean, 6) mean, cast(target as double) target, case when metric like '%error%' then target - round(mean, 6) else round(mean, 6) - target end delta from s join t using (metric)) select dataset, parser, metric, mean, target, round(delta, 6) delta, delta >= 0 meets from d",
-    "failure_categories": "select case when event_type is null then 'none' when lower(event_type) like '%timeout%' or event_id % 5 = 0 then 'timeout' when lower(event_type) like '%memory%' then 'memory' when event_id % 5 = 1 then 'format' else 'other' end category, count(*) n from events group by 1",
     "first_success": "select l_orderkey doc_id, arg_min(l_returnflag, l_linenumber * 256 + ascii(l_returnflag)) filter (l_quantity > 30) parser, cast(min(l_linenumber) filter (l_quantity > 30) as int) priority from lineitem group by 1",
     "image_resolution": "with x as (select l_orderkey doc_id, l_partkey * 72.0 / (l_quantity * 10) w, l_suppkey * 72.0 / (l_quantity * 12) h from lineitem) select doc_id, round(min(least(w, h)), 6) \"least\", round(avg((w + h) / 2), 6) mean, round(max(greatest(w, h)), 6) most, count(*) filter (least(w, h) < 150) n_low, min(least(w, h)) < 150 needs_upscaling from x group by 1",
     "scan_class": "with p as (select doc_id, page_number page, sum(length(content)) n from (select distinct doc_id, pos, page_number, content from elements) where page_number > 0 group by all), m as (select doc_id, avg(n) a from p where page <= 3 group by 1) select doc_id, case when a > 500 then 'digital' when a > 100 then 'hybrid' else 'scanned' end kind, cast(case when a > 500 then .3 when a > 100 then .6 else .9 end as double) complexity from m",
@@ -327,6 +323,99 @@ ORACLES = {
     "consent_actions": f"with {_CONS} select * from act",
     "sync_report": f"with {_CONS} select \"action\", count(*) n from act group by 1",
     "unreached_sets": f"select distinct {_UU('document_id')} document_id from chunk_sets where {_UU('document_id')} is not null and {_UU('document_id')} not in (select {_UU('id')} from records where {_UU('id')} is not null)",
-    "export_markdown": f"with {_EL} select doc_id, cast(floor(pos / 10000) as int) part, md5(string_agg({_MD}, chr(10) || chr(10) order by pos)) digest from e group by 1, 2",
-    "export_text": f"with {_EL} select doc_id, cast(floor(pos / 10000) as int) part, md5(string_agg(content, chr(10) || chr(10) order by pos)) digest from e group by 1, 2",
+}
+
+_UUID5 = lambda name: "(select lower(substr(h,1,8)||'-'||substr(h,9,4)||'-5'||substr(h,14,3)||'-'||substr('89ab', (strpos('0123456789abcdef', substr(h,17,1)) - 1) % 4 + 1, 1)||substr(h,18,3)||'-'||substr(h,21,12)) from (select sha1(unhex('" + sync.ID_NAMESPACE + f"') || encode({name})) h))"
+_CHUNKS = "c as (select distinct doc_id, chunk_index, content, start_page, end_page from chunks where doc_id is not null and chunk_index is not null)"
+_BADPAGE = "(start_page is null or end_page is null or start_page < 1 or end_page < start_page)"
+_BLANK = lambda c: f"coalesce({_STRIP(c)}, '') = ''"
+_SETS = (
+    f"{_LATEST}, {_CHUNKS}, pg as (select doc_id, count(*) n, min(case when {_BADPAGE} then chunk_index end) bad from c group by 1), "
+    f"hd as (select r.id document_id, r.doc_id, coalesce(consent_on_file, false) consent_on_file, is_confidential, n, case when not regexp_matches(r.id, '^[0-9a-f]{{8}}-[0-9a-f]{{4}}-[0-9a-f]{{4}}-[0-9a-f]{{4}}-[0-9a-f]{{12}}$') then 'document_id must be a UUID' "
+    f"when {_BLANK('entity_id')} then 'Document field entity_id must be a non-empty string' when {_BLANK('sha256')} then 'Document field sha256 must be a non-empty string' when is_confidential is null then 'Document field is_confidential must be a boolean' "
+    f"when {_TAX} and consent_on_file is distinct from true then 'tax return without consent on file' when bad is not null then 'Chunk ' || bad || ' has no valid page range' end error from r left join pg on r.doc_id = pg.doc_id)"
+)
+_HS = f"hs as (select {_UU('document_id')} document_id, max(chunk_strategy) st, max(trust_score) score, max(n_chunks) total_chunks from chunk_sets where {_UU('document_id')} is not null group by 1), sh as (select document_id, case when score > 0.5 then 'Tax_Returns' end category, case when score <= 0.5 and length(st) > 6 then 'lease' end document_type, total_chunks, score is not null readable from hs)"
+_LISTS = f"{_LATEST}, up as (select * from r where year(updated_at) >= 2024), tx as (select * from r where {_LABEL.format('category')} in ('tax return', 'tax returns')), ml as (select *, true in_updated from up union all select *, false from tx where id not in (select id from up))"
+_SHA = lambda c: f"(select case when length(k) = 64 and k <> repeat('0', 64) and k <> 'e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855' then k end from (select regexp_replace(regexp_replace(lower(trim({c})), '^sha-?256:', ''), '[^0-9a-f]', '', 'g') k))"
+_ACT = f"case when not {_TAX} then 'not_required' when consent_on_file is not distinct from true and stored is not distinct from true then 'unchanged' when consent_on_file is not distinct from true then 'chunk' when stored is null then 'skip' else 'withdrawn' end"
+_SYNC = (
+    f"{_LISTS}, st as (select {_UU('document_id')} id, bool_and(coalesce(trust_score > 0.5, false)) stored from chunk_sets where {_UU('document_id')} is not null group by 1), "
+    f"act as (select ml.*, {_ACT} a from ml left join st using (id)), fi as (select {_UU('id')} id, arg_min(coalesce(sha256, ''), version_no) fs from records where {_UU('id')} is not null group by 1), "
+    f"j as (select act.id, a, in_updated, act.updated_at, n.id is not null there, n.updated_at now_at, {_SHA('n.sha256')} ns, {_SHA('fs')} fs, {_TAX.replace('category', 'act.category').replace('document_type', 'act.document_type')} tax from act left join (select * from r where deleted_at is null) n using (id) left join fi using (id)), "
+    "o as (select id, case when a in ('withdrawn', 'skip') then case a when 'skip' then 'skipped' else a end when not in_updated and a <> 'chunk' then 'unchanged' when not there then case when tax then 'withdrawn' else 'skipped' end when now_at <> updated_at or ns <> fs then 'failed' else 'chunked' end outcome, "
+    "case when now_at <> updated_at then 'the record changed while the file was converted; it will be retried next run' when ns <> fs then 'the file changed after its record was read; it will be retried next run' end why from j)"
+)
+_LEVEL = "case when type = 'title' then 0 when type = 'heading' then coalesce(nullif(category_depth, 0), 1) end"
+_PATHS = (
+    f"{_EL}, lv as (select doc_id, pos, content, greatest(0, least(9, {_LEVEL})) lev, {_LEVEL} is not null hd from e), hh as (select * from lv where hd), "
+    "op as (select i.doc_id, i.pos, h.pos hpos, h.lev, h.content from lv i join hh h on h.doc_id = i.doc_id and h.pos <= i.pos where not exists (select 1 from hh x where x.doc_id = i.doc_id and x.pos > h.pos and x.pos <= i.pos and x.lev <= h.lev)), "
+    "pa as (select lv.doc_id, lv.pos, coalesce(string_agg(op.content, ' > ' order by op.lev), '') path from lv left join op using (doc_id, pos) group by all)"
+)
+_FAIL = "fe as (select event_type dataset, case event_id % 6 when 0 then 'Ground truth for ' || event_type when 1 then 'file not found' when 2 then 'bad LAYOUT' when 3 then 'cannot Parse' when 4 then 'Evaluation failed' else event_type end msg from events), fc as (select dataset, case when msg is null then 'Unknown error' when contains(msg, 'Ground truth') or contains(msg, 'not found') then 'Missing ground truth' when contains(lower(msg), 'layout') then 'Layout detection error' when contains(lower(msg), 'parsing') or contains(lower(msg), 'parse') then 'Parsing error' when contains(lower(msg), 'evaluation') then 'Evaluation error' else substr(msg, 1, 60) end category from fe)"
+_RSC = f"{_RES}, o as (select *, parser || config ord from res)"
+_SCORED = "select parser, config, round({0}, 6) score, round(rate * least(1.0, n / 100), 2) confidence from o"
+_COMB = f"{_SIZES}, y as (select *, n_chars < 200 small, coalesce(lag(n_chars < 200) over (partition by doc_id order by section), false) before from z), cb as (select doc_id, section, sum(case when small and before then 0 else 1 end) over (partition by doc_id order by section) combined from y), se as (select s.*, cb.combined, {_WORDS('content')} n, coalesce(page_number, 0) page, row_number() over (partition by s.doc_id, combined order by pos) k from s join cb using (doc_id, section) where type <> 'table'), st as (select s.*, cb.combined from s join cb using (doc_id, section) where type = 'table')"
+_PACK = lambda turn: (
+    f"with recursive {_COMB}, "
+    "p as (select doc_id, combined, k, pos, n cur, 0 g, case when page <> 0 then page else 0 end page, n > 120 shut from se where k = 1 "
+    f"union all select q.doc_id, q.combined, q.k, q.pos, case when p.shut or p.cur + q.n > 120 {turn} then q.n else p.cur + q.n end, p.g + case when p.shut or p.cur + q.n > 120 {turn} then 1 else 0 end, case when q.page <> 0 then q.page else p.page end, q.n > 120 from p join se q on q.doc_id = p.doc_id and q.combined = p.combined and q.k = p.k + 1), "
+    f"x as (select se.doc_id, se.combined, p.g, min(se.pos) pos, 'text' ct, string_agg(content, chr(10) || chr(10) order by se.pos) content, min(page_number) start_page, max(page_number) end_page, arg_min(content, se.pos) filter ({_HEAD}) section_title from se join p using (doc_id, combined, k) group by all "
+    "union all select doc_id, combined, 1 << 30, pos, 'table', content, page_number, page_number, null from st) "
+    f"select doc_id, cast(row_number() over (partition by doc_id order by combined, g, pos) - 1 as int) chunk_index, cast(count(*) over (partition by doc_id) as int) total_chunks, ct chunk_type, section_title, start_page, end_page, cast({_WORDS('content')} as int) token_count, content from x"
+)
+_TURN = "or (p.page <> 0 and q.page <> 0 and p.page <> q.page)"
+_ENDS = "coalesce(title, 'untitled') || (['.PDF', '.docx', '.doc', '.webm', '.m4a', '.xyz', ''])[doc_id % 7 + 1]"
+_EXT = f"regexp_extract(lower({_ENDS}), '[^/](\\.[^./]+)$', 1)"
+_KINDS = "case {0} when '.pdf' then 'pdf' when '.docx' then 'docx' when '.doc' then 'docx' when '.html' then 'html' when '.htm' then 'html' when '.mp4' then 'video' when '.avi' then 'video' when '.mov' then 'video' when '.mkv' then 'video' when '.webm' then 'video' when '.mp3' then 'audio' when '.wav' then 'audio' when '.ogg' then 'audio' when '.m4a' then 'audio' when '.flac' then 'audio' else 'unknown' end"
+_ANN = "b as (select distinct doc_id, pos, lower(trim(element_type)) type, bbox from elements where bbox is not null and doc_id is not null and pos is not null), an as (select cast(doc_id as varchar) document_id, row_number() over (partition by doc_id order by pos, ty) - 1 ord, cast(pos as varchar) annotation_id, case when type in ('title', 'paragraph', 'table', 'heading') then type else 'unknown' end category, bbox.x0 x0, bbox.y0 y0, bbox.x0 + (bbox.x1 - bbox.x0) x1, bbox.y0 + (bbox.y1 - bbox.y0) y1 from (select *, coalesce(type, '') ty from b))"
+
+ORACLES |= {
+    "normalized_text": "select doc_id, cast(length(n) as int) n, md5(trim(regexp_replace(lower(regexp_replace(text, '[^\\x00-\\x7f]', '?', 'g')), '[\\s\\x0b]+', ' ', 'g'))) digest from (select *, trim(regexp_replace(lower(text), '[\\s\\x0b\\x85\\p{Z}]+', ' ', 'g')) n from documents)",
+    "kendall_tau": f"with {_ORD}, x as (select id, item, max(ord) x from a group by all), y as (select id, item, max(ord) y from b group by all), j as (select * from x join y using (id, item)), t as (select p.id, avg(sign(p.x - q.x) * sign(p.y - q.y)) tau from j p join j q on p.id = q.id and p.item < q.item group by 1) select id, round(coalesce(tau, 0), 6) tau from (select distinct id from j) left join t using (id)",
+    "recommendations": f"with {_RSC} " + _SCORED.format("sqrt(1 / (time + 0.1) * coalesce(quality, 0.5))"),
+    "recommendations_speed": f"with {_RSC} " + _SCORED.format("1 / (time + 0.1)"),
+    "recommendations_accuracy": f"with {_RSC} " + _SCORED.format("coalesce(quality, 0.5)"),
+    "recommended": f"with {_RSC} select parser, config, round(sqrt(1 / (time + 0.1) * coalesce(quality, 0.5)), 6) score, round(rate * least(1.0, n / 100), 2) confidence, parser || ' with ' || config || ' achieves ' || printf('%.2f', time) || 's avg processing time ' || case when quality <> 0 then 'with ' || printf('%.2f', quality) || ' quality score' else '' end rationale from o order by score desc, ord limit 1",
+    "tradeoffs": f"with {_RES} select config configuration, parser, round(time, 6) speed, round(coalesce(quality, 0), 6) quality, round(memory, 6) memory from res",
+    "compare_results": f"with {_RES} select parser, config, round(time, 6) time_1, round(time * 2, 6) time_2, round(memory, 6) memory_1, round(memory, 6) memory_2, round(quality, 6) quality_1, round(quality, 6) quality_2, 100.0 time_change, 0.0 memory_change, 0.0 quality_change from res where config <> 'F'",
+    "run_overview": "select count(*) total_documents, count(*) filter (l_linenumber <> 7) total_successful, count(*) filter (l_linenumber = 7) total_failed, round(count(*) filter (l_linenumber <> 7) / count(*), 6) success_rate, round(count(*) filter (l_linenumber = 7) / count(*), 6) failure_rate, round(count(*) / 7200.0 * 3600, 6) docs_per_hour from lineitem",
+    "overall_quality": "select l_orderkey, l_linenumber, round((cast(l_discount as double) + cast(l_tax as double)) / 2, 6) quality from lineitem",
+    "dataset_languages": "select coalesce(lang, 'unknown') lang, count(*) n from documents group by 1",
+    "value_profile": f"with {_LATEST}, v as (select coalesce(mime_type, 'unknown') mime_type, list_sort(list(file_size)) s, avg(file_size) mean, count(*) n from r where file_size is not null group by 1) select mime_type, n, s[cast(floor(n / 2) as int) + 1] median, s[case when n > 20 then cast(floor(n * 0.95) as int) else n - 1 end + 1] p95, round(mean, 6) mean from v",
+    "compatible_baselines": "select c_custkey from customer where c_nationkey > 12 and abs(c_nationkey - 16) / greatest(c_nationkey, 16) <= 0.2 and abs(c_custkey - 500) / greatest(c_custkey, 500) <= 0.2",
+    "best_configs": f"with {_RSC} select (select parser || '/' || config from o order by time, ord limit 1) fastest, (select parser || '/' || config from o where quality > 0 order by quality desc, ord limit 1) most_accurate, (select parser || '/' || config from o order by memory, ord limit 1) least_memory",
+    "failure_categories": f"with {_FAIL} select category, count(*) n from fc group by 1",
+    "failure_report": f"with {_FAIL}, k as (select dataset, 'p' parser, category, count(*) n from fc group by 1, 3) select * exclude (q) from (select *, row_number() over (partition by dataset order by n desc, category) q from k) where q <= 10",
+    "export_markdown": f"with {_EL} select doc_id, md5(string_agg({_MD} || chr(10), chr(10) order by pos)) digest from e group by 1",
+    "export_text": f"with {_EL} select doc_id, md5(string_agg(content, chr(10) || chr(10) order by pos)) digest from e group by 1",
+    "front_matter": "select doc_id, '---' || chr(10) || 'source: ' || coalesce('\"' || source || '\"', 'null') || chr(10) || 'format: ' || coalesce('\"' || document_type || '\"', 'null') || chr(10) || 'n_chars: ' || coalesce(cast(n_chars as varchar), 'null') || chr(10) || '---' || chr(10) front from documents",
+    "tax_returns": f"with {_LATEST} select id, {_TAX} is_tax_return from r",
+    "merged_listings": f"with {_LISTS} select id, version_no, in_updated from ml",
+    "chunk_ids": f"with {_CHUNKS} select doc_id, chunk_index, {_UUID5(chr(39) + 'chunk:' + chr(39) + ' || doc_id || ' + chr(39) + ':' + chr(39) + ' || chunk_index || ' + chr(39) + ':' + chr(39) + ' || coalesce(content, ' + chr(39) * 2 + ')')} chunk_uuid, {_UUID5(chr(39) + 'trace:' + chr(39) + ' || doc_id')} trace_uuid from c",
+    "chunk_set_headers": f"with {_SETS} select document_id, {_UUID5(chr(39) + 'trace:' + chr(39) + ' || document_id')} trace_id, case when error is null then coalesce(n, 0) end total_chunks, consent_on_file, error from hd",
+    "chunk_set_entries": f"with {_SETS} select document_id, chunk_index, {_UUID5(chr(39) + 'chunk:' + chr(39) + ' || document_id || ' + chr(39) + ':' + chr(39) + ' || chunk_index || ' + chr(39) + ':' + chr(39) + ' || coalesce(content, ' + chr(39) * 2 + ')')} chunk_id, start_page, end_page, cast(coalesce({_WORDS('content')}, 0) as int) token_count, is_confidential from hd join c using (doc_id) where error is null",
+    "withdrawn_sets": f"with {_LATEST} select id document_id, {_UUID5(chr(39) + 'trace:' + chr(39) + ' || id')} trace_id, is_confidential is distinct from false is_confidential, false consent_on_file, 0 total_chunks from r",
+    "stored_consent": f"with {_SETS} select document_id, consent_on_file consent from hd",
+    "stored_tax_ids": f"with {_HS} select document_id from sh where not readable or {_TAX}",
+    "withdraw_deleted": f"with {_LATEST}, {_HS} select id document_id, case when sh.document_id is null then 'skip' when not readable or {_TAX.replace('category', 'sh.category').replace('document_type', 'sh.document_type')} or (sh.category is null and sh.document_type is null and coalesce(total_chunks, 0) = 0) then 'withdrawn' end \"action\", case when not (sh.document_id is null or not readable or {_TAX.replace('category', 'sh.category').replace('document_type', 'sh.document_type')} or (sh.category is null and sh.document_type is null and coalesce(total_chunks, 0) = 0)) then 'the stored chunk set is not a tax return, so it was not replaced' end error from r left join sh on sh.document_id = r.id where deleted_at is not null",
+    "sync_documents": f"with {_SYNC} select id, outcome, case when outcome = 'failed' then why end error from o",
+    "run_report": f"with {_SYNC} select count(*) filter (outcome = 'chunked') chunked, count(*) filter (outcome = 'withdrawn') withdrawn, count(*) filter (outcome = 'skipped') skipped, count(*) filter (outcome = 'unchanged') unchanged, count(*) filter (outcome = 'failed') failed, (select strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') from up) newest_updated_at from o",
+    "heading_paths": f"with {_PATHS} select * from pa",
+    "by_title_chunks": _PACK(""),
+    "by_title_pages": _PACK(_TURN),
+    "section_f1": f"with {_EL}, toc as (select doc_id id, coalesce(nullif(category_depth, 0), case when type = 'title' then 1 else 2 end) lev, lower({_STRIP('substr(content, 1, 100)')}) t from e where {_HEAD}), p as (select id, case when lev = 2 then 1 else lev end lev, t from toc), h as (select p.id, count(*) hits from p where exists (select 1 from toc q where q.id = p.id and q.lev = p.lev and q.t = p.t) group by 1), n as (select id, count(*) n from toc group by 1) select n.id, round(coalesce(2.0 * hits / (2 * n), 0), 6) f1 from n left join h using (id)",
+    "table_scores": "with l as (select l_orderkey id, l_linenumber rw, l_returnflag f, l_linestatus s, l_discount dc, l_tax tx, l_partkey * 100000 + l_suppkey pk from lineitem), t as (select id, rw, 0 cl, f tt, rw = 1 h, pk ord from l union all select id, rw, 1, s, rw = 1, pk from l), p as (select id, rw, 0 cl, case when tx < 0.04 then ' ' || f else lower(f) end tt, rw = 1 h, pk ord from l union all select id, rw, 1, s, rw = 2, pk from l where dc <> 0.05), "
+    "a as (select p.id, count(*) n from p where exists (select 1 from t where t.id = p.id and t.rw = p.rw and t.cl = p.cl and lower(trim(t.tt)) = lower(trim(p.tt))) group by 1), lp as (select id, rw, cl, arg_max(trim(tt), ord) pt from p group by 1, 2, 3), x as (select t.id, count(*) n from t left join lp using (id, rw, cl) where trim(t.tt) = coalesce(pt, '') group by 1), "
+    "hp as (select distinct id, rw, cl from p where h), ht as (select distinct id, rw, cl from t where h), hb as (select id, count(*) n from hp join ht using (id, rw, cl) group by 1), cp as (select id, count(*) n, max(rw) + 1 r, max(cl) + 1 c from p group by 1), ct as (select id, count(*) n, max(rw) + 1 r, max(cl) + 1 c from t group by 1), np as (select id, count(*) n from hp group by 1), nt as (select id, count(*) n from ht group by 1) "
+    "select ct.id, round(0.3 * (1 - abs(cp.r - ct.r) / greatest(cp.r, ct.r, 1)) + 0.3 * (1 - abs(cp.c - ct.c) / greatest(cp.c, ct.c, 1)) + 0.4 * coalesce(a.n, 0) / ct.n, 6) teds, round(coalesce(x.n, 0) / ct.n, 6) exact, round(case when nt.n is null then case when np.n is null then 1.0 else 0.0 end when np.n is null then 0.0 else 2.0 * coalesce(hb.n, 0) / (np.n + nt.n) end, 6) header_f1 from ct join cp using (id) left join a using (id) left join x using (id) left join hb using (id) left join np using (id) left join nt using (id)",
+    "file_formats": f"select distinct doc_id, version_no, {_KINDS.format(_EXT)} as \"format\", case {_EXT} when '.pdf' then 'application/pdf' when '.docx' then 'application/vnd.openxmlformats-officedocument.wordprocessingml.document' when '.doc' then 'application/msword' when '.webm' then 'video/webm' when '.m4a' then 'audio/mp4' end mime_type, {_EXT} as \"extension\" from records",
+    "format_by_bytes": "select doc_id, case doc_id % 3 when 0 then 'pdf' when 1 then 'html' else 'unknown' end as \"format\" from documents",
+    "corpus_sample": "select doc_id || '.pdf' path from documents order by 1 limit 100",
+    "corpus_stratified": "with s as (select coalesce(source, '') source, count(*) n from documents group by 1) select source, cast(least(n, greatest(round(n / (select sum(n) from s) * 100), 1)) as bigint) n from s",
+    "canonical_times": "select distinct doc_id, version_no, case when doc_id % 4 <> 0 or length(strftime(document_date, '%Y-%-m-%-d')) = 10 then document_date end document_date from records",
+    "docling_elements": f"with {_EL}, t as (select *, row_number() over (partition by doc_id order by pos, type, content) - 1 k, coalesce(nullif(category_depth, 0), 1) lv from e), g as (select doc_id, k, case when type in ('title', 'heading') then 'title' when type in ('list', 'list_item') then 'list_item' when type = 'code' then 'code_snippet' when type = 'formula' then 'formula' else 'narrative_text' end ty, content, case when page_number > 0 then page_number end page_number, case when type = 'title' then 0 when type = 'heading' then lv else 1 end depth, case when type in ('title', 'heading') then k end hk from t), h as (select *, max(hk) over (partition by doc_id order by k) lk from g) select h.doc_id, cast(h.k as int) pos, h.ty as \"type\", h.content, h.page_number, case when h.page_number is not null then 100.0 end y0, case when h.page_number is not null then 150.0 end y1, cast(h.depth as int) category_depth, x.content section_title from h left join g x on x.doc_id = h.doc_id and x.k = h.lk",
+    "coco_annotations": f"with {_ANN} select document_id, annotation_id, category, round(x0, 6) x0, round(y0, 6) y0, round(x1, 6) x1, round(y1, 6) y1 from an",
+    "true_order": f"with {_ANN} select document_id id, cast(ord as int) n, round(y0, 6) \"by\", annotation_id item from an",
+    "export_json": f"with {_EL} select doc_id, pos, to_json(case when page_number is null then json_object('type', type, 'content', content) else json_object('type', type, 'content', content, 'page_number', page_number) end) json from e",
 }
