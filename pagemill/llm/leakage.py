@@ -15,11 +15,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.arrow import map_batches
 from pagemill.llm.words import word_code, word_codes
+from pagemill.plans.stages import stored
 
 #: Masks (1: hashed, 0: ignored). In every 20 words with at most two changed, one of them has a hit (tests/llm).
 MASKS = ("1101011", "11100101")
@@ -52,23 +53,36 @@ def seed_hashes(codes: np.ndarray, masks: tuple[str, ...] = MASKS) -> list[np.nd
     return out
 
 
-def passages(benchmark: DataFrame, least_shared: int = 2) -> list[tuple[int, str]]:
-    """(item_id, passage) without question lines and without first lines that several items share.
+def passages(benchmark: DataFrame, least_shared: int = 2) -> DataFrame:
+    """(item_id, passage) without question lines and without first lines that several items share."""
+
+    def cut(b: pa.RecordBatch) -> pa.RecordBatch:
+        rest, firsts, keys = [], [], []
+        for text in b.column(1).to_pylist():
+            lines = [x for x in text.splitlines() if x.strip() and not _QUESTION.match(x)]
+            firsts.append(lines[0] if lines else "")
+            keys.append(" ".join(normal_words(firsts[-1])))
+            rest.append("\n".join(lines[1:]))
+        return pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.string()) for c in (firsts, keys, rest))], names=["item_id", "first", "key", "rest"])
+
+    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
+    parts = stored(map_batches(items, cut, "item_id bigint, first string, key string, rest string"), "benchmark-items")
+    shared = parts.where("rest <> ''").join(parts.groupBy("key").agg(F.countDistinct("item_id").alias("n")).where(F.col("n") >= least_shared).select("key"), "key", "left_semi")
+    whole = parts.join(shared.select("item_id", "key", "rest").distinct(), ["item_id", "key", "rest"], "left_anti")
+    return shared.select("item_id", F.col("rest").alias("passage")).unionByName(whole.select("item_id", F.concat_ws("\n", "first", F.nullif("rest", F.lit(""))).alias("passage")))
 
-    The benchmark is a held-out set of fixed size; its items go to the driver (see leaked_items).
-    """
-    rows = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text").distinct().collect()
-    lines = {r: [x for x in r["text"].splitlines() if x.strip() and not _QUESTION.match(x)] for r in rows}
-    firsts: dict[tuple, set] = {}
-    for r, ls in lines.items():
-        if ls:
-            firsts.setdefault(tuple(normal_words(ls[0])), set()).add(r["item_id"])
-    out = []
-    for r, ls in lines.items():
-        if len(ls) > 1 and len(firsts[tuple(normal_words(ls[0]))]) >= least_shared:
-            ls = ls[1:]
-        out.append((r["item_id"], "\n".join(ls)))
-    return sorted(out)
+
+def passage_blocks(items: DataFrame, most_bytes: int) -> list[DataFrame]:
+    """The passages in blocks of at most that many bytes by their measured sizes (a longer passage is a block of its own)."""
+    total = items.agg(F.sum(F.octet_length("passage"))).first()[0] or 0
+    if total <= most_bytes:
+        return [items]
+    w = Window.orderBy("item_id", "passage")  # one row per item of the benchmark, ids and sizes only
+    sizes = items.select("item_id", F.xxhash64("passage").alias("_h"), F.octet_length("passage").alias("size"), "passage").select("item_id", "_h", F.sum("size").over(w).alias("upto"), "size")
+    blocks = stored(sizes.withColumn("block", F.floor((F.col("upto") - F.col("size")) / most_bytes).cast("int")), "benchmark-blocks")
+    placed = items.withColumn("_h", F.xxhash64("passage")).join(blocks.select("item_id", "_h", "block"), ["item_id", "_h"]).drop("_h")
+    placed = stored(placed, "benchmark-placed")
+    return [placed.where(F.col("block") == k).drop("block") for k in sorted(r[0] for r in placed.select("block").distinct().collect())]
 
 
 class Index:
@@ -134,18 +148,31 @@ def longest_overlap(same: np.ndarray, tolerance: float) -> int:
 
 
 def overlap_length(index: Index, n: int, codes: np.ndarray, diagonals: list[int], tolerance: float, slip: int = 2) -> int:
-    """Longest verified overlap with passage n along the hit diagonals, joining ones that differ by a few inserted or lost words."""
+    """Longest verified overlap with passage n along the hit diagonals.
+
+    Diagonals that differ by a few inserted or lost words are joined in order: the words of a chain are those of its diagonals' stretches,
+    each word of the document standing for one of the passage at most and later ones for later ones.
+    """
     p = index.codes[n]
     best = 0
     chain: list[int] = []
-    for d in sorted(diagonals) + [None]:
+    for d in [*sorted(diagonals), None]:
         if chain and (d is None or d - chain[-1] > slip):
-            same = np.zeros(len(p), bool)
+            places = np.full(len(p), -1, np.int64)  # of the document, by word of the passage
             for x in chain:
                 lo, hi = max(0, -x), min(len(p), len(codes) - x)
                 if hi > lo:
-                    same[lo:hi] |= p[lo:hi] == codes[lo + x : hi + x]
-            best = max(best, longest_overlap(same, tolerance))
+                    at = np.arange(lo, hi)
+                    own = at[(p[lo:hi] == codes[lo + x : hi + x]) & (places[lo:hi] < 0)]
+                    places[own] = own + x
+            taken = np.flatnonzero(places >= 0)
+            if len(taken):
+                # only what goes on in the document counts: a place at or before an earlier one is a repeat
+                upto = np.maximum.accumulate(places[taken])
+                ahead = np.append(True, places[taken][1:] > upto[:-1])
+                same = np.zeros(len(p), bool)
+                same[taken[ahead]] = True
+                best = max(best, longest_overlap(same, tolerance))
             chain = []
         if d is not None:
             chain.append(d)
@@ -160,26 +187,17 @@ def _index(items: tuple[tuple[int, str], ...]) -> Index:
 def leaked_items(documents: DataFrame, benchmark: DataFrame, least_words: int = 20, tolerance: float = 0.1, id_col: str = "doc_id", text_col: str = "text", most_benchmark_bytes: int = 64 << 20) -> DataFrame:
     """(doc_id, item_id, overlap_words) of every document that holds a long enough part of a test passage.
 
-    The benchmark's passages are broadcast: it is a fixed held-out set, whose size is checked
-    against most_benchmark_bytes; a larger one is matched block by block of that size, each in its own pass over the documents.
+    The benchmark's passages are broadcast in blocks of at most most_benchmark_bytes, measured before they are collected; each block is matched in its own
+    pass over the documents, and a fixed held-out set is one block.
     Documents are not shuffled.
 
     Null and empty texts and passages under least_words give no row; repeated rows add
     none; every text is read whole; other columns are ignored; empty tables give an empty result.
     """
-    items = passages(benchmark)
-    blocks: list[list[tuple[int, str]]] = [[]]
-    size = 0
-    for x in items:
-        if size + len(x[1]) > most_benchmark_bytes and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append(x)
-        size += len(x[1])
     kind = dict(documents.dtypes)[id_col]
     out = None
-    for block in blocks:
-        shipped = documents.sparkSession.sparkContext.broadcast(tuple(block))
+    for block in passage_blocks(stored(passages(benchmark), "passages"), most_benchmark_bytes):
+        shipped = documents.sparkSession.sparkContext.broadcast(tuple(sorted((r["item_id"], r["passage"]) for r in block.collect())))
 
         def match(b: pa.RecordBatch, shipped=shipped) -> pa.RecordBatch | None:
             index = _index(shipped.value)
