@@ -1,50 +1,56 @@
 """References to records that do not exist.
 
-Method: all keys (of targets and of references) get integer codes in sort order; the sorted
-codes of the targets are compressed into contiguous runs; each reference key is matched as of
-the start of the preceding run and is an orphan when it lies beyond the end of that run.
-References whose target exists are then tested against its life time.
+Method: keys are integers (a UUID is one of 128 bits); the sorted keys of the targets are compressed into contiguous
+runs; each reference key is matched as of the start of the preceding run and is an orphan when it lies beyond the end
+of that run. Nothing else tells whether a target exists; the life time of the target at the end of the as-of match then tells whether it existed when the
+reference was made.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.keys import raw_or_canonical_uuid
 from pagemill.plans.stages import salted_join, stored
 
-_BLOCK = 33  # monotonically_increasing_id keeps the partition above this bit
+def integer_key(table: Column, key: Column) -> Column:
+    """(high, low): a key as an integer within its table, as 16 hex digits of the table and the upper half, and the lower half as a number.
 
-
-def coded_keys(keys: DataFrame) -> DataFrame:
-    """(key) -> (key, code): order-preserving integers, dense within each range of the sorted keys.
-
-    The codes depend on where the sampled range bounds fall, so they are stored once and read
-    by every later step.
+    Canonical UUIDs are read as numbers; any other text is numbered by its hash.
     """
-    ordered = keys.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("is_target").alias("is_target")).repartitionByRange("key").sortWithinPartitions("key")
-    return stored(ordered.withColumn("code", F.monotonically_increasing_id()), "key-codes")
+    h = F.when(key.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"), F.replace(key, F.lit("-"), F.lit(""))).otherwise(F.md5(key))
+    low = F.conv(F.substring(h, 17, 16), 16, 10).cast("decimal(20,0)")
+    return F.struct(F.concat(table, F.lit("/"), F.substring(h, 1, 16)).alias("high"), low.alias("low"))
 
 
-def key_runs(parents: DataFrame) -> DataFrame:
-    """Sorted integer keys (code) -> contiguous runs (block, run_start, run_end)."""
-    w = Window.partitionBy("block").orderBy("code")
-    p = parents.select("code", F.shiftright("code", _BLOCK).alias("block"))
-    return p.withColumn("island", F.col("code") - F.row_number().over(w)).groupBy("block", "island").agg(F.min("code").alias("run_start"), F.max("code").alias("run_end")).drop("island")
+def key_runs(rows: DataFrame) -> DataFrame:
+    """rows (block, key, is_parent, …) with (run, run_start): the number and start of the last run of parents at or before each row in its block, 0 and null before the first.
+
+    A run is a stretch of parent keys without a gap; keys are distinct within each kind of row.
+    """
+    order = Window.partitionBy("block").orderBy("key.high", "key.low", F.desc("is_parent"))
+    upto = order.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last(F.when(F.col("is_parent"), F.col("key")), ignorenulls=True).over(upto)
+    follows = (F.col("before.high") == F.col("key.high")) & (F.col("before.low") + 1 == F.col("key.low"))
+    starts = F.col("is_parent") & ~F.coalesce(follows, F.lit(False))
+    r = rows.withColumn("before", before).withColumn("start", starts)
+    return r.withColumn("run", F.sum(F.col("start").cast("int")).over(order)).withColumn("run_start", F.last(F.when(F.col("start"), F.col("key")), ignorenulls=True).over(order)).drop("before", "start")
 
 
-def beyond_runs(refs: DataFrame, runs: DataFrame) -> DataFrame:
-    """As-of match of reference codes to the preceding run start: (code, is_orphan).
+def beyond_runs(keys: DataFrame, life: tuple[str, ...] = ("arrived_at", "deleted_at")) -> DataFrame:
+    """(key, is_orphan, …life) of the reference keys among keys (key, is_parent, …life): as-of match to the preceding run start, orphans lying beyond the run's end.
 
-    Both sides hold distinct keys, so no task can get a hot key; blocks are the ranges of the
-    sorted keys, so no task gets more than its share.
+    Keys are distinct on each side, so no task can get a hot one; blocks are ranges of the sorted keys, so no task gets more than its share.
+    life comes from the last parent at or before the reference, which for a key within a run is the key itself.
     """
-    r = refs.select("code", F.shiftright("code", _BLOCK).alias("block"), F.lit(None).cast("long").alias("run_end"), F.lit(1).alias("side"))
-    both = r.unionByName(runs.select(F.col("run_start").alias("code"), "block", "run_end", F.lit(0).alias("side")))
-    w = Window.partitionBy("block").orderBy("code", "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    asof = both.withColumn("end", F.last("run_end", ignorenulls=True).over(w)).where("side = 1")
-    return asof.select("code", (F.col("end").isNull() | (F.col("code") > F.col("end"))).alias("is_orphan"))
+    placed = keys.repartitionByRange("key.high", "key.low").withColumn("block", F.spark_partition_id())
+    placed = stored(placed, "key-ranges")  # the ranges depend on sampled bounds, so they are drawn once
+    w = Window.partitionBy("block").orderBy("key.high", "key.low", F.desc("is_parent"))
+    r = key_runs(placed).withColumn("life", F.last(F.when(F.col("is_parent"), F.struct(*life)), ignorenulls=True).over(w))
+    end = F.max(F.when(F.col("is_parent"), F.col("key"))).over(Window.partitionBy("block", "run"))
+    r = r.withColumn("run_end", end).where("not is_parent")
+    return r.select("key", (F.col("run_start").isNull() | (F.col("key") > F.col("run_end"))).alias("is_orphan"), "life.*")
 
 
 def orphan_references(refs: DataFrame, targets: DataFrame) -> DataFrame:
@@ -60,14 +66,14 @@ def orphan_references(refs: DataFrame, targets: DataFrame) -> DataFrame:
     a reference without made_at can only be ``missing``; empty inputs give empty or all-missing
     results; other columns are ignored.
     """
-    name = lambda t, k: F.concat_ws("/", t, k)
-    t = targets.select(name("target_table", raw_or_canonical_uuid(F.col("key"))).alias("key"), raw_or_canonical_uuid(F.col("key")).alias("k"), "arrived_at", "deleted_at").where("k is not null").groupBy("key").agg(F.min("arrived_at").alias("arrived_at"), F.max("deleted_at").alias("deleted_at"))
-    r = refs.withColumn("_k", raw_or_canonical_uuid(F.col("key"))).where("_k is not null").select("ref_table", "ref_field", "ref_key", "made_at", name("target_table", F.col("_k")).alias("key"))
-    codes = coded_keys(t.select("key", F.lit(1).alias("is_target")).unionByName(r.groupBy("key").agg(F.lit(0).alias("is_target"))))
-    parents = codes.where("is_target = 1")
-    status = beyond_runs(codes, key_runs(parents)).join(codes.select("code", "key"), "code").select("key", "is_orphan")
-    known = status.join(t, "key", "left")
-    found = salted_join(r, known, "key", F.concat_ws("|", "ref_table", "ref_field", "ref_key"))
+    t = targets.withColumn("_k", raw_or_canonical_uuid(F.col("key"))).where("_k is not null").select(integer_key(F.col("target_table"), F.col("_k")).alias("key"), "arrived_at", "deleted_at")
+    t = t.groupBy("key").agg(F.min("arrived_at").alias("arrived_at"), F.max("deleted_at").alias("deleted_at"))
+    r = refs.withColumn("_k", raw_or_canonical_uuid(F.col("key"))).where("_k is not null").select("ref_table", "ref_field", "ref_key", "made_at", integer_key(F.col("target_table"), F.col("_k")).alias("key"))
+    r = stored(r, "references")
+    none = F.lit(None).cast("timestamp")
+    keys = t.select("key", F.lit(True).alias("is_parent"), "arrived_at", "deleted_at").unionByName(r.select("key").distinct().select("key", F.lit(False).alias("is_parent"), none.alias("arrived_at"), none.alias("deleted_at")))
+    status = stored(beyond_runs(keys), "key-status")
+    found = salted_join(r, status, "key", F.concat_ws("|", "ref_table", "ref_field", "ref_key"))
     reason = F.when(F.col("is_orphan"), "missing").when(F.col("arrived_at") > F.col("made_at"), "late").when(F.col("deleted_at") <= F.col("made_at"), "deleted")
     return found.select("ref_table", "ref_field", "ref_key", "made_at", reason.alias("reason")).where("reason is not null").distinct()
 

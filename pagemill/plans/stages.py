@@ -16,9 +16,11 @@ _shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none (tests)."""
+    """The folder all executors share, as the session names it; a temporary one only where it names none and everything runs in one process (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="pagemill-stages-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -89,19 +91,22 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def salted_join(facts: DataFrame, lookup: DataFrame, key: str, row_id: Column, how: str = "left", salts: int = 16, share: float = 0.01) -> DataFrame:
+def salted_join(facts: DataFrame, lookup: DataFrame, key: str, row_id: Column, how: str = "left", rows_per_task: int = 1_000_000) -> DataFrame:
     """Equi-join in which hot keys of facts are spread over several tasks.
 
-    lookup has at most one row per key. A key is hot when it holds more than ``share`` of all
-    rows of facts, so there are at most 1/share hot keys: this bound makes their list safe to
-    broadcast. Hot rows get a salt from row_id; the lookup rows of hot keys (only those) are
-    repeated once per salt. Null keys match nothing and are spread by the salt too.
+    lookup has at most one row per key. A key is hot when it holds more than ``rows_per_task`` rows of facts, whatever their number in all, so the list
+    of hot keys has at most a row per that many rows; it gets as many salts as it has such parts. Hot rows get a salt from row_id; the lookup rows
+    of hot keys (only those) are repeated once per salt. Null keys match nothing. The list is broadcast only where its
+    counted rows allow it.
     """
-    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = facts.agg((F.count(F.lit(1)) * F.lit(share)).alias("_least"))
-    hot = counts.join(F.broadcast(total), F.col("_n") > F.col("_least")).select(F.col(key).alias("_hot_key"))
-    f = facts.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    f = f.withColumn("_salt", F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")).otherwise(F.lit(0))).drop("_hot_key")
-    r = lookup.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    r = r.withColumn("_salt", F.explode(F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("_hot_key")
+    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
+    hot = stored(counts.select(F.col(key).alias("_hot_key"), F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")), "hot-keys")
+    n = hot.count()
+    if not n:
+        return facts.join(lookup, key, how)
+    hot = F.broadcast(hot) if n <= 200_000 else hot
+    f = facts.join(hot, F.col(key) == F.col("_hot_key"), "left")
+    f = f.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(row_id), F.col("_salts")).cast("int"), F.lit(0))).drop("_hot_key", "_salts")
+    r = lookup.join(hot, F.col(key) == F.col("_hot_key"), "left")
+    r = r.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_hot_key", "_salts")
     return f.join(r, [key, "_salt"], how).drop("_salt")
