@@ -106,7 +106,7 @@ class _Reader(DataSourceReader):
 
 
 class DocumentsApi(DataSource):
-    """spark.dataSource.register(DocumentsApi); spark.read.format("documents_api").option("url", ...)."""
+    """spark.dataSource.register(DocumentsApi); spark.read.format("documents_api").option("url", ...), with spark.sql.python.filterPushdown.enabled."""
 
     @classmethod
     def name(cls) -> str:
@@ -138,6 +138,7 @@ def listing(spark: SparkSession, url: str, folder: str, category: str | None = N
 
     A listing whose pages report different totals, or that has another number of distinct records than reported, is read again and then fails.
     """
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")  # the source takes filters
     spark.dataSource.register(DocumentsApi)
     reader = _Reader({"url": url, **options})
     if category is not None:

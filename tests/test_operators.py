@@ -96,10 +96,10 @@ def test_rich_markdown(spark):
 
 def test_uuid5_and_consent(spark):
     df = spark.createDataFrame([("chunk:1:0:ä",)], "n string")
-    assert df.select(sync.uuid5(F.col("n"))).first()[0] == str(uuid.uuid5(uuid.NAMESPACE_URL, "chunk:1:0:ä"))
+    assert df.select(sync.uuid5(F.col("n"))).first()[0] == str(uuid.uuid5(uuid.UUID(hex=sync.ID_NAMESPACE), "chunk:1:0:ä"))
     rec = spark.createDataFrame([("a", "Tax_Returns", None, True), ("b", "tax-return", None, None), ("c", "tax return", None, False), ("d", "lease", None, True), ("e", None, "TAX RETURN", True)], "id string, category string, document_type string, consent_on_file boolean")
     st_ = spark.createDataFrame([("a", True), ("c", True), ("e", False)], "document_id string, consent boolean")
-    assert {r.id: r.action for r in sync.consent_actions(rec, st_).collect()} == {"a": "UNCHANGED", "b": "SKIP", "c": "WITHDRAWN", "d": "NOT_REQUIRED", "e": "CHUNK"}
+    assert {r.id: r.action for r in sync.consent_actions(rec, st_).collect()} == {"a": "unchanged", "b": "skip", "c": "withdrawn", "d": "not_required", "e": "chunk"}
 
 
 def test_benchmark(spark):
