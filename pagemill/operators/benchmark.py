@@ -30,18 +30,18 @@ def ranked_values(rows: DataFrame, keys: list[str], value: str, places: dict[str
     A histogram of ``bins`` equal ranges between the least and most value of each key tells in which range a place lies; only the distinct values of
     those ranges are ranked, so that no task sorts all values of a hot key. Nulls don't count.
     """
-    v = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    edges = v.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    bin_of = F.least(F.coalesce(F.floor(F.try_divide((F.col("v") - F.col("lo")) * bins, F.col("hi") - F.col("lo"))), F.lit(0)), F.lit(bins - 1))
-    binned = v.join(edges, keys).withColumn("bin", bin_of)
+    v = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    edges = v.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("n"))
+    bin_of = F.least(F.coalesce(F.floor(F.try_divide((F.col("_v") - F.col("_lo")) * bins, F.col("_hi") - F.col("_lo"))), F.lit(0)), F.lit(bins - 1))
+    binned = v.join(edges, keys).withColumn("_bin", bin_of)
     w = Window.partitionBy(*keys)
-    counts = binned.groupBy(*keys, "bin").agg(F.sum("c").alias("c"), F.first("n").alias("n"))  # at most ``bins`` rows a key
-    counts = counts.withColumn("before", F.sum("c").over(w.orderBy("bin")) - F.col("c"))
+    counts = binned.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_c"), F.first("n").alias("n"))  # at most ``bins`` rows a key
+    counts = counts.withColumn("_before", F.sum("_c").over(w.orderBy("_bin")) - F.col("_c"))
     wanted = F.array(*(F.struct(F.lit(k).alias("name"), F.least(p.cast("bigint"), F.col("n") - 1).alias("place")) for k, p in places.items()))
-    hit = counts.select(*keys, "bin", "before", "c", F.explode(wanted).alias("x")).where("x.place >= before and x.place < before + c")
-    near = binned.select(*keys, "bin", "v", F.col("c").alias("k")).join(hit.drop("c"), [*keys, "bin"])
-    upto = near.withColumn("upto", F.col("before") + F.sum("k").over(Window.partitionBy(*keys, "bin", "x.name").orderBy("v")))
-    found = upto.groupBy(*keys).agg(*(F.min(F.when((F.col("x.name") == k) & (F.col("upto") > F.col("x.place")), F.col("v"))).alias(k) for k in places))
+    hit = counts.select(*keys, "_bin", "_before", "_c", F.explode(wanted).alias("_x")).where("_x.place >= _before and _x.place < _before + _c").drop("_c")
+    near = binned.select(*keys, "_bin", "_v", "_c").join(hit, [*keys, "_bin"])
+    upto = near.withColumn("_upto", F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_bin", "_x.name").orderBy("_v")))
+    found = upto.groupBy(*keys).agg(*(F.min(F.when((F.col("_x.name") == k) & (F.col("_upto") > F.col("_x.place")), F.col("_v"))).alias(k) for k in places))
     return edges.select(*keys, "n").join(found, keys)
 
 
