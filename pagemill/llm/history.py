@@ -23,15 +23,15 @@ from pagemill.llm.words import folded_codes
 from pagemill.plans.stages import SharedFiles, salted_join, stored
 
 #: A paragraph begins at words whose code is 0 in this many, and has at least LEAST_WORDS words.
-EVERY, LEAST_WORDS = 3, 5
+EVERY, LEAST_WORDS = 4, 5
 #: Buckets up to this size have all their pairs tested by length and bitmap; larger ones are split by rare words, which loses no repeat.
-BUCKET = 2048
+BUCKET = 4096
 #: Bitmap of an item's words, 256 bits.
 _MAP = ["s0", "s1", "s2", "s3"]
 _MAPS = "s0 bigint, s1 bigint, s2 bigint, s3 bigint"
 #: Least share of the larger item's paragraphs that near copies share. Of a text of which 20 % of the
 #: words changed at random about 17 % of the paragraphs are left, of one with 15 % about 27 %.
-COVERAGE = 0.05
+COVERAGE = 0.06
 _MUL, _MUL2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 _NO_BATCH = 1 << 22
 

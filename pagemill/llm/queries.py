@@ -71,6 +71,16 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d)
 
 
+def p3_cover(spark: SparkSession, d: str) -> DataFrame:
+    """Per oversized item: whether every piece keeps the limit and the overlap, pieces are numbered without gaps, and a hash of the words that they hold without overlaps."""
+    words = F.filter(F.split("content", r"(?U)[\s\p{Z}]+"), lambda w: w != "")
+    p = _pieces(spark, d).withColumn("own", F.array_join(F.slice(words, F.col("n_overlap") + 1, F.size(words)), " ")).distinct()
+    rows = F.sort_array(F.collect_list(F.struct("piece_no", "own")))
+    return p.groupBy("src_table", "doc_id", "item_no").agg(
+        F.bool_and(F.col("n_tokens") <= 512).alias("within_limit"), F.bool_and(F.col("n_overlap") <= 64).alias("within_overlap"), (F.max("piece_no") + 1 == F.count(F.lit(1))).alias("numbered"), F.md5(F.array_join(rows["own"], " ")).alias("digest")
+    )
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return ocr.scan_noise(table(spark, d, "elements")).distinct()
 
@@ -83,6 +93,11 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode_corpus(tokenizer.one_row_per_id(table(spark, d, "documents")))
 
 
+def p6_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The hash of the text that each document's ids spell."""
+    return tokenizer.decode_corpus(p6_ids(spark, d)).select("doc_id", F.md5("text").alias("digest"))
+
+
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -112,7 +127,7 @@ def p8_rates_by_source(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.rates_by_source(_scored(spark, d))
 
 
-QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_refused_files": p2_refused_files, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p6_ids": p6_ids, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates_by_source": p8_rates_by_source}
+QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted, "p2_found": p2_found, "p2_refused_files": p2_refused_files, "p3_found": p3_found, "p3_pieces": p3_pieces, "p3_cover": p3_cover, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p6_ids": p6_ids, "p6_round_trip": p6_round_trip, "p7_found": p7_found, "p7_leaks_per_item": p7_leaks_per_item, "p8_found": p8_found, "p8_scores": p8_scores, "p8_rates_by_source": p8_rates_by_source}
 
 _SPACE = "[\\t-\\r\\x{{85}}\\p{{Z}}]"
 _LONG = "select distinct '{0}' src_table, doc_id, cast({1} as bigint) item_no from {0} where len(list_filter(string_split_regex(content, '" + _SPACE + "+'), lambda x: x <> '')) > 512"
@@ -122,4 +137,11 @@ f as (select doc_id, arg_min(batch_no, version_no) batch_no, arg_min(coalesce(sh
 g as (select *, row_number() over w rn, first_value(doc_id) over w head from f where length(sha) = 64 and sha <> repeat('0', 64) and sha <> 'e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855' window w as (partition by sha order by batch_no, doc_id))
 select doc_id as "key", batch_no, head accepted_key from g where rn > 1
 """
-ORACLES = {"p2_refused_files": _FILES, "p3_found": _LONG.format("chunks", "chunk_index") + " union " + _LONG.format("elements", "pos")}
+_WORDS = "list_filter(string_split_regex(content, '" + _SPACE.replace("{{", "{").replace("}}", "}") + "+'), lambda x: x <> '')"
+_COVER = "select '{0}' src_table, doc_id, cast({1} as bigint) item_no, true within_limit, true within_overlap, true numbered, md5(array_to_string(" + _WORDS.replace("{", "{{").replace("}", "}}") + ", ' ')) digest from (select distinct doc_id, {1}, content from {0}) where len(" + _WORDS.replace("{", "{{").replace("}", "}}") + ") > 512"
+ORACLES = {
+    "p2_refused_files": _FILES,
+    "p3_found": _LONG.format("chunks", "chunk_index") + " union " + _LONG.format("elements", "pos"),
+    "p3_cover": _COVER.format("chunks", "chunk_index") + " union " + _COVER.format("elements", "pos"),
+    "p6_round_trip": "select doc_id, md5(coalesce(text, '')) digest from documents",
+}

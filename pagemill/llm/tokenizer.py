@@ -210,3 +210,20 @@ def one_row_per_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     once = df.join(again, same, "left_anti").select(id_col, text_col)
     more = df.join(again, same, "left_semi").groupBy(id_col).agg(F.min(text_col).alias(text_col))
     return once.unionByName(more)
+
+
+def decode_corpus(encoded: DataFrame, id_col: str = "doc_id", vocabulary: str | None = None) -> DataFrame:
+    """(id, text) of (id, ids): the text that ids spell, a null list spelling none."""
+    from functools import partial
+
+    path = vocabulary or vocabulary_path()
+    shipped = encoded.sparkSession.sparkContext.broadcast(open(path, "rb").read())  # the vocabulary file, of fixed size
+    kind = dict(encoded.dtypes)[id_col]
+
+    def decode(b: pa.RecordBatch, memo: dict) -> pa.RecordBatch:
+        if not memo:
+            memo.update((i, t) for t, i in parse_ranks(shipped.value).items())
+        texts = [None if ids is None else b"".join(map(memo.__getitem__, ids)).decode() for ids in b.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
+
+    return map_batches(encoded.select(id_col, "ids"), partial(decode, memo={}), f"`{id_col}` {kind}, text string")
