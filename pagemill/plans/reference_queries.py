@@ -419,3 +419,21 @@ ORACLES |= {
     "true_order": f"with {_ANN} select document_id id, cast(ord as int) n, round(y0, 6) \"by\", annotation_id item from an",
     "export_json": f"with {_EL} select doc_id, pos, to_json(case when page_number is null then json_object('type', type, 'content', content) else json_object('type', type, 'content', content, 'page_number', page_number) end) json from e",
 }
+
+_GRAMS = (
+    "x as (select p.id, p.tp, p.tr, n from (select id, {tok_p} tp, {tok_r} tr from p) p, unnest(range(1, {most} + 1)) t(n)), "
+    "gp as (select id, n, g, count(*) c from (select id, n, unnest([array_to_string(tp[i:i + n - 1], chr(1)) for i in range(1, len(tp) - n + 2)]) g from x) group by all), gr as (select id, n, g, count(*) c from (select id, n, unnest([array_to_string(tr[i:i + n - 1], chr(1)) for i in range(1, len(tr) - n + 2)]) g from x) group by all), "
+    "hit as (select id, n, sum(least(gp.c, gr.c)) h from gp join gr using (id, n, g) group by all), m as (select x.id, x.n, len(tp) np, len(tr) nr, coalesce(h, 0) h from x left join hit using (id, n))"
+)
+_RAW = f"{_LATEST}, p as (select id, title pred, concat_ws(' ', category, document_type, cast(year(document_date) as varchar)) ref from r where title is not null)"
+_TOKENS = lambda c: f"list_filter(string_split_regex(lower({c}), '{_WS}+'), lambda w: w <> '')"
+_LETTERS = lambda c: f"[substr(replace({c}, ' ', ''), i, 1) for i in range(1, length(replace({c}, ' ', '')) + 1)]"
+_MDL = f"l as (select doc_id, cast(i - 1 as int) pos, {_STRIP('x[i]')} line from (select doc_id, string_split(text, chr(10)) x from documents where text is not null), unnest(range(1, len(x) + 1)) t(i))"
+ORACLES |= {
+    "bleu": f"with {_RAW}, {_GRAMS.replace('{tok_p}', _TOKENS('pred')).replace('{tok_r}', _TOKENS('ref')).replace('{most}', '4')} select id, round(case when min(h) = 0 or min(np) < 4 then 0.0 else exp(avg(ln(case when h > 0 then h / (np - n + 1) end))) * case when min(np) < min(nr) then exp(1 - min(nr) / min(np)) else 1.0 end end, 6) bleu from m group by id",
+    "chrf": f"with {_RAW}, {_GRAMS.replace('{tok_p}', _LETTERS('pred')).replace('{tok_r}', _LETTERS('ref')).replace('{most}', '6')}, f as (select id, case when h = 0 then 0.0 else 5 * (h / (np - n + 1)) * (h / (nr - n + 1)) / (4 * (h / (np - n + 1)) + h / (nr - n + 1)) end f from m where np >= n and nr >= n) select p.id, round(coalesce(avg(f), 0.0), 6) chrf from p left join f using (id) group by 1",
+    "elements_rich_markdown": f"with {_MDL}, k as (select *, case when line = '' then 'blank' when regexp_matches(line, '^\\{{\\d+\\}}') then 'page' when regexp_matches(line, '^-{{10,}}') then 'rule' when contains(line, '|') then 'table' when starts_with(line, '$$') and ends_with(line, '$$') then 'formula' when starts_with(line, '# ') then 'title' when starts_with(line, '## ') or starts_with(line, '### ') then 'heading' when starts_with(line, '- ') or starts_with(line, '* ') then 'list' else 'paragraph' end kind from l), "
+    "w as (select *, coalesce(max(case when kind = 'page' then pos * 1000000 + least(coalesce(try_cast(regexp_extract(line, '^\\{(\\d+)\\}', 1) as bigint), 999999), 999999) end) over (partition by doc_id order by pos) % 1000000 + 1, 1) page, count(*) filter (kind <> 'table') over (partition by doc_id order by pos) brk from k), "
+    f"o as (select doc_id, pos, kind ty, cast(page as int) page_number, case when kind = 'formula' then {_STRIP(chr(34) + 'f' + chr(34))} when kind in ('title', 'heading') then {_STRIP(chr(34) + 'h' + chr(34))} else line end ct from (select *, regexp_replace(line, '^\\$\\$|\\$\\$$', '', 'g') f, regexp_replace(line, '^#{{1,3}} ', '') h from w) where kind not in ('table', 'blank', 'page', 'rule') union all select doc_id, min(pos), 'table', cast(min(page) as int), string_agg(line, chr(10) order by pos) from w where kind = 'table' group by doc_id, brk) select doc_id, pos, ty as \"type\", page_number, ct as \"content\" from o where {_STRIP('ct')} <> ''",
+}
+
