@@ -8,13 +8,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Applies fn to each Arrow batch; batches that come back empty are left out."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, most: int = 0) -> DataFrame:
+    """Applies fn to each Arrow batch, in slices of ``most`` rows where given, which bounds the memory of what works on whole batches; empty results are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows and (out := fn(b)) is not None and out.num_rows:
-                yield out
+            step = most or max(b.num_rows, 1)
+            for i in range(0, b.num_rows, step):
+                if (out := fn(b.slice(i, step))) is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

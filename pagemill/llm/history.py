@@ -23,7 +23,7 @@ from pagemill.llm.words import folded_codes
 from pagemill.plans.stages import SharedFiles, salted_join, stored
 
 #: A paragraph begins at words whose code is 0 in this many, and has at least LEAST_WORDS words.
-EVERY, LEAST_WORDS = 4, 5
+EVERY, LEAST_WORDS = 5, 4
 #: Buckets up to this size have all their pairs tested by length and bitmap; larger ones are split by rare words, which loses no repeat.
 BUCKET = 4096
 #: Bitmap of an item's words, 256 bits.
@@ -116,7 +116,7 @@ def hash_items(items: DataFrame) -> DataFrame:
         names = ["o", "content_hash", "content_check", "words", *_MAP]
         return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(take, pa.int64())), *hashes, lists, *(pa.array(m, pa.int64()) for m in maps)], names=names)
 
-    return map_batches(items.select("o", "content"), run, _HASHED)
+    return map_batches(items.select("o", "content"), run, _HASHED, 1000)
 
 
 _HASHED = f"o bigint, content_hash bigint, content_check bigint, words array<int>, {_MAPS}"
@@ -135,7 +135,7 @@ def run_rows(hashed: DataFrame) -> DataFrame:
         cols = [pa.array(h, pa.int64()), b.column(0).take(pa.array(row, pa.int64())), pa.array(sizes[row], pa.int32()), pa.array(number, pa.int32())]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["h", "o", "n_words", "n_runs"])
 
-    return map_batches(hashed.select("o", "words"), run, "h bigint, o bigint, n_words int, n_runs int")
+    return map_batches(hashed.select("o", "words"), run, "h bigint, o bigint, n_words int, n_runs int", 1000)
 
 
 def _listed(df: DataFrame, few: int = 200_000) -> DataFrame:
@@ -261,12 +261,16 @@ def verified(pairs: DataFrame, words: DataFrame, share: float = 0.8) -> DataFram
     w = words.select("o", "words").join(_listed(ids, 1_000_000), "o", "left_semi")
     side = lambda k: w.select(F.col("o").alias(k), F.col("words").alias(f"{k}_words"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_words", "b_words")
+    # distinct words that the other lacks must not be more than may be missing: true for all repeats
+    least = F.ceil(F.greatest(F.size("a_words"), F.size("b_words")) * share - 1e-9)
+    lacks = lambda x, y: F.size(F.array_except(f"{x}_words", f"{y}_words")) <= F.size(f"{x}_words") - least
+    both = both.where(lacks("a", "b") & lacks("b", "a"))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         keep = [is_repeat(x, y, share) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
         return pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_batches(both, run, "a bigint, b bigint")
+    return map_batches(both, run, "a bigint, b bigint", 1000)
 
 
 def resolve_hot(hot: DataFrame, near: DataFrame, words: DataFrame, share: float = 0.8) -> DataFrame:
