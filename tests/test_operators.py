@@ -120,6 +120,27 @@ def test_streaming(spark, tmp_path):
     assert spark.table("newest").count() == 2
 
 
+def test_windowed_counts(spark, tmp_path):
+    from pagemill.streaming.updates import requests_per_window
+
+    spark.sql("select * from values (timestamp'2025-01-01 00:00:05', 'u'), (timestamp'2025-01-01 00:00:09', 'u'), (timestamp'2025-01-01 00:00:09', 'v') t(ts, user_id)").write.parquet(str(tmp_path / "in"))
+    stream = requests_per_window(spark.readStream.schema("ts timestamp, user_id string").parquet(str(tmp_path / "in")), "10 seconds", "5 seconds")
+    q = stream.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start()
+    q.awaitTermination(60)
+    got = {(r.window.start.second, r.user_id): r.n for r in spark.table("windows").collect()}
+    assert got == {(0, "u"): 2, (5, "u"): 2, (0, "v"): 1, (5, "v"): 1}
+
+
+def test_hot_keys_are_salted(spark):
+    from pagemill.plans.stages import salted_join
+
+    facts = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 99), (None, 7), ("none", 8)], "k string, i int")
+    lookup = spark.createDataFrame([("hot", "h"), ("cold", "c"), ("other", "o")], "k string, v string")
+    plain = sorted(map(str, facts.join(lookup, "k", "left").select("k", "i", "v").collect()))
+    assert sorted(map(str, salted_join(facts, lookup, "k", F.col("i"), rows_per_task=10).select("k", "i", "v").collect())) == plain
+    assert salted_join(facts, lookup, "k", F.col("i"), "inner", rows_per_task=10).count() == 51
+
+
 def test_api_guards():
     assert checked_url("http://localhost:1/") == "http://localhost:1" and retry_delay("900", 1) == 60 and retry_delay(None, 3) == 8
     with pytest.raises(ValueError):
