@@ -16,6 +16,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -344,8 +345,13 @@ _MAIL_NAME = re.compile(rf"(?<![\w.+-])([A-Za-z]{{3,}})[.+][\w.+-]*{_AT}", re.I)
 _ROLE = re.compile(r"[.+](?:office|info|team|desk|mail|admin|service|support)\b", re.I)
 #: Contexts that tell nothing.
 _NOTHING = ("$", ".", ",")
-_CANDIDATE = "src_table string, row_key string, text_id bigint, kind string, title boolean, first string, last string, shape string, left string, right string, start int, end int, cut int, n bigint"
-_TYPES = (pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+_CANDIDATE = "src_table string, row_key string, text_id bigint, kind string, title boolean, first string, last string, shape string, left string, right string, start int, end int, cut int, n bigint, gid bigint, gids array<bigint>"
+_TYPES = (pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+
+
+def _group_id(group: tuple) -> int:
+    """A number of 64 bits for a mention's words and contexts, the same in every process."""
+    return int.from_bytes(blake2b("\x1f".join(map(str, group)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def candidates(texts: DataFrame, places: bool = True) -> DataFrame:
@@ -354,12 +360,16 @@ def candidates(texts: DataFrame, places: bool = True) -> DataFrame:
     kind: a typed value's kind, with shape ``form`` for numbers that only their form gives (first is the word before), ``number`` for other
     numbers, ``mention`` for runs of capitalised words outside typed values, ``inside`` for those inside and, summed per batch, single words without any
     context, ``email_name`` for the given name that an address begins with; ``word`` rows count words written small (title false) and with a capital, per batch. cut is
-    where a mention ends without its last word, null where no name is left. Without ``places`` text_id, start and end are left out.
+    where a mention ends without its last word, null where no name is left. Without ``places`` text_id, start and end are left out, mentions that are alike
+    come as one row per batch with their number n and a group id, and a ``text`` row lists the groups of each text.
     """
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         words: Counter = Counter()
         opening: Counter = Counter()
+        inside: Counter = Counter()
+        outside: Counter = Counter()
+        listed: list[tuple[int, list[tuple]]] = []
         at: list[int | None] = []
         rows: list[tuple] = []
         for i, text in enumerate(b.column(3).to_pylist()):
@@ -370,19 +380,36 @@ def candidates(texts: DataFrame, places: bool = True) -> DataFrame:
             words.update(tokens)
             typed, numbers = typed_values(t, low, " ".join(tokens).lower())
             formed = {x[:2] for x in numbers if x[2]}
-            rows += [(kind, False, None, None, "labelled", None, None, a, e, None, 1) for a, e, kind in typed.items if (a, e) not in formed]
-            rows += [(kind or "number", False, label, None, "form", None, None, a, e, None, 1) for a, e, kind, label in numbers]
+            rows += [(kind, False, None, None, "labelled", None, None, a, e, None, 1, None, None) for a, e, kind in typed.items if (a, e) not in formed]
+            rows += [(kind or "number", False, label, None, "form", None, None, a, e, None, 1, None, None) for a, e, kind, label in numbers]
             free = typed.free if typed.items else None
+            own: list[tuple] = []
             for start, end, title, first, last, shape, cut, left, right in mentions(t, low):
                 if shape == "one" and left == "^" and right in _NOTHING:
                     opening[first] += 1
+                elif places:
+                    kind = "mention" if free is None or free(start, end) else "inside"
+                    rows.append((kind, title, first, last, shape, left, right, start, end, cut, 1, None, None))
                 else:
-                    rows.append(("mention" if free is None or free(start, end) else "inside", title, first, last, shape, left, right, start, end, cut, 1))
+                    group = (title, first, last, shape, left, right, cut is None)
+                    if free is None or free(start, end):
+                        own.append(group)
+                    else:
+                        inside[group] += 1
+            if own:
+                outside.update(own)
+                listed.append((len(rows), own))
+                rows.append(())
             if "@" in t or _AT_BRACKETS(t):
-                rows += [("email_name", False, m.group(1).lower(), m.group(1).lower(), "email", "^", "$", None, None, None, 1) for m in _MAIL_NAME.finditer(t) if not _ROLE.search(m.group())]
+                rows += [("email_name", False, m.group(1).lower(), m.group(1).lower(), "email", "^", "$", None, None, None, 1, None, None) for m in _MAIL_NAME.finditer(t) if not _ROLE.search(m.group())]
             at += [i] * (len(rows) - len(at))
-        rows += [("inside", False, w, w, "one", "^", "$", None, None, None, c) for w, c in opening.items()]
-        rows += [("word", w[0].isupper(), w.lower(), None, "word", None, None, None, None, None, c) for w, c in words.items() if len(w) > 1 and w.isalpha() and w[1:].islower()]
+        ids = {g: _group_id(g) for g in outside}
+        for i, own in listed:
+            rows[i] = ("text", False, None, None, None, None, None, None, None, None, 1, None, [ids[g] for g in own])
+        for kind, groups in (("mention", outside), ("inside", inside)):
+            rows += [(kind, *g[:6], None, None, None if g[6] else 0, c, ids.get(g), None) for g, c in groups.items()]
+        rows += [("inside", False, w, w, "one", "^", "$", None, None, None, c, None, None) for w, c in opening.items()]
+        rows += [("word", w[0].isupper(), w.lower(), None, "word", None, None, None, None, None, c, None, None) for w, c in words.items() if len(w) > 1 and w.isalpha() and w[1:].islower()]
         at += [None] * (len(rows) - len(at))
         index = pa.array(at, pa.int32())
         cols = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)] if rows else [pa.array([], t) for t in _TYPES]
@@ -390,7 +417,7 @@ def candidates(texts: DataFrame, places: bool = True) -> DataFrame:
         return pa.RecordBatch.from_arrays([out[c] for c in names], names=names)
 
     every = [c.split()[0] for c in _CANDIDATE.split(", ")]
-    names = [c for c in every if places or c not in ("text_id", "start", "end")]
+    names = [c for c in every if c not in (("gid", "gids") if places else ("text_id", "start", "end"))]
     identity = F.xxhash64("text") if places else F.lit(0).cast("bigint")
     schema = ", ".join(c for c in _CANDIDATE.split(", ") if c.split()[0] in names)
     return map_batches(texts.select("src_table", "row_key", identity.alias("text_id"), "text"), run, schema)
@@ -508,16 +535,19 @@ def learn_terms(found: DataFrame, bits: float = 4.0, posterior: float = 0.6, rou
 
 
 def decided(found: DataFrame, terms: Terms) -> DataFrame:
-    """(src_table, row_key, text_id, kind, start, end) of the candidates that disclose something, or as much of it as found has."""
-    out = [c for c in ("src_table", "row_key", "text_id", "kind", "start", "end") if c in found.columns]
+    """(src_table, row_key, text_id, kind, start, end) of the candidates that disclose something; without places in found, (src_table, row_key, kind)."""
+    places = "start" in found.columns
+    out = ["src_table", "row_key", *(["text_id"] if places else []), "kind", *(["start", "end"] if places else [])]
     typed = found.where(F.col("kind").isin(*KINDS, "number")).join(terms.labels.withColumnRenamed("label", "first"), "first", "left")
     vetoed = (F.col("shape") == "form") & F.coalesce(F.array_contains("vetoed", F.col("kind")), F.lit(False))
     numbers = typed.withColumn("kind", F.when(F.col("kind") == "number", F.col("told")).when(~vetoed, F.col("kind"))).where("kind is not null").select(*out)
-    m = terms.persons(found.where("kind = 'mention'")).where("person").withColumn("kind", F.lit("person_name"))
-    if "end" in out:
-        m = m.withColumn("end", F.when(F.col("bare"), F.coalesce("cut", "end")).otherwise(F.col("end")))
-    names = m.select(*out)
-    return numbers.unionByName(names)
+    persons = terms.persons(found.where("kind = 'mention'")).where("person")
+    if places:
+        m = persons.withColumn("end", F.when(F.col("bare"), F.coalesce("cut", "end")).otherwise(F.col("end")))
+    else:
+        groups = stored(persons.select("gid").distinct(), "person-groups")
+        m = found.where("kind = 'text'").select("src_table", "row_key", F.explode("gids").alias("gid")).join(_listed(groups), "gid", "left_semi")
+    return numbers.unionByName(m.withColumn("kind", F.lit("person_name")).select(*out))
 
 
 def personal_candidates(texts: DataFrame, places: bool = True) -> tuple[DataFrame, Terms]:
