@@ -38,12 +38,12 @@ _PLAIN = str.maketrans(
 )
 
 
-_FOREIGN = re.compile("[" + re.escape("".join(map(chr, _PLAIN))) + "]").search
+_FOREIGN = re.compile("[" + re.escape("".join(map(chr, _PLAIN))) + "]").sub
 
 
 def plain(text: str) -> str:
     """The text with look-alike letters, wide forms, special spaces and dashes as ASCII; every character keeps its place."""
-    return text.translate(_PLAIN) if not text.isascii() and _FOREIGN(text) else text
+    return text if text.isascii() else _FOREIGN(lambda m: _PLAIN[ord(m.group())], text)
 
 
 _AT = r"(?:\s?@\s?|\s?[\[({<]\s?at\s?[\])}>]\s?)"
@@ -302,8 +302,7 @@ def typed_values(text: str, low: str | None = None, folded: str | None = None) -
                     continue
             if not _DATE(text, a):
                 numbers.append((a, b, "", _label(text, a)))
-    count = low.count
-    if count("one") + count("two") + count("three") + count("four") + count("five") + count("six") + count("seven") + count("eight") + count("nine") + count("zero") + count("oh") >= 7:
+    if _may_be_spoken(low):
         for m in _SPOKEN.finditer(text):
             out.add(*m.span(), "phone")
     for m in _ADDRESS.finditer(text):
@@ -318,6 +317,14 @@ def typed_values(text: str, low: str | None = None, folded: str | None = None) -
     return out, numbers
 
 
+def _may_be_spoken(low: str) -> bool:
+    """Whether there are seven digit words."""
+    n = low.count
+    if "two" in low or "three" in low or "four" in low or "five" in low or "six" in low or "seven" in low or "eight" in low or "nine" in low or "zero" in low:
+        return sum(map(n, _DIGIT_WORDS)) >= 7
+    return n("one") + n("oh") >= 7
+
+
 def _matches(pattern: re.Pattern, text: str, start: int, end: int, room: int) -> list[re.Match]:
     """Matches that begin between start and end and may go on beyond for the room."""
     return [m for m in pattern.finditer(text, start, min(len(text), end + room)) if m.start() < end]
