@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.operators.elements import clean_elements, heading_paths, running, strip
+from pagemill.plans.stages import stored
 
 #: A tokenizer's counter, and a packed chunk: content, first and last page, first title.
 Count = Callable[[str], int]
@@ -35,13 +36,21 @@ def sections(elements: DataFrame) -> DataFrame:
 
 
 def section_sizes(elements: DataFrame) -> DataFrame:
-    return sections(elements).groupBy("doc_id", "section").agg(F.count(F.lit(1)).alias("n_elements"), F.sum(n_words(F.col("content"))).alias("n_words"), (F.sum(F.length("content")) + 2 * (F.count(F.lit(1)) - 1)).alias("n_chars"))
+    return _sizes(sections(elements))
+
+
+def _sizes(placed: DataFrame) -> DataFrame:
+    return placed.groupBy("doc_id", "section").agg(F.count(F.lit(1)).alias("n_elements"), F.sum(n_words(F.col("content"))).alias("n_words"), (F.sum(F.length("content")) + 2 * (F.count(F.lit(1)) - 1)).alias("n_chars"))
 
 
 def combined_sections(elements: DataFrame, under: int = 200) -> DataFrame:
     """(doc_id, section, combined): each maximal run of sections under that many characters becomes one; 0 combines nothing."""
+    return _combined(sections(elements), under)
+
+
+def _combined(placed: DataFrame, under: int) -> DataFrame:
     w = Window.partitionBy("doc_id").orderBy("section")
-    s = section_sizes(elements).withColumn("small", F.col("n_chars") < under)
+    s = _sizes(placed).withColumn("small", F.col("n_chars") < under)
     start = F.when(F.col("small") & F.coalesce(F.lag("small").over(w), F.lit(False)), 0).otherwise(1)
     return running(s.withColumn("start", start), "doc_id", "section", combined=("sum", F.col("start"))).select("doc_id", "section", F.col("combined").cast("bigint").alias("combined"))
 
@@ -176,8 +185,9 @@ def _packed(rows: DataFrame, group: str, packer: Callable[[], object]) -> DataFr
 def _numbered(chunks: DataFrame) -> DataFrame:
     """chunk_index from 0 and total_chunks per document of chunks with (group, side, local): their place in their part is added to the sizes of the parts before.
 
-    Only the sizes of parts, one row per group and side, are summed along a document.
+    Only the sizes of parts, one row per group and side, are summed along a document. The chunks are stored, as they are needed for the sizes and again with their numbers.
     """
+    chunks = stored(chunks, "chunks")
     w = Window.partitionBy("doc_id").orderBy("group", "side")
     sizes = chunks.groupBy("doc_id", "group", "side").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select("doc_id", "group", "side", (F.sum("n").over(w) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("doc_id")).cast("int").alias("total_chunks"))
@@ -208,7 +218,8 @@ def by_title_chunks(elements: DataFrame, size: int = 120, under: int = 200, resp
     Within each combined section text is packed up to ``size`` tokens, an element over it stands alone; then come the tables of the
     section, each as a chunk. No overlap; with respect_pages a chunk ends where a known page changes. The title is the first one inside the chunk.
     """
-    s = sections(elements).join(combined_sections(elements, under), ["doc_id", "section"]).withColumn("head", _is_head())
+    placed = stored(sections(elements), "sections")
+    s = placed.join(_combined(placed, under), ["doc_id", "section"]).withColumn("head", _is_head())
     text, tables = split_tables(s)
     packed = _packed(text, "combined", lambda: TitlePacker(size, respect_pages, count)).withColumn("chunk_type", F.lit("text")).withColumn("side", F.lit(0))
     return _numbered(packed.unionByName(_table_chunks(tables, "combined", True)))
