@@ -2,6 +2,7 @@
 
 import json
 import threading
+import time
 import uuid
 from datetime import datetime, timedelta
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
@@ -13,6 +14,7 @@ import pagemill
 from pagemill import cli, config
 from pagemill.operators import benchmark, chunking, elements, evaluation, export, runner, scores, sync
 from pagemill.operators.baselines import BaselineStore
+from pagemill.plans import reference_queries
 from pagemill.sources import annotations, docling, documents_api, files, parsers
 
 A, B, C, D = (str(uuid.UUID(int=k + 1)) for k in range(4))
@@ -226,6 +228,24 @@ def test_conversion_trees(spark):
     assert [(r.doc_id, r.error) for r in rows[4:]] == [(2, "not a valid document tree"), (4, "not a valid document tree")]
 
 
+def test_large_trees_are_parsed_item_by_item():
+    wide = TREE | {"texts": TREE["texts"] + [{"label": "text", "text": f'é "{k}", [{{\\'} for k in range(300)], "body": {"children": [*TREE["body"]["children"], *({"$ref": f"#/texts/{k}"} for k in (-1, *range(6, 306)))]}}
+    for text in (json.dumps(wide, ensure_ascii=False), json.dumps(wide, indent=1)):
+        assert list(docling.tree_elements(docling.parse_tree(memoryview(text.encode()), 0))) == list(docling.tree_elements(json.loads(text)))
+        for wrong in (text[:-1], text.replace("299", "299\x01"), text.replace('"pictures": [', '"pictures": [,'), "[]"):
+            with pytest.raises((ValueError, AttributeError)):
+                docling.parse_tree(memoryview(wrong.encode()), 0)
+
+
+def test_a_document_of_many_pages_is_no_quadratic_work(spark, tmp_path):
+    rows = spark.range(30_000).selectExpr("1L doc_id", "cast(id as int) pos", "'paragraph' element_type", "'text' content", "cast(id + 1 as int) page_number", "cast(null as int) category_depth", "cast(null as double) confidence")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/elements.parquet")
+    began = time.time()
+    tree = json.loads(reference_queries._trees(spark, str(tmp_path)).first()["json"])
+    assert len(tree["pages"]) == len(tree["texts"]) == 30_000 and tree["texts"][7]["prov"][0]["page_no"] == 8
+    assert time.time() - began < 20
+
+
 def test_converter_states(spark):
     def convert(name, content):
         return {"status": {b"p": "partial_success", b"x": "failure"}.get(content, "success"), "document": {"json_content": TREE}}
