@@ -1,4 +1,5 @@
 import math
+import random
 import uuid
 
 import pytest
@@ -145,3 +146,30 @@ def test_api_guards():
     assert checked_url("http://localhost:1/") == "http://localhost:1" and retry_delay("900", 1) == 60 and retry_delay(None, 3) == 8
     with pytest.raises(ValueError):
         checked_url("http://example.org")
+
+
+def test_crowded_boxes_match_as_by_the_join(spark, monkeypatch):
+    rng = random.Random(7)
+
+    def side(n, numbers):
+        rows = []
+        for k in range(n):
+            x, y, w, h = rng.randrange(40, 44), rng.randrange(40, 300), rng.randrange(-1, 9) * 64, rng.randrange(0, 8) * 16
+            rows.append((rng.choice(("p", "q", None)), rng.randrange(numbers), rng.choice("ab"), float(x), float(y), float(x + w), float(y + h) if k % 50 else None))
+        return spark.createDataFrame(rows, "id string, ord int, class string, x0 double, y0 double, x1 double, y1 double")
+
+    pred, truth = side(500, 400).cache(), side(450, 350).cache()
+    run = lambda: [sorted(map(tuple, d.collect()), key=str) for d in (scores.best_overlaps(pred, truth), scores.best_overlaps(pred, truth, 0.5, strict=False), scores.layout_map(pred, truth, 0.5), scores.layout_map(pred, truth, 0.3))]
+    by_join = run()
+    monkeypatch.setattr(scores, "MOST_PAIRS", 10)
+    assert run() == by_join and len(by_join[0]) > 100
+    schemas = [scores.best_overlaps(pred, truth).schema.simpleString(), scores.layout_map(pred, truth).schema.simpleString()]
+    assert schemas == ["struct<id:string,ord:int,match_ord:int,iou:double>", "struct<id:string,map:double>"]
+
+
+def test_no_pairs_are_listed_for_crowded_boxes(spark):
+    """A document of 4,000 equal boxes on each side has 16 million pairs."""
+    side = spark.range(4000).selectExpr("'d' id", "cast(id as int) ord", "'a' class", "0D x0", "0D y0", "10D x1", "10D y1")
+    assert scores._crowded(side, side, ["id", "class"], 0.5).count() == 1 and scores.layout_map(side, side).first()["map"] == 1.0
+    best = scores.best_overlaps(side, side)
+    assert best.where("match_ord = 0 and iou = 1").count() == 4000
