@@ -280,6 +280,17 @@ def test_words_beyond_the_vocabulary_are_known(spark):
     assert ocr.build_vocabulary(counts)[1] is None
 
 
+def test_words_beyond_the_vocabulary_are_corrected_to(spark, monkeypatch):
+    digital = [(9, p, "paragraph", "the the the cat sees a duplicate statement of long-term payment", 1, None) for p in range(3)]
+    scans = [(1, 0, "paragraph", "The 5tatement has a paymemt", 1, 0.9), (1, 1, "paragraph", "a dupl-\nicate c0t and the odd pay-", 1, 0.9), (1, 2, "paragraph", "rnent sees the cat", 2, 0.9)]
+    df = spark.createDataFrame(digital + scans, "doc_id bigint, pos int, element_type string, content string, page_number int, confidence double")
+    run = lambda: (sorted(map(tuple, ocr.scan_noise(df).collect())), sorted(map(tuple, ocr.repaired_paragraphs(df).collect())))
+    whole = run()
+    monkeypatch.setattr(ocr, "MOST_WORDS", 1)
+    monkeypatch.setattr(ocr.build_vocabulary, "__defaults__", (2, 1))
+    assert run() == whole and (1, 0, "misread") in whole[0] and "statement" in str(whole[1]).lower()
+
+
 def scan(rows):
     return [ocr.Element(p, t, g, c, 0.9, True) for p, t, g, c in rows]
 
