@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pagemill.operators import benchmark, chunking, elements, scores, sync
+from pagemill.operators.evaluation import LayoutEvaluator
 from pagemill.sources.documents_api import checked_url, retry_delay
 
 EL = "doc_id bigint, pos int, element_type string, content string, page_number int, category_depth int, confidence double"
@@ -173,3 +174,18 @@ def test_no_pairs_are_listed_for_crowded_boxes(spark):
     assert scores._crowded(side, side, ["id", "class"], 0.5).count() == 1 and scores.layout_map(side, side).first()["map"] == 1.0
     best = scores.best_overlaps(side, side)
     assert best.where("match_ord = 0 and iou = 1").count() == 4000
+
+
+def test_layout_metrics_are_stored_before_their_union(spark):
+    """One plan of all metrics (some 18 joins) took the driver's memory; only the documents without truth are left to join."""
+    box = lambda k: (10.0, 100.0 * k, 90.0, 100.0 * k + 50)
+    elements = spark.createDataFrame([(d, k, "title", box(k)) for d in "ab" for k in range(3)] + [("c", 0, "text", None), ("e", 0, "text", None)], "doc_id string, pos int, type string, bbox struct<x0 double, y0 double, x1 double, y1 double>")
+    places = {"a": (0, 1, 2), "b": (0, 2, 1), "d": (0,), "e": (0,)}
+    truth = [(d, n, f"{d}{k}", "Title", *box(k), float(n)) for d, ks in places.items() for n, k in enumerate(ks)]
+    out = LayoutEvaluator().evaluate(elements, spark.createDataFrame(truth, "document_id string, ord int, annotation_id string, category string, x0 double, y0 double, x1 double, y1 double, reading_order double"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Window" not in plan
+    rows = {(r.id, r.metric, None if r.value is None else round(r.value, 4), r.success) for r in out.collect()}
+    tau, f1 = {"a": 1.0, "b": 0.3333}, {"a": 1.0, "b": 0.3333}
+    assert rows == {("c", "none", None, False), *((d, m, v, True) for d in "ab" for m, v in (("map", 1.0), ("reading_order_f1", f1[d]), ("kendall_tau", tau[d])))}
+    assert out.count() == len(rows)
